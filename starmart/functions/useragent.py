@@ -40,26 +40,32 @@ def classify_user_agent(df: DataFrame, col: str = "useragent") -> DataFrame:
 
     An absent agent counts as ``Other`` with all flags 0.
     """
-    agent = F.coalesce(F.col(col), F.lit(""))
     family, *more = OS_FAMILIES
+    agent = F.col("_agent")
     device = F.when(_has_any(agent, family[1]), family[0])
     for name, marks in more:
         device = device.when(_has_any(agent, marks), name)
-
-    android = agent.contains("Android")
+    android, phone_mark = agent.contains("Android"), agent.contains("Mobile")
     tablet = _has_any(agent, TABLET_MARKS) | (
-        android & ~agent.contains("Mobile") & ~agent.contains("Windows Phone")
-    )
-    mobile = ~tablet & (_has_any(agent, MOBILE_MARKS) | (android & agent.contains("Mobile")))
-    pc = (
-        ~tablet
-        & ~mobile
-        & (_has_any(agent, PC_MARKS) | (agent.contains("X11") & agent.contains("Linux")))
+        android & ~phone_mark & ~agent.contains("Windows Phone")
     )
-    return df.select(
-        "*",
-        device.otherwise("Other").alias("device"),
-        mobile.cast("int").alias("is_mobile"),
-        pc.cast("int").alias("is_pc"),
-        tablet.cast("int").alias("is_tablet"),
+    mobile = _has_any(agent, MOBILE_MARKS) | (android & phone_mark)
+    pc = _has_any(agent, PC_MARKS) | (agent.contains("X11") & agent.contains("Linux"))
+    # In steps, so that each test is generated and evaluated once.
+    return (
+        df.withColumn("_agent", F.coalesce(F.col(col), F.lit("")))
+        .select(
+            "*",
+            device.otherwise("Other").alias("device"),
+            tablet.alias("_tablet"),
+            mobile.alias("_mobile"),
+            pc.alias("_pc"),
+        )
+        .select(
+            *[F.col(c) for c in df.columns],
+            "device",
+            (~F.col("_tablet") & F.col("_mobile")).cast("int").alias("is_mobile"),
+            (~F.col("_tablet") & ~F.col("_mobile") & F.col("_pc")).cast("int").alias("is_pc"),
+            F.col("_tablet").cast("int").alias("is_tablet"),
+        )
     )

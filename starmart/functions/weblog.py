@@ -83,8 +83,13 @@ def log_time(stamp: Column, tz: str = "wall") -> Column:
 
 
 def parse_weblogs(lines: DataFrame, value_col: str = "value", tz: str = "wall") -> DataFrame:
-    """One output row per line; the fields of a line that does not parse are NULL."""
-    cut = lines.select(F.col(value_col).alias("value"), _fields(F.col(value_col)).alias("_f"))
+    """One output row per line; the fields of a line that does not parse are NULL.
+
+    The one-element explode keeps the cut fields a column of their own: a filter on a parsed
+    column would otherwise be pushed below it and match every line again, once per mention.
+    """
+    line = F.col(value_col)
+    cut = lines.select(line.alias("value"), F.explode(F.array(_fields(line))).alias("_f"))
     fits = F.size("_f") == GROUPS
 
     def field(i: int) -> Column:
