@@ -229,7 +229,8 @@ def lead_workbooks(spark: SparkSession, sf_dir: str) -> DataFrame:
             first = f"{batch.iloc[0, 2]}-{number}"
             yield pd.DataFrame({"path": [f"{first}.xlsx"], "content": [workbook_bytes(batch)]})
 
-    rows = leads(spark, sf_dir).select(*STAGED_LEADS.names)
+    width = 4 * spark.sparkContext.defaultParallelism
+    rows = leads(spark, sf_dir).select(*STAGED_LEADS.names).repartition(width)
     return rows.mapInPandas(
         pack,
         T.StructType(

@@ -83,7 +83,7 @@ def _since_cutover(src):
 
 
 def _empty(spark: SparkSession, dim: S.Dimension) -> DataFrame:
-    return spark.createDataFrame([], dim.schema)
+    return S.empty_frame(spark, dim.schema)
 
 
 def _merged(dim: DataFrame, staged: DataFrame, d: S.Dimension, load_ts: str, **options):
@@ -103,17 +103,24 @@ def _all_staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_dims(spark: SparkSession, staged: DataFrame) -> dict[str, DataFrame]:
-    return {d.name: _first_load(spark, staged, d) for d in S.ORDER_DIMENSIONS}
+    names = [d.name for d in S.ORDER_DIMENSIONS]
+    loads = P.at_once(lambda d=d: _first_load(spark, staged, d) for d in S.ORDER_DIMENSIONS)
+    return dict(zip(names, loads))
+
+
+def _members_at_once(spark, staged: DataFrame, dims) -> dict[str, DataFrame]:
+    loads = P.at_once(lambda d=d: _first_members(spark, staged, d) for d in dims)
+    return dict(zip([d.name for d in dims], loads))
 
 
 def _log_dims(spark: SparkSession, sf_dir: str, staged: DataFrame) -> dict[str, DataFrame]:
-    dims = {d.name: _first_members(spark, staged, d) for d in S.LOG_DIMENSIONS}
+    dims = _members_at_once(spark, staged, S.LOG_DIMENSIONS)
     dims["dim_customer"] = _first_load(spark, A.customers(spark, sf_dir), S.CUSTOMER)
     return dims
 
 
 def _lead_dims(spark: SparkSession, sf_dir: str, staged: DataFrame) -> dict[str, DataFrame]:
-    dims = {d.name: _first_members(spark, staged, d) for d in S.LEAD_DIMENSIONS}
+    dims = _members_at_once(spark, staged, S.LEAD_DIMENSIONS)
     companies = A.read(spark, sf_dir, "nation").select(
         (F.lit(A.CUIT_BASE).cast("bigint") + F.col("n_nationkey")).alias("CUIT"),
         F.col("n_name").alias("company_name"),
@@ -551,7 +558,7 @@ def _orders_and_logs(spark, sf_dir):
     order_dims = _order_dims(spark, orders)
     sold = load_fact(orders, P.order_lookups(order_dims), P.ORDER_FACT_COLUMNS)
     logs = _stored_logs(spark, sf_dir)
-    log_dims = {d.name: _first_members(spark, logs, d) for d in S.LOG_DIMENSIONS}
+    log_dims = _members_at_once(spark, logs, S.LOG_DIMENSIONS)
     log_dims["dim_customer"] = order_dims["dim_customer"]
     return sold, _log_facts(spark, logs, log_dims), {**order_dims, **log_dims}
 

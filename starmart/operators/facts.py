@@ -72,7 +72,10 @@ def load_fact(
     in the given order.
     """
     hot = hot or {}
-    rows = staged
+    # Only what the lookups and the result need travels through the joins.
+    used = {c.split(" as ")[0] for c in columns}
+    used |= {c for lk in lookups for c in (*lk.staged_cols, lk.as_of)}
+    rows = staged.select(*[c for c in staged.columns if c in used])
     for n, lk in enumerate(lookups):
         side, pairs, valid = _lookup_side(lk, n)
         rows = lookup_join(rows, side, pairs, hot=hot.get(lk.staged_cols, ()), also=valid)

@@ -94,12 +94,11 @@ def _described(parsed: DataFrame, geo: DataFrame, hot_ips: Sequence[int] = ()) -
     return enrich_country(classify_user_agent(narrow).drop("useragent"), geo, hot_ips)
 
 
-def _at_once(steps: Iterable[Callable[[], object]]) -> None:
-    """Run independent Spark jobs side by side."""
+def at_once(steps: Iterable[Callable[[], object]]) -> list:
+    """Run independent steps side by side, so that their Spark jobs share the cluster."""
     todo = list(steps)
     with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-        for done in [pool.submit(step) for step in todo]:
-            done.result()
+        return [done.result() for done in [pool.submit(step) for step in todo]]
 
 
 def _open_dims(wh: Warehouse, names: Iterable[str]) -> dict[str, DataFrame]:
@@ -112,7 +111,7 @@ def _merge_order_dims(wh: Warehouse, staged: DataFrame, load_ts, scd2: Mapping)
         changes = scd2_changes(wh.table(d.name), staged, d.key, d.attrs, d.sk, load_ts, **scd2)
         wh.merge_dimension(d.name, changes)
 
-    _at_once(lambda d=d: merge(d) for d in S.ORDER_DIMENSIONS)
+    at_once(lambda d=d: merge(d) for d in S.ORDER_DIMENSIONS)
 
 
 def _add_members(wh: Warehouse, staged: DataFrame, dims, load_ts) -> None:
@@ -120,7 +119,7 @@ def _add_members(wh: Warehouse, staged: DataFrame, dims, load_ts) -> None:
         rows = new_members(wh.table(d.name), staged, d.members, d.sk, load_ts, d.null_mode)
         wh.append(d.name, rows)
 
-    _at_once(lambda d=d: add(d) for d in dims)
+    at_once(lambda d=d: add(d) for d in dims)
 
 
 def _order_fact_rows(wh: Warehouse, staged: DataFrame, company_on: str) -> DataFrame:

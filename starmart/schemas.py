@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
@@ -67,6 +69,12 @@ STAGED_LEADS = _struct(
 GEO = _struct("ip string, country_name string")
 
 
+def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, in a form the optimizer knows to be empty: joins with it fold away."""
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*nulls).filter(F.lit(False))
+
+
 @dataclass(frozen=True)
 class Dimension:
     """A dimension table: its surrogate key, natural key and descriptive attributes.

@@ -14,7 +14,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.schemas import TABLES
+from starmart.schemas import TABLES, empty_frame
 
 # How the slice column follows from the columns of a table, and whether rows are gathered by
 # slice before writing. Gathering avoids a file per task and slice where there are many slices;
@@ -43,7 +43,7 @@ class Warehouse:
         parts = self._state(name)["parts"]
         paths = [p for s, p in parts if slices is None or s in slices]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{name}/{p}" for p in paths])
 
     def slices(self, name: str) -> list[str]:
