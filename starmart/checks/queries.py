@@ -17,9 +17,9 @@ from starmart.operators.dimensions import add_members, fresh_rows, scd2_merge
 from starmart.operators.extract import extract_orders, high_water
 from starmart.operators.facts import (
     Lookup,
+    balance,
     fact_rejects,
     load_fact,
-    lookup_key_sets,
     replace_period,
     same,
 )
@@ -29,7 +29,7 @@ from starmart.operators.keys import assign_keys
 from starmart.operators.synth import synth_weblogs
 from starmart.plans import pipelines as P
 from starmart.plans import reports as R
-from starmart.session import configure, scratch_path
+from starmart.session import at_once, configure, scratch_path
 from starmart.sources.spreadsheet import parse_workbooks
 from starmart.sources.store import Warehouse
 from starmart.sources.text import read_lookup_list, read_weblogs, write_text
@@ -104,12 +104,12 @@ def _all_staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_dims(spark: SparkSession, staged: DataFrame) -> dict[str, DataFrame]:
     names = [d.name for d in S.ORDER_DIMENSIONS]
-    loads = P.at_once(lambda d=d: _first_load(spark, staged, d) for d in S.ORDER_DIMENSIONS)
+    loads = at_once(lambda d=d: _first_load(spark, staged, d) for d in S.ORDER_DIMENSIONS)
     return dict(zip(names, loads))
 
 
 def _members_at_once(spark, staged: DataFrame, dims) -> dict[str, DataFrame]:
-    loads = P.at_once(lambda d=d: _first_members(spark, staged, d) for d in dims)
+    loads = at_once(lambda d=d: _first_members(spark, staged, d) for d in dims)
     return dict(zip([d.name for d in dims], loads))
 
 
@@ -141,14 +141,12 @@ def _stored_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _order_facts(spark: SparkSession, sf_dir: str, company_on: str = "company_name"):
     staged = _all_staged_orders(spark, sf_dir)
     lookups = P.order_lookups(_order_dims(spark, staged), company_on)
-    hot = hot_keys(staged, lookup_key_sets(lookups))
-    return load_fact(staged, lookups, P.ORDER_FACT_COLUMNS, hot)
+    return load_fact(staged, lookups, P.ORDER_FACT_COLUMNS, balance(staged, lookups))
 
 
 def _log_facts(spark: SparkSession, staged: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     lookups = P.log_lookups(dims)
-    hot = hot_keys(staged, lookup_key_sets(lookups))
-    return load_fact(staged, lookups, P.LOG_FACT_COLUMNS, hot)
+    return load_fact(staged, lookups, P.LOG_FACT_COLUMNS, balance(staged, lookups))
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -426,22 +424,21 @@ def fact_logs(spark, sf_dir):
 def fact_logs_rejects(spark, sf_dir):
     staged = _stored_logs(spark, sf_dir)
     lookups = P.log_lookups(_log_dims(spark, sf_dir, staged))
-    return fact_rejects(staged, lookups, hot_keys(staged, lookup_key_sets(lookups)))
+    return fact_rejects(staged, lookups, balance(staged, lookups))
 
 
 @query
 def fact_leads(spark, sf_dir):
     staged = _stored(A.leads(spark, sf_dir), "stg_leads")
     lookups = P.lead_lookups(_lead_dims(spark, sf_dir, staged))
-    hot = hot_keys(staged, lookup_key_sets(lookups))
-    return load_fact(staged, lookups, P.LEAD_FACT_COLUMNS, hot)
+    return load_fact(staged, lookups, P.LEAD_FACT_COLUMNS, balance(staged, lookups))
 
 
 @query
 def fact_leads_rejects(spark, sf_dir):
     staged = _stored(A.leads(spark, sf_dir), "stg_leads")
     lookups = P.lead_lookups(_lead_dims(spark, sf_dir, staged))
-    return fact_rejects(staged, lookups, hot_keys(staged, lookup_key_sets(lookups)))
+    return fact_rejects(staged, lookups, balance(staged, lookups))
 
 
 @query
@@ -556,11 +553,13 @@ def top_devices(spark, sf_dir):
 def _orders_and_logs(spark, sf_dir):
     orders = _all_staged_orders(spark, sf_dir)
     order_dims = _order_dims(spark, orders)
-    sold = load_fact(orders, P.order_lookups(order_dims), P.ORDER_FACT_COLUMNS)
+    lookups = P.order_lookups(order_dims)
+    sold = load_fact(orders, lookups, P.ORDER_FACT_COLUMNS, balance(orders, lookups))
     logs = _stored_logs(spark, sf_dir)
     log_dims = _members_at_once(spark, logs, S.LOG_DIMENSIONS)
     log_dims["dim_customer"] = order_dims["dim_customer"]
-    return sold, _log_facts(spark, logs, log_dims), {**order_dims, **log_dims}
+    seen = _stored(_log_facts(spark, logs, log_dims), "fact_logs")
+    return sold, seen, {**order_dims, **log_dims}
 
 
 @query

@@ -13,7 +13,6 @@ from starmart.functions.literals import wall_clock
 from starmart.operators.keys import assign_keys, next_key
 
 _CHUNK = 10_000
-_NULL_SLICES = 64
 
 
 def current(dim: DataFrame) -> DataFrame:
@@ -159,16 +158,15 @@ def scd2_changes(
     fresh = fresh_rows(staged, known, cols, "except").select(*cols)
     added = assign_keys(fresh, sk, cols, next_key(dim, sk))
     hit = added.select(*key).distinct().withColumn("_hit", F.lit(True))
-    # NULL keys match nothing; slicing them keeps them out of a single partition.
-    slice_no = F.when(
-        _any_null(key), F.pmod(F.xxhash64(*attrs), F.lit(_NULL_SLICES))
-    ).otherwise(F.lit(0).cast("bigint"))
     end_date = F.when(F.col("_hit"), wall_clock(load_ts)).alias("end_date")
+    # NULL keys match nothing, so they need not meet in one partition of the join.
+    open_rows = current(dim).select(sk, *cols, "start_date", "end_date")
+    keyless = open_rows.filter(_any_null(key))
     kept = (
-        current(dim)
-        .withColumn("_slice", slice_no)
-        .join(hit.withColumn("_slice", F.lit(0).cast("bigint")), [*key, "_slice"], "left")
+        open_rows.filter(~_any_null(key))
+        .join(hit, key, "left")
         .select(sk, *cols, "start_date", end_date)
+        .unionByName(keyless)
     )
     return kept.unionByName(_open_version(added, sk, cols, load_ts))
 

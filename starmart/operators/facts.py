@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from starmart.functions.literals import wall_clock
 from starmart.operators.dimensions import current
-from starmart.operators.joins import lookup_join
+from starmart.operators.joins import BROADCAST_ROWS, hot_keys, lookup_join
+from starmart.session import at_once
 
 
 @dataclass(frozen=True)
@@ -40,13 +41,42 @@ def same(*cols: str) -> tuple[tuple[str, str], ...]:
     return tuple((c, c) for c in cols)
 
 
+@dataclass(frozen=True)
+class Balance:
+    """How the lookups are joined: the small ones broadcast, hot keys of the others spread."""
+
+    small: frozenset[str] = frozenset()
+    hot: Mapping[tuple[str, ...], Sequence[int]] = field(default_factory=dict)
+
+
+def balance(staged: DataFrame, lookups: Sequence[Lookup]) -> Balance:
+    """Count the dimensions and find the hot keys of those too large to broadcast.
+
+    Takes a pass over the key columns of ``staged``, which should be a stored table.
+    """
+    sizes = at_once(lambda lk=lk: _versions(lk).count() for lk in lookups)
+    small = {lk.sk for lk, n in zip(lookups, sizes) if n <= BROADCAST_ROWS}
+    large = [lk.staged_cols for lk in lookups if lk.sk not in small]
+    return Balance(frozenset(small), hot_keys(staged, large) if large else {})
+
+
+def _versions(lookup: Lookup) -> DataFrame:
+    return current(lookup.dim) if lookup.as_of is None else lookup.dim
+
+
+def _in_join_order(lookups: Sequence[Lookup], how: Balance) -> list[tuple[int, Lookup]]:
+    """Small dimensions first: they narrow the rows before anything is shuffled."""
+    return sorted(enumerate(lookups), key=lambda item: item[1].sk not in how.small)
+
+
 def _lookup_side(lookup: Lookup, n: int) -> tuple[DataFrame, list[tuple[str, str]], Column | None]:
     """Dimension rows under names that cannot clash with staged ones, and the join terms."""
     pairs = [(s, f"_d{n}_{i}") for i, (s, _) in enumerate(lookup.on)]
     keys = [F.col(d).alias(pairs[i][1]) for i, (_, d) in enumerate(lookup.on)]
+    versions = _versions(lookup)
     if lookup.as_of is None:
-        return current(lookup.dim).select(*keys, lookup.sk), pairs, None
-    side = lookup.dim.select(
+        return versions.select(*keys, lookup.sk), pairs, None
+    side = versions.select(
         *keys, lookup.sk, F.col("start_date").alias(f"_f{n}"), F.col("end_date").alias(f"_t{n}")
     )
     at = F.col(lookup.as_of)
@@ -54,49 +84,47 @@ def _lookup_side(lookup: Lookup, n: int) -> tuple[DataFrame, list[tuple[str, str
     return side, pairs, valid
 
 
-def lookup_key_sets(lookups: Sequence[Lookup]) -> list[tuple[str, ...]]:
-    """Staged key columns of the lookups, as ``hot_keys`` takes them."""
-    return [lk.staged_cols for lk in lookups]
-
-
 def load_fact(
     staged: DataFrame,
     lookups: Sequence[Lookup],
     columns: Sequence[str],
-    hot: Mapping[tuple[str, ...], Sequence[int]] | None = None,
+    how: Balance | None = None,
 ) -> DataFrame:
     """Replace natural keys by surrogate keys and return ``columns`` (names or ``a as b``).
 
     A staged row that misses a dimension is left out (see ``fact_rejects``); one that matches
-    several open versions appears once per match. List small dimensions first: they are joined
-    in the given order.
+    several open versions appears once per match. Without ``how`` the join strategy is left to
+    the optimizer.
     """
-    hot = hot or {}
+    how = how or Balance()
     # Only what the lookups and the result need travels through the joins.
     used = {c.split(" as ")[0] for c in columns}
     used |= {c for lk in lookups for c in (*lk.staged_cols, lk.as_of)}
     rows = staged.select(*[c for c in staged.columns if c in used])
-    for n, lk in enumerate(lookups):
+    for n, lk in _in_join_order(lookups, how):
         side, pairs, valid = _lookup_side(lk, n)
-        rows = lookup_join(rows, side, pairs, hot=hot.get(lk.staged_cols, ()), also=valid)
+        rows = _join(rows, side, pairs, "inner", lk, how, valid)
     return rows.selectExpr(*columns)
 
 
+def _join(rows, side, pairs, kind, lookup: Lookup, how: Balance, valid=None) -> DataFrame:
+    if lookup.sk in how.small:
+        side = F.broadcast(side)
+    return lookup_join(rows, side, pairs, kind, how.hot.get(lookup.staged_cols, ()), valid)
+
+
 def fact_rejects(
-    staged: DataFrame,
-    lookups: Sequence[Lookup],
-    hot: Mapping[tuple[str, ...], Sequence[int]] | None = None,
+    staged: DataFrame, lookups: Sequence[Lookup], how: Balance | None = None
 ) -> DataFrame:
     """The staged rows ``load_fact`` leaves out, with ``missing`` = first dimension not found."""
-    hot = hot or {}
+    how = how or Balance()
     rows = staged
-    for n, lk in enumerate(lookups):
+    for n, lk in _in_join_order(lookups, how):
         if lk.as_of is not None:
             raise ValueError("rejects are defined for lookups of open versions")
         side, pairs, _ = _lookup_side(lk, n)
         found = side.select(*[k for _, k in pairs]).distinct().withColumn(f"_hit{n}", F.lit(True))
-        rows = lookup_join(rows, found, pairs, "left", hot.get(lk.staged_cols, ()))
-        rows = rows.drop(*[k for _, k in pairs])
+        rows = _join(rows, found, pairs, "left", lk, how).drop(*[k for _, k in pairs])
     missing = F.coalesce(
         *[F.when(F.col(f"_hit{n}").isNull(), lk.label) for n, lk in enumerate(lookups)]
     )

@@ -8,12 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.literals import pick
-from starmart.operators.joins import lookup_join
+from starmart.operators.joins import BROADCAST_ROWS, lookup_join
 from starmart.operators.keys import assign_keys
 
-# An indexed list up to this length is broadcast (names: a few MB at most).
-BROADCAST_ROWS = 100_000
-
 
 def unique_geo(geo: DataFrame) -> DataFrame:
     """One row per ip; of several countries the first by name is kept."""

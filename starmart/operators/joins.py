@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Slices a hot key is cut into.
 SLICES = 256
+# A lookup of at most this many rows of key and surrogate key is broadcast: some 10 MB.
+BROADCAST_ROWS = 100_000
 
 
 def hot_keys(

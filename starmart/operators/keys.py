@@ -23,29 +23,31 @@ def assign_keys(rows: DataFrame, sk: str, order_cols: list[str], start: int = 1)
     """Prepend ``sk`` = ``start``, ``start + 1``, ... in the order of ``order_cols``.
 
     Same numbers as a global ``row_number()``, which would sort everything in one task. The rows
-    are range-partitioned and written to the checkpoint folder once, so counting and numbering
-    see the very same partitions even if an executor is lost in between. Only the row count per
-    partition comes to the driver. ``order_cols`` should tell all rows apart.
+    are range-partitioned, ranked within their partition and written to the checkpoint folder
+    once, so the ranks stand even if an executor is lost later. Only the row count per partition
+    comes to the driver. ``order_cols`` should tell all rows apart.
     """
     spark = rows.sparkSession
     shared_dir(spark)
-    ranged = rows.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols).checkpoint()
-    part = F.spark_partition_id()
-    counts = {r["p"]: r["n"] for r in ranged.groupBy(part.alias("p")).agg(
-        F.count(F.lit(1)).alias("n")
-    ).collect()}
-    rank = F.monotonically_increasing_id()
+    ranked = (
+        rows.repartitionByRange(*order_cols)
+        .sortWithinPartitions(*order_cols)
+        .withColumn("_id", F.monotonically_increasing_id())
+        .checkpoint()
+    )
+    part = F.shiftright("_id", _ROW_BITS).cast("int")
+    counts = {
+        r["_part"]: r["count"] for r in ranked.groupBy(part.alias("_part")).count().collect()
+    }
+    rank = F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     if len(counts) <= 1:
-        position = rank.bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-        return ranged.select((position + F.lit(start)).cast("bigint").alias(sk), *rows.columns)
+        return ranked.select((rank + F.lit(start)).alias(sk), *rows.columns)
     parts = sorted(counts)
     firsts = accumulate([start] + [counts[p] for p in parts[:-1]])
     offsets = spark.createDataFrame(list(zip(parts, firsts)), "_part int, _first bigint")
-    numbered = ranged.withColumn("_rank", rank)
-    position = F.col("_rank").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     # One row per partition: small whatever the number of rows.
     return (
-        numbered.withColumn("_part", F.shiftright("_rank", _ROW_BITS).cast("int"))
+        ranked.withColumn("_part", part)
         .join(F.broadcast(offsets), "_part")
-        .select((F.col("_first") + position).alias(sk), *rows.columns)
+        .select((F.col("_first") + rank).alias(sk), *rows.columns)
     )

@@ -6,8 +6,7 @@ surrogate keys of a dimension are committed before the fact looks them up.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation
@@ -20,14 +19,14 @@ from starmart.operators.dimensions import new_members, scd2_changes
 from starmart.operators.extract import extract_orders, high_water
 from starmart.operators.facts import (
     Lookup,
+    balance,
     fact_rejects,
     load_fact,
-    lookup_key_sets,
     outside_period,
     same,
 )
 from starmart.operators.geo import enrich_country
-from starmart.operators.joins import hot_keys
+from starmart.session import at_once
 from starmart.sources.store import Warehouse
 
 _OPEN = {"is_current=1"}
@@ -94,13 +93,6 @@ def _described(parsed: DataFrame, geo: DataFrame, hot_ips: Sequence[int] = ()) -
     return enrich_country(classify_user_agent(narrow).drop("useragent"), geo, hot_ips)
 
 
-def at_once(steps: Iterable[Callable[[], object]]) -> list:
-    """Run independent steps side by side, so that their Spark jobs share the cluster."""
-    todo = list(steps)
-    with ThreadPoolExecutor(max_workers=len(todo)) as pool:
-        return [done.result() for done in [pool.submit(step) for step in todo]]
-
-
 def _open_dims(wh: Warehouse, names: Iterable[str]) -> dict[str, DataFrame]:
     versioned = {d.name for d in S.ORDER_DIMENSIONS}
     return {n: wh.table(n, _OPEN if n in versioned else None) for n in names}
@@ -124,8 +116,7 @@ def _add_members(wh: Warehouse, staged: DataFrame, dims, load_ts) -> None:
 
 def _order_fact_rows(wh: Warehouse, staged: DataFrame, company_on: str) -> DataFrame:
     lookups = order_lookups(_open_dims(wh, [d.name for d in S.ORDER_DIMENSIONS]), company_on)
-    hot = hot_keys(staged, lookup_key_sets(lookups))
-    return load_fact(staged, lookups, ORDER_FACT_COLUMNS, hot)
+    return load_fact(staged, lookups, ORDER_FACT_COLUMNS, balance(staged, lookups))
 
 
 def loaded_up_to(wh: Warehouse, lookback: timedelta | None = None) -> datetime | None:
@@ -206,8 +197,8 @@ def run_logs(
     _add_members(wh, staged, S.LOG_DIMENSIONS, load_ts)
     dims = _open_dims(wh, ["dim_ipaddr", "dim_country", "dim_device", "dim_customer"])
     lookups = log_lookups(dims)
-    hot = hot_keys(staged, lookup_key_sets(lookups))
-    wh.append("fact_logs", load_fact(staged, lookups, LOG_FACT_COLUMNS, hot), batch)
+    rows = load_fact(staged, lookups, LOG_FACT_COLUMNS, balance(staged, lookups))
+    wh.append("fact_logs", rows, batch)
     return counts.get
 
 
@@ -228,8 +219,8 @@ def run_leads(
     lookups = lead_lookups(
         _open_dims(wh, ["dim_company", "dim_contact", "dim_leadsource", "dim_status"])
     )
-    hot = hot_keys(staged, lookup_key_sets(lookups))
-    wh.append("fact_leads", load_fact(staged, lookups, LEAD_FACT_COLUMNS, hot), batch)
+    rows = load_fact(staged, lookups, LEAD_FACT_COLUMNS, balance(staged, lookups))
+    wh.append("fact_leads", rows, batch)
 
 
 def lead_rejects(wh: Warehouse) -> DataFrame:
@@ -238,4 +229,4 @@ def lead_rejects(wh: Warehouse) -> DataFrame:
     lookups = lead_lookups(
         _open_dims(wh, ["dim_company", "dim_contact", "dim_leadsource", "dim_status"])
     )
-    return fact_rejects(staged, lookups, hot_keys(staged, lookup_key_sets(lookups)))
+    return fact_rejects(staged, lookups, balance(staged, lookups))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -46,3 +48,10 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def at_once(steps: Iterable[Callable[[], object]]) -> list:
+    """Run independent steps side by side, so that their Spark jobs share the cluster."""
+    todo = list(steps)
+    with ThreadPoolExecutor(max_workers=max(1, len(todo))) as pool:
+        return [done.result() for done in [pool.submit(step) for step in todo]]

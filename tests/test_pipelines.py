@@ -1,0 +1,190 @@
+"""Whole loads on the snapshot store, inbox streams, report views."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from starmart import adapters as A
+from starmart import schemas as S
+from starmart.operators.dimensions import current
+from starmart.plans import pipelines as P
+from starmart.plans import reports as R
+from starmart.session import scratch_path
+from starmart.sources.store import Warehouse
+from starmart.streaming.inbox import ingest_inbox, ingest_leads, ingest_weblogs
+
+SF = "/root/testdata/sf0.001"
+T1, T2, T3 = "2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"
+PERIOD = ("2000-01-15 00:00:00", "2000-03-10 00:00:00")
+
+
+def new_warehouse(spark):
+    return Warehouse(spark, scratch_path(spark, "wh"))
+
+
+def same_rows(a, b):
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+@pytest.fixture(scope="module")
+def src(spark):
+    return A.order_system(spark, SF)
+
+
+@pytest.fixture(scope="module")
+def loaded(spark, src):
+    """Orders loaded once; tests that write make their own."""
+    wh = new_warehouse(spark)
+    P.run_orders(wh, src, T1)
+    return wh
+
+
+def test_orders_load_once(spark, src, loaded):
+    assert loaded.table("fact_orders").count() == src["orders"].count()
+    for d in S.ORDER_DIMENSIONS:
+        dim = loaded.table(d.name)
+        assert dim.count() == current(dim).count() == dim.select(*d.key).distinct().count()
+
+
+def test_a_second_run_finds_nothing_new(spark, src):
+    wh = new_warehouse(spark)
+    P.run_orders(wh, src, T1)
+    before = wh.table("fact_orders")
+    P.run_orders(wh, src, T2)
+    assert wh.table("stg_orders").count() == 0
+    assert same_rows(before, wh.table("fact_orders"))
+    assert wh.table("dim_product").filter("end_date is not null").count() == 0
+
+
+def test_reprocessing_twice_equals_once(spark, src):
+    wh = new_warehouse(spark)
+    P.run_orders(wh, src, T1)
+    whole = wh.table("fact_orders")
+    P.reprocess_orders(wh, src, *PERIOD, T2)
+    once = wh.table("fact_orders")
+    assert same_rows(whole, once)
+    P.reprocess_orders(wh, src, *PERIOD, T3)
+    assert same_rows(once, wh.table("fact_orders"))
+
+
+def test_a_month_emptied_by_reprocessing(spark, src):
+    wh = new_warehouse(spark)
+    P.run_orders(wh, src, T1)
+    gone = F.col("order_date").between(
+        F.lit("2000-02-01").cast("timestamp_ntz"), F.lit("2000-02-29").cast("timestamp_ntz")
+    )
+    kept = wh.table("fact_orders").filter(~gone)
+    cut = src.replaced(orders=src["orders"].filter(~gone))
+    P.reprocess_orders(wh, cut, "2000-02-01 00:00:00", "2000-02-29 00:00:00", T2)
+    assert "order_month=2000-02" not in wh.slices("fact_orders")
+    assert same_rows(kept, wh.table("fact_orders"))
+
+
+def test_only_touched_months_are_rewritten(spark, src):
+    wh = new_warehouse(spark)
+    P.run_orders(wh, src, T1)
+    before = set(wh.table("fact_orders").inputFiles())
+    P.reprocess_orders(wh, src, *PERIOD, T2)
+    rewritten = before - set(wh.table("fact_orders").inputFiles())
+    months = {f.split("order_month=")[1][:7] for f in rewritten}
+    assert months == {"2000-01", "2000-02", "2000-03"}
+
+
+def test_logs_load_counts_lines(spark, loaded):
+    counts = P.run_logs(loaded, A.weblog_lines(spark, SF), A.geo(spark, SF), T1)
+    assert counts["lines"] == 1000
+    assert counts["unreadable"] == P.quarantined_lines(loaded).count() > 0
+    staged = loaded.table("stg_logs", {"is_readable=1"})
+    assert staged.count() + counts["unreadable"] == counts["lines"]
+
+
+def test_leads_and_rejects_make_up_the_batch(spark, loaded):
+    leads = A.leads(spark, SF)
+    P.run_leads(loaded, leads, T1)
+    fact, rejects = loaded.table("fact_leads").count(), P.lead_rejects(loaded)
+    assert fact + rejects.count() == leads.count()
+    assert {r["missing"] for r in rejects.select("missing").distinct().collect()} <= {
+        "company",
+        "leadsource",
+    }
+
+
+def test_each_file_of_an_inbox_is_loaded_once(spark, src, tmp_path):
+    wh = new_warehouse(spark)
+    P.run_orders(wh, src, T1)
+    inbox, state = str(tmp_path / "inbox"), str(tmp_path / "state")
+    archive = str(tmp_path / "archive")
+    geo = A.geo(spark, SF)
+    lines = A.weblog_lines(spark, SF)
+    half = F.col("value").contains("Windows")
+    lines.filter(half).write.text(inbox)
+    ingest_weblogs(wh, inbox, state, geo, T1, archive=archive)
+    first = wh.table("fact_logs").count()
+    ingest_weblogs(wh, inbox, state, geo, T1, archive=archive)
+    assert wh.table("fact_logs").count() == first > 0
+    lines.filter(~half).write.mode("append").text(inbox)
+    ingest_weblogs(wh, inbox, state, geo, T1, archive=archive)
+    whole = new_warehouse(spark)
+    P.run_orders(whole, src, T1)
+    P.run_logs(whole, lines, geo, T1)
+    assert wh.table("fact_logs").count() == whole.table("fact_logs").count()
+    for fact, dim, key in (("fact_logs", "dim_country", "sk_country"),):
+        per_name = [
+            w.table(fact).join(w.table(dim), key).groupBy("country_name").count()
+            for w in (wh, whole)
+        ]
+        assert same_rows(*per_name)
+
+
+def test_a_replayed_batch_adds_no_facts(spark, src):
+    wh = new_warehouse(spark)
+    P.run_orders(wh, src, T1)
+    for _ in range(2):
+        P.run_leads(wh, A.leads(spark, SF), T1, batch=("inbox", 0))
+    once = wh.table("fact_leads").count()
+    P.run_leads(wh, A.leads(spark, SF), T1, batch=("inbox", 1))
+    assert wh.table("fact_leads").count() == 2 * once
+
+
+def test_workbooks_of_an_inbox(spark, src, tmp_path):
+    wh = new_warehouse(spark)
+    P.run_orders(wh, src, T1)
+    inbox = tmp_path / "books"
+    inbox.mkdir()
+    for i, r in enumerate(A.lead_workbooks(spark, SF).toLocalIterator()):
+        (inbox / f"{i}.xlsx").write_bytes(r["content"])
+    ingest_leads(wh, str(inbox), str(tmp_path / "state"), T1)
+    other = new_warehouse(spark)
+    P.run_orders(other, src, T1)
+    P.run_leads(other, A.leads(spark, SF), T1)
+    assert same_rows(wh.table("fact_leads"), other.table("fact_leads"))
+
+
+def test_files_move_to_the_archive_in_a_later_batch(spark, tmp_path):
+    inbox, archive = tmp_path / "in", tmp_path / "done"
+    inbox.mkdir()
+    seen = []
+
+    def take(df, number):
+        seen.append((number, sorted(r["value"] for r in df.collect())))
+
+    for i in range(3):
+        (inbox / f"{i}.log").write_text(f"line {i}\n")
+        ingest_inbox(spark, str(inbox), str(tmp_path / "cp"), take, archive=str(archive))
+    assert seen == [(i, [f"line {i}"]) for i in range(3)]
+    archived = [f for _, _, files in os.walk(archive) for f in files]
+    left = [f.name for f in inbox.iterdir()]
+    assert "0.log" in archived and sorted(archived + left) == ["0.log", "1.log", "2.log"]
+
+
+def test_report_views(spark, loaded):
+    R.register_reports(spark, loaded, 2000)
+    months = spark.table("all_sales_by_month_2000").collect()
+    assert [r["month"] for r in months] == list(range(1, 13))
+    assert spark.table("top_5_devices").columns[-1] == "log_count"
+    assert spark.table("top_100_products_country_most_access").columns == [
+        "product_name",
+        "country_name",
+        "amount_sold",
+    ]
