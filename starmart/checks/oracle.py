@@ -8,8 +8,13 @@ from starmart import schemas as S
 from starmart.adapters import AGENTS
 from starmart.checks.queries import CUTOVER, LOAD_1, LOAD_2, LOAD_3, MID_JANUARY, PERIOD
 from starmart.checks.queries import REPORT_YEAR as YEAR
-from starmart.functions.weblog import LINE
 
+# The line format without possessive quantifiers, which RE2 lacks.
+LINE = (
+    r"^(\S+) (\S+) (\S+) \[([^\]]+)\] "
+    r'"((?:[^"\\]|\\.)*)" (\d{3}|-) (\d+|-)'
+    r'(?: "((?:[^"\\]|\\.)*)" "((?:[^"\\]|\\.)*)")?\s*$'
+)
 _CTES: dict[str, str] = {}
 _SQL: dict[str, str] = {}
 
@@ -383,6 +388,7 @@ _oracle(
        where username not in (select username from dim_customer_list)""",
 )
 _oracle("fact_leads", _lead_fact("dim_company_list"))
+_SQL["fact_leads_ignoring_case"] = _SQL["fact_leads"]
 _oracle("fact_leads_rejects", _lead_rejects("dim_company_list"))
 _oracle(
     "reprocess_orders_period",
@@ -420,11 +426,26 @@ def _pick(n: str, *parts: str) -> str:
     return f"cast('0x' || substr(md5(concat_ws(':', {', '.join(parts)})), 1, 15) as bigint) % {n}"
 
 
+_cte(
+    "country_numbers",
+    "select n_name as country_name, row_number() over (order by n_name) - 1 as idx from nation",
+)
+
+
+def _country_no(seed: str) -> str:
+    return _pick("(select count(distinct n_name) from nation)", seed, "ipaddr")
+
+
 _oracle(
     "assign_country_of_ip",
-    f"""select ipaddr, time, country_name from parsed join (select n_name as country_name,
-        row_number() over (order by n_name) - 1 as idx from nation) c
-        on c.idx = {_pick("(select count(distinct n_name) from nation)", "7", "ipaddr")}""",
+    f"""select ipaddr, time, country_name from parsed
+        join country_numbers on idx = {_country_no("7")}""",
+)
+_oracle(
+    "stage_weblogs_assigned",
+    f"""select ipaddr, username, time, country_name, device, is_mobile, is_pc, is_tablet
+        from described join country_numbers on idx = {_country_no("0")}
+        where time is not null""",
 )
 _cte(
     "drawn",

@@ -134,6 +134,13 @@ def _staged_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.stage_weblogs(lines, A.geo(spark, sf_dir))
 
 
+def _country_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nation names, written as a text file and read as a lookup list."""
+    path = scratch_path(spark, "countries")
+    write_text(A.read(spark, sf_dir, "nation").select("n_name"), path)
+    return read_lookup_list(spark, path)
+
+
 def _stored_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(_staged_logs(spark, sf_dir), "stg_logs")
 
@@ -434,6 +441,17 @@ def fact_leads(spark, sf_dir):
     return load_fact(staged, lookups, P.LEAD_FACT_COLUMNS, balance(staged, lookups))
 
 
+@query
+def fact_leads_ignoring_case(spark, sf_dir):
+    """Staged names in lower case, dimension members as they were written."""
+    leads = A.leads(spark, sf_dir)
+    dims = _lead_dims(spark, sf_dir, leads)
+    names = ["company_name", "contact_name", "lead_source", "status"]
+    lower = leads.withColumns({c: F.lower(c) for c in names})
+    lookups = P.lead_lookups(dims, collation="UTF8_LCASE")
+    return load_fact(lower, lookups, P.LEAD_FACT_COLUMNS)
+
+
 @query
 def fact_leads_rejects(spark, sf_dir):
     staged = _stored(A.leads(spark, sf_dir), "stg_leads")
@@ -497,11 +515,15 @@ def enrich_country_of_ip(spark, sf_dir):
 
 @query
 def assign_country_of_ip(spark, sf_dir):
-    """A made-up country for each log row, drawn from the nation names read as a lookup list."""
-    path = scratch_path(spark, "countries")
-    write_text(A.read(spark, sf_dir, "nation").select("n_name"), path)
+    """A made-up country for each log row."""
     parsed = parse_weblogs(A.weblog_lines(spark, sf_dir)).select("ipaddr", "time")
-    return assign_country(parsed, read_lookup_list(spark, path), seed=7)
+    return assign_country(parsed, _country_list(spark, sf_dir), seed=7)
+
+
+@query
+def stage_weblogs_assigned(spark, sf_dir):
+    lines = A.weblog_lines(spark, sf_dir)
+    return P.stage_weblogs(lines, countries=_country_list(spark, sf_dir))
 
 
 @query

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from starmart.functions.literals import wall_clock
 
+# A quoted field, where a backslash guards the next character. Possessive, so that the matcher
+# loops instead of recursing: a field of any length fits on the stack.
+_QUOTED = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 LINE = (
-    r"^(\S+) (\S+) (\S+) \[([^\]]+)\] "
-    r'"((?:[^"\\]|\\.)*)" (\d{3}|-) (\d+|-)'
-    r'(?: "((?:[^"\\]|\\.)*)" "((?:[^"\\]|\\.)*)")?\s*$'
+    rf"^(\S+) (\S+) (\S+) \[([^\]]+)\] {_QUOTED} (\d{{3}}|-) (\d+|-)"
+    rf"(?: {_QUOTED} {_QUOTED})?\s*$"
 )
 STAMP = r"^\d{2}/[A-Za-z]{3}/\d{4}:\d{2}:\d{2}:\d{2}"
 GROUPS = 9

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.literals import wall_clock
@@ -19,13 +19,15 @@ from starmart.session import at_once
 class Lookup:
     """Find ``sk`` in ``dim`` where staged and dimension columns of ``on`` are equal.
 
-    The open version is taken; with ``as_of`` the version valid at that staged time.
+    The open version is taken; with ``as_of`` the version valid at that staged time. Text is
+    compared byte by byte, or by a ``collation`` such as ``UTF8_LCASE`` (ignores case).
     """
 
     dim: DataFrame
     sk: str
     on: tuple[tuple[str, str], ...]
     as_of: str | None = None
+    collation: str | None = None
 
     @property
     def staged_cols(self) -> tuple[str, ...]:
@@ -56,7 +58,8 @@ def balance(staged: DataFrame, lookups: Sequence[Lookup]) -> Balance:
     """
     sizes = at_once(lambda lk=lk: _versions(lk).count() for lk in lookups)
     small = {lk.sk for lk, n in zip(lookups, sizes) if n <= BROADCAST_ROWS}
-    large = [lk.staged_cols for lk in lookups if lk.sk not in small]
+    # Hot keys are found byte by byte; lookups by collation rely on AQE.
+    large = [lk.staged_cols for lk in lookups if lk.sk not in small and not lk.collation]
     return Balance(frozenset(small), hot_keys(staged, large) if large else {})
 
 
@@ -69,19 +72,41 @@ def _in_join_order(lookups: Sequence[Lookup], how: Balance) -> list[tuple[int, L
     return sorted(enumerate(lookups), key=lambda item: item[1].sk not in how.small)
 
 
-def _lookup_side(lookup: Lookup, n: int) -> tuple[DataFrame, list[tuple[str, str]], Column | None]:
-    """Dimension rows under names that cannot clash with staged ones, and the join terms."""
-    pairs = [(s, f"_d{n}_{i}") for i, (s, _) in enumerate(lookup.on)]
-    keys = [F.col(d).alias(pairs[i][1]) for i, (_, d) in enumerate(lookup.on)]
-    versions = _versions(lookup)
-    if lookup.as_of is None:
-        return versions.select(*keys, lookup.sk), pairs, None
-    side = versions.select(
-        *keys, lookup.sk, F.col("start_date").alias(f"_f{n}"), F.col("end_date").alias(f"_t{n}")
-    )
-    at = F.col(lookup.as_of)
-    valid = (at >= F.col(f"_f{n}")) & (F.col(f"_t{n}").isNull() | (at < F.col(f"_t{n}")))
-    return side, pairs, valid
+def _looked_up(
+    rows: DataFrame, lookup: Lookup, n: int, kind: str, how: Balance, found_only: bool = False
+) -> DataFrame:
+    """``rows`` joined with lookup number ``n``; its columns get names that cannot clash.
+
+    With ``found_only`` the dimension contributes one flag per key, ``_hit{n}``.
+    """
+    keys, pairs = [], []
+    for i, (staged_col, dim_col) in enumerate(lookup.on):
+        key = F.col(dim_col)
+        left = staged_col
+        if lookup.collation:
+            left = f"_s{n}_{i}"
+            rows = rows.withColumn(left, F.collate(staged_col, lookup.collation))
+            key = F.collate(key, lookup.collation)
+        keys.append(key.alias(f"_d{n}_{i}"))
+        pairs.append((left, f"_d{n}_{i}"))
+    side, valid = _versions(lookup).select(*keys, lookup.sk), None
+    if lookup.as_of:
+        side = _versions(lookup).select(
+            *keys,
+            lookup.sk,
+            F.col("start_date").alias(f"_from{n}"),
+            F.col("end_date").alias(f"_to{n}"),
+        )
+        at, until = F.col(lookup.as_of), F.col(f"_to{n}")
+        valid = (at >= F.col(f"_from{n}")) & (until.isNull() | (at < until))
+    if found_only:
+        side = side.select(*[k for _, k in pairs]).distinct().withColumn(f"_hit{n}", F.lit(True))
+    if lookup.sk in how.small:
+        side = F.broadcast(side)
+    hot = () if lookup.collation else how.hot.get(lookup.staged_cols, ())
+    joined = lookup_join(rows, side, pairs, kind, hot, valid)
+    helpers = {c for c in joined.columns if c.startswith(("_s", "_d", "_from", "_to"))}
+    return joined.drop(*helpers)
 
 
 def load_fact(
@@ -102,17 +127,10 @@ def load_fact(
     used |= {c for lk in lookups for c in (*lk.staged_cols, lk.as_of)}
     rows = staged.select(*[c for c in staged.columns if c in used])
     for n, lk in _in_join_order(lookups, how):
-        side, pairs, valid = _lookup_side(lk, n)
-        rows = _join(rows, side, pairs, "inner", lk, how, valid)
+        rows = _looked_up(rows, lk, n, "inner", how)
     return rows.selectExpr(*columns)
 
 
-def _join(rows, side, pairs, kind, lookup: Lookup, how: Balance, valid=None) -> DataFrame:
-    if lookup.sk in how.small:
-        side = F.broadcast(side)
-    return lookup_join(rows, side, pairs, kind, how.hot.get(lookup.staged_cols, ()), valid)
-
-
 def fact_rejects(
     staged: DataFrame, lookups: Sequence[Lookup], how: Balance | None = None
 ) -> DataFrame:
@@ -122,9 +140,7 @@ def fact_rejects(
     for n, lk in _in_join_order(lookups, how):
         if lk.as_of is not None:
             raise ValueError("rejects are defined for lookups of open versions")
-        side, pairs, _ = _lookup_side(lk, n)
-        found = side.select(*[k for _, k in pairs]).distinct().withColumn(f"_hit{n}", F.lit(True))
-        rows = _join(rows, found, pairs, "left", lk, how).drop(*[k for _, k in pairs])
+        rows = _looked_up(rows, lk, n, "left", how, found_only=True)
     missing = F.coalesce(
         *[F.when(F.col(f"_hit{n}").isNull(), lk.label) for n, lk in enumerate(lookups)]
     )

@@ -25,7 +25,7 @@ from starmart.operators.facts import (
     outside_period,
     same,
 )
-from starmart.operators.geo import enrich_country
+from starmart.operators.geo import assign_country, enrich_country
 from starmart.session import at_once
 from starmart.sources.store import Warehouse
 
@@ -54,13 +54,15 @@ def log_lookups(dims: Mapping[str, DataFrame]) -> list[Lookup]:
     ]
 
 
-def lead_lookups(dims: Mapping[str, DataFrame]) -> list[Lookup]:
-    return [
-        Lookup(dims["dim_company"], "sk_company", same("company_name")),
-        Lookup(dims["dim_leadsource"], "sk_leadsource", same("lead_source")),
-        Lookup(dims["dim_status"], "sk_status", same("status")),
-        Lookup(dims["dim_contact"], "sk_contact", same("contact_name")),
+def lead_lookups(dims: Mapping[str, DataFrame], collation: str | None = None) -> list[Lookup]:
+    """Lookups of the lead fact, all by name; a ``collation`` lets the names differ in case."""
+    by_name = [
+        ("dim_company", "sk_company", "company_name"),
+        ("dim_leadsource", "sk_leadsource", "lead_source"),
+        ("dim_status", "sk_status", "status"),
+        ("dim_contact", "sk_contact", "contact_name"),
     ]
+    return [Lookup(dims[d], sk, same(c), collation=collation) for d, sk, c in by_name]
 
 
 ORDER_FACT_COLUMNS = [
@@ -77,20 +79,35 @@ LEAD_FACT_COLUMNS = S.FACT_LEADS.names
 
 def stage_weblogs(
     lines: DataFrame,
-    geo: DataFrame,
+    geo: DataFrame | None = None,
+    countries: DataFrame | None = None,
     tz: str = "wall",
     keep_unparsable: bool = False,
     hot_ips: Sequence[int] = (),
 ) -> DataFrame:
-    """Log lines -> staged log rows: parse, drop unreadable times, add country and device."""
+    """Log lines -> staged log rows: parse, drop unreadable times, add country and device.
+
+    The country comes from ``geo`` (``ip, country_name``, unique per ip), or is made up from the
+    list ``countries``.
+    """
     parsed = readable(parse_weblogs(lines, tz=tz), keep_unparsable)
-    return _described(parsed, geo, hot_ips).select(*S.STAGED_LOGS.names)
+    return _described(parsed, geo, countries, hot_ips).select(*S.STAGED_LOGS.names)
 
 
-def _described(parsed: DataFrame, geo: DataFrame, hot_ips: Sequence[int] = ()) -> DataFrame:
+def _described(
+    parsed: DataFrame,
+    geo: DataFrame | None,
+    countries: DataFrame | None,
+    hot_ips: Sequence[int] = (),
+) -> DataFrame:
+    if (geo is None) == (countries is None):
+        raise ValueError("give either geo or countries")
     narrow = parsed.select("ipaddr", "username", "time", "useragent", "value")
     # Before the join, so that the agent text is not shuffled with the row.
-    return enrich_country(classify_user_agent(narrow).drop("useragent"), geo, hot_ips)
+    rows = classify_user_agent(narrow).drop("useragent")
+    if geo is None:
+        return assign_country(rows, countries)
+    return enrich_country(rows, geo, hot_ips)
 
 
 def _open_dims(wh: Warehouse, names: Iterable[str]) -> dict[str, DataFrame]:
@@ -151,16 +168,20 @@ def reprocess_orders(
     load_ts: datetime | str,
     company_on: str = "company_name",
     match_company: bool = False,
+    dim_rows: DataFrame | None = None,
     scd2: Mapping | None = None,
 ) -> None:
     """Load the orders of a closed date range again and exchange them in the fact.
 
+    The dimensions take their members from the reloaded rows, or from ``dim_rows`` if given.
+
     Only the months the range touches are rewritten, and in one step: readers see the old or the
     new period, never a gap.
     """
     rows = extract_orders(src, start=start, end=end, match_company=match_company)
     staged = wh.overwrite("stg_orders_reprocess", rows)
-    _merge_order_dims(wh, staged, load_ts, scd2 or {})
+    members = staged if dim_rows is None else dim_rows
+    _merge_order_dims(wh, members, load_ts, scd2 or {})
     first, last = str(start)[:7], str(end)[:7]
     touched = [s for s in wh.slices("fact_orders") if first <= s[len(_MONTH):] <= last]
     kept = outside_period(wh.table("fact_orders", touched), "order_date", start, end)
@@ -171,8 +192,9 @@ def reprocess_orders(
 def run_logs(
     wh: Warehouse,
     lines: DataFrame,
-    geo: DataFrame,
+    geo: DataFrame | None,
     load_ts: datetime | str,
+    countries: DataFrame | None = None,
     tz: str = "wall",
     keep_unparsable: bool = False,
     batch: tuple[str, int] | None = None,
@@ -191,7 +213,7 @@ def run_logs(
     if keep_unparsable:
         parsed = readable(parsed, keep_unparsable=True)
     raw = F.when(F.col("time").isNull(), F.col("value")).alias("value")
-    rows = _described(parsed.withColumn("value", raw), geo)
+    rows = _described(parsed.withColumn("value", raw), geo, countries)
     wh.overwrite("stg_logs", rows)
     staged = wh.table("stg_logs", {"is_readable=1"})
     _add_members(wh, staged, S.LOG_DIMENSIONS, load_ts)

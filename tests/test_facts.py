@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.operators.facts import Lookup, fact_rejects, load_fact, replace_period, same
+from starmart.operators.facts import Lookup, balance, fact_rejects, load_fact, replace_period, same
 from starmart.operators.geo import assign_country, enrich_country, unique_geo
 from starmart.operators.joins import hot_keys, lookup_join
 
@@ -102,6 +102,31 @@ def test_two_open_versions_multiply_facts_but_not_rejects(spark):
     assert fact_rejects(staged, lookups).count() == 1
 
 
+def test_names_may_differ_in_case_by_collation(spark):
+    staged = spark.createDataFrame([("ANN", 1), ("bob", 2), (None, 3)], "name string, v int")
+    dim = dim_of(spark, (1, "Ann", None, None), (2, "Bob", None, "2024-01-01"))
+    exact, lax = (Lookup(dim, "sk_c", same("name"), collation=c) for c in (None, "UTF8_LCASE"))
+    assert load_fact(staged, [exact], ["v"]).count() == 0
+    assert [tuple(r) for r in load_fact(staged, [lax], ["sk_c", "v"]).collect()] == [(1, 1)]
+    assert sorted(r["v"] for r in fact_rejects(staged, [lax]).collect()) == [2, 3]
+
+
+def test_balance_broadcasts_small_dimensions_and_spreads_the_rest(spark, skewed, monkeypatch):
+    small = dim_of(spark, (1, "hot", None, None), (2, "k1", None, None))
+    large = dim_of(spark, *[(i, f"k{i}", None, None) for i in range(20)], (99, "hot", None, None))
+    large = large.withColumnRenamed("sk_c", "sk_o")
+    lookups = [Lookup(large, "sk_o", (("k", "name"),)), Lookup(small, "sk_c", (("k", "name"),))]
+    monkeypatch.setattr("starmart.operators.facts.BROADCAST_ROWS", 10)
+    how = balance(skewed, lookups)
+    assert how.small == {"sk_c"} and len(how.hot[("k",)]) >= 1
+    plain = load_fact(skewed, lookups, ["sk_o", "sk_c", "v"])
+    spread = load_fact(skewed, lookups, ["sk_o", "sk_c", "v"], how)
+    assert plain.exceptAll(spread).count() == spread.exceptAll(plain).count() == 0
+    rejects = [fact_rejects(skewed, lookups, h) for h in (None, how)]
+    assert rejects[0].exceptAll(rejects[1]).count() == rejects[1].exceptAll(rejects[0]).count() == 0
+    assert plain.count() + rejects[0].count() == skewed.count()
+
+
 def test_as_of_takes_the_version_of_the_day(spark):
     dim = dim_of(
         spark, (1, "a", "2020-01-01", "2021-01-01"), (2, "a", "2021-01-01", None)

@@ -141,3 +141,43 @@ def test_skewed_joins_have_fresh_shuffles_on_both_sides(spark, wh):
         text = plan(df)
     assert text.count("SortMergeJoin Inner (") == 4
     assert exchanges(text) == 8
+
+
+def test_aqe_splits_a_hot_item_of_the_extract(spark):
+    """Also below the join with the list prices, which reuses the shuffle by item."""
+    src = stored_source(spark)
+    item = src["orders"].first()["suppliers_catalog_id"]
+    third = F.col("order_id") % 3 == 0
+    hot = F.when(third, F.lit(item)).otherwise(F.col("suppliers_catalog_id"))
+    folder = scratch_path(spark, "hot")
+    orders = src["orders"].withColumn("suppliers_catalog_id", hot)
+    for _ in range(3):
+        orders = orders.unionAll(orders)
+    orders.repartition(32).write.parquet(folder)
+    df = extract_orders(src.replaced(orders=spark.read.parquet(folder)))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = df.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(rows) == 8 * src["orders"].count()
+    assert "SortMergeJoin(skew=true)" in final
+    assert len(re.findall(r"SortMergeJoin\(skew=true\).*LeftOuter", final)) == 1
+
+
+def test_monthly_writes_are_gathered_and_split_by_aqe(spark, wh):
+    rows = wh.table("fact_orders").withColumn("m", F.date_format("order_date", "yyyy-MM"))
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(rows.hint("rebalance", F.col("m")))

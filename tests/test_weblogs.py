@@ -99,6 +99,13 @@ def test_a_line_holding_the_field_mark(spark):
     assert row["useragent"] == "cu\u0001rl/7.79.1" and row["ipaddr"] == "10.1.0.7"
 
 
+def test_a_very_long_field(spark):
+    """A field of 200,000 characters, one in four of them guarded, does not exhaust the stack."""
+    agent = 'a\\"b' * 50_000
+    (row,) = parse(spark, GOOD.replace("curl/7.79.1", agent))
+    assert row["useragent"] == agent and row["bytes"] == 209
+
+
 FIELD = st.text(alphabet='abZ09./:;"\\[] -\u0001$é', max_size=12)
 
 
