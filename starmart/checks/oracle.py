@@ -544,6 +544,11 @@ _oracle("pipeline_orders_dim", "select * from dim_product_two")
 _SQL["pipeline_reprocess"] = _SQL["reprocess_orders_period"]
 _oracle("pipeline_logs", "select * from logs_fact_of_buyers")
 _SQL["inbox_ingest"] = _SQL["pipeline_logs"]
+_oracle(
+    "pipeline_logs_rejects",
+    """select l.*, 'customer' as missing from staged_logs l
+       where username not in (select username from dim_customer_all)""",
+)
 _SQL["pipeline_logs_quarantine"] = _SQL["parse_weblogs_quarantine"]
 _oracle("pipeline_leads", _lead_fact("dim_company_all"))
 _oracle("pipeline_leads_rejects", _lead_rejects("dim_company_all"))

@@ -661,6 +661,13 @@ def pipeline_logs_quarantine(spark, sf_dir):
     return P.quarantined_lines(wh)
 
 
+@query
+def pipeline_logs_rejects(spark, sf_dir):
+    wh = _with_customers_and_companies(spark, sf_dir)
+    P.run_logs(wh, A.weblog_lines(spark, sf_dir), A.geo(spark, sf_dir), LOAD_1)
+    return P.log_rejects(wh)
+
+
 @query
 def pipeline_leads(spark, sf_dir):
     wh = _with_customers_and_companies(spark, sf_dir)

@@ -125,9 +125,11 @@ def add_members(dim: DataFrame, staged: DataFrame, cols, sk, load_ts, null_mode,
 def _latest_variant(
     staged: DataFrame, key: Sequence[str], attrs: Sequence[str], order_col: str
 ) -> DataFrame:
-    newest = F.max(F.struct(order_col, *attrs)).alias("_v")
-    return (
-        staged.groupBy(*key).agg(newest).select(*key, *[F.col(f"_v.{a}").alias(a) for a in attrs])
+    """The newest variant of each key. Variants are brought down to one row each beforehand."""
+    variants = staged.groupBy(*key, *attrs).agg(F.max(order_col).alias("_at"))
+    newest = F.max(F.struct("_at", *attrs)).alias("_v")
+    return variants.groupBy(*key).agg(newest).select(
+        *key, *[F.col(f"_v.{a}").alias(a) for a in attrs]
     )
 
 

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Slices a hot key is cut into.
 SLICES = 256
+# Limit of the sketch function.
+_MOST_TRACKED = 1_000_000
 # A lookup of at most this many rows of key and surrogate key is broadcast: some 10 MB.
 BROADCAST_ROWS = 100_000
 
@@ -25,8 +27,9 @@ def hot_keys(
     included; that moves work between tasks and never changes a join result.
     """
     top = math.ceil(1 / share)
+    tracked = min(top * 100, _MOST_TRACKED)
     sketches = [
-        F.expr(f"approx_top_k(_k{i}, {top}, {top * 100})").alias(f"_s{i}")
+        F.expr(f"approx_top_k(_k{i}, {top}, {tracked})").alias(f"_s{i}")
         for i in range(len(key_sets))
     ]
     row = (

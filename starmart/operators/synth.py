@@ -12,17 +12,26 @@ from starmart.functions.weblog import MONTHS
 from starmart.operators.geo import indexed
 from starmart.operators.joins import lookup_join
 
-# The constant parts of every generated line.
+# Fixed value: the part every generated line has between its time and its agent.
 LINE_TAIL = ' -0700] "GET /favicon.ico HTTP/1.1" 404 209 "http://www.example.com/start.html" "'
 
 
 def log_stamp(time: Column) -> Column:
-    """TIMESTAMP_NTZ -> ``10/Jan/2021:14:03:00``, in English whatever the locale."""
+    """TIMESTAMP_NTZ -> ``10/Jan/2021:14:03:00``.
+
+    Cut from the ISO text: ``date_format`` would go through the session time zone, where some
+    clock times do not exist.
+    """
+    iso = time.cast("string")
     names = F.array(*[F.lit(m) for m in MONTHS])
     return F.concat(
-        F.date_format(time, "dd/"),
+        iso.substr(9, 2),
+        F.lit("/"),
         F.element_at(names, F.month(time)),
-        F.date_format(time, "/yyyy:HH:mm:ss"),
+        F.lit("/"),
+        iso.substr(1, 4),
+        F.lit(":"),
+        iso.substr(12, 8),
     )
 
 

@@ -229,6 +229,15 @@ def quarantined_lines(wh: Warehouse) -> DataFrame:
     return wh.table("stg_logs", {"is_readable=0"}).select("value")
 
 
+def log_rejects(wh: Warehouse) -> DataFrame:
+    """Readable log rows of the last load that found no place in the fact, and why."""
+    staged = wh.table("stg_logs", {"is_readable=1"}).drop("value")
+    lookups = log_lookups(
+        _open_dims(wh, ["dim_ipaddr", "dim_country", "dim_device", "dim_customer"])
+    )
+    return fact_rejects(staged, lookups, balance(staged, lookups))
+
+
 def run_leads(
     wh: Warehouse,
     leads: DataFrame,

@@ -20,7 +20,7 @@ from starmart.schemas import TABLES, empty_frame
 # slice before writing. Gathering avoids a file per task and slice where there are many slices;
 # AQE cuts a large slice into several tasks.
 _SLICES = {
-    "order_month": (lambda: F.date_format("order_date", "yyyy-MM"), True),
+    "order_month": (lambda: F.col("order_date").cast("string").substr(1, 7), True),
     "is_current": (lambda: F.col("end_date").isNull().cast("int"), True),
     "is_readable": (lambda: F.col("time").isNotNull().cast("int"), False),
 }

@@ -185,3 +185,14 @@ def test_generated_lines_depend_on_the_seed_only(spark, made):
     one = made(seed=3, partitions=1)
     assert one.exceptAll(made(seed=3, partitions=13)).count() == 0
     assert one.intersect(made(seed=4)).count() == 0
+
+
+def test_generated_times_ignore_the_session_zone(spark, made):
+    """Lines for the hour New York skips in 2021."""
+    hour = dict(start=datetime(2021, 3, 14, 2, 0), end=datetime(2021, 3, 14, 3, 0))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert made(seed=1, **hour).filter(~F.col("value").contains("14/Mar/2021:02:")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
