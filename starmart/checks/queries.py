@@ -14,7 +14,7 @@ from starmart.functions.literals import wall_clock
 from starmart.functions.useragent import classify_user_agent
 from starmart.functions.weblog import parse_weblogs, quarantine, readable
 from starmart.operators.dimensions import add_members, fresh_rows, scd2_merge
-from starmart.operators.extract import extract_orders, high_water
+from starmart.operators.extract import extract_orders, high_water, hot_order_keys
 from starmart.operators.facts import (
     Lookup,
     balance,
@@ -24,7 +24,6 @@ from starmart.operators.facts import (
     same,
 )
 from starmart.operators.geo import assign_country, enrich_country
-from starmart.operators.joins import hot_keys
 from starmart.operators.keys import assign_keys
 from starmart.operators.synth import synth_weblogs
 from starmart.plans import pipelines as P
@@ -199,9 +198,8 @@ def extract_orders_match_company(spark, sf_dir):
 def extract_orders_spread(spark, sf_dir):
     """The full extract with the hot keys of the orders spread over slices."""
     src = A.order_system(spark, sf_dir)
-    orders = _stored(src["orders"], "orders")
-    hot = hot_keys(orders, [("CUIT",), ("customer_id",), ("suppliers_catalog_id",)], 0.01)
-    return extract_orders(src.replaced(orders=orders), hot=hot)
+    src = src.replaced(orders=_stored(src["orders"], "orders"))
+    return extract_orders(src, hot=hot_order_keys(src))
 
 
 # --- dimensions -------------------------------------------------------------------------------
@@ -616,7 +614,7 @@ def _loaded_orders(spark, sf_dir) -> Warehouse:
     src = A.order_system(spark, sf_dir)
     P.run_orders(wh, _before_cutover(src), LOAD_1)
     renamed = src.replaced(products=A.renamed_products(spark, sf_dir))
-    P.run_orders(wh, renamed, LOAD_2)
+    P.run_orders(wh, renamed, LOAD_2, find_hot=True)
     return wh
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.literals import wall_clock
-from starmart.operators.joins import lookup_join
+from starmart.operators.joins import hot_keys, lookup_join
 from starmart.schemas import MONEY
 
 # Lower bound used while the fact is empty.
@@ -28,6 +28,36 @@ def high_water(
     return newest - lookback if newest is not None and lookback else newest
 
 
+def _in_scope(
+    orders: DataFrame,
+    high_water: datetime | str | None,
+    start: datetime | str | None,
+    end: datetime | str | None,
+) -> DataFrame:
+    date = F.col("order_date")
+    if start is not None and end is not None:
+        wanted = date.between(wall_clock(start), wall_clock(end))
+    elif start is None and end is None:
+        wanted = date > wall_clock(high_water or BEGINNING)
+    else:
+        raise ValueError("give both start and end, or neither")
+    return orders.filter(wanted).select(
+        "order_id", "order_date", "CUIT", "customer_id", "suppliers_catalog_id"
+    )
+
+
+def hot_order_keys(
+    src: Mapping[str, DataFrame],
+    high_water: datetime | str | None = None,
+    start: datetime | str | None = None,
+    end: datetime | str | None = None,
+) -> dict[tuple[str, ...], list[int]]:
+    """The hot keys of the orders an extract takes, for its ``hot``; reads the orders once more."""
+    keys = [("CUIT",), ("customer_id",), ("suppliers_catalog_id",)]
+    keys.append(("suppliers_catalog_id", "CUIT"))
+    return hot_keys(_in_scope(src["orders"], high_water, start, end), keys)
+
+
 def extract_orders(
     src: Mapping[str, DataFrame],
     high_water: datetime | str | None = None,
@@ -44,20 +74,10 @@ def extract_orders(
 
     The fact side is shuffled twice: by customer and by catalog item. The item's supplier and
     product are joined on the smaller catalog side first, and both price lists share the item's
-    partitioning.
+    partitioning. Hot keys are left to AQE, or spread if ``hot`` names them (``hot_order_keys``).
     """
     hot = hot or {}
-    date = F.col("order_date")
-    if start is not None and end is not None:
-        in_scope = date.between(wall_clock(start), wall_clock(end))
-    elif start is None and end is None:
-        in_scope = date > wall_clock(high_water or BEGINNING)
-    else:
-        raise ValueError("give both start and end, or neither")
-
-    orders = src["orders"].filter(in_scope).select(
-        "order_id", "order_date", "CUIT", "customer_id", "suppliers_catalog_id"
-    )
+    orders = _in_scope(src["orders"], high_water, start, end)
     companies = src["companies"].select(
         F.col("CUIT").alias("_cuit"), F.col("name").alias("company_name")
     )

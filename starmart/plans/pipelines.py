@@ -16,7 +16,7 @@ from starmart import schemas as S
 from starmart.functions.useragent import classify_user_agent
 from starmart.functions.weblog import parse_weblogs, readable
 from starmart.operators.dimensions import new_members, scd2_changes
-from starmart.operators.extract import extract_orders, high_water
+from starmart.operators.extract import extract_orders, high_water, hot_order_keys
 from starmart.operators.facts import (
     Lookup,
     balance,
@@ -151,10 +151,17 @@ def run_orders(
     company_on: str = "company_name",
     match_company: bool = False,
     lookback: timedelta | None = None,
+    find_hot: bool = False,
     scd2: Mapping | None = None,
 ) -> None:
-    """Load the orders that are newer than the fact: staging, four dimensions, fact."""
-    rows = extract_orders(src, loaded_up_to(wh, lookback), match_company=match_company)
+    """Load the orders that are newer than the fact: staging, four dimensions, fact.
+
+    ``find_hot`` reads the keys of the new orders beforehand and spreads the hot ones; without
+    it the extract leaves them to AQE.
+    """
+    mark = loaded_up_to(wh, lookback)
+    hot = hot_order_keys(src, mark) if find_hot else None
+    rows = extract_orders(src, mark, match_company=match_company, hot=hot)
     staged = wh.overwrite("stg_orders", rows)
     _merge_order_dims(wh, staged, load_ts, scd2 or {})
     wh.append("fact_orders", _order_fact_rows(wh, staged, company_on))

@@ -18,6 +18,8 @@ _SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128m",
+    # Sizes are compared compressed, and the rows of one key compress well.
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     # A task writes a few slices side by side instead of sorting all its rows by slice first.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
