@@ -76,7 +76,7 @@ def order_system(spark: SparkSession, sf_dir: str) -> SourceTables:
                 (F.lit(CUIT_BASE).cast("bigint") + F.col("n_nationkey")).alias("CUIT"),
                 F.col("n_name").alias("name"),
             ),
-            "customers": customers(spark, sf_dir),
+            "customers": as_customers(customer),
             "suppliers": read(spark, sf_dir, "supplier").select(
                 F.col("s_suppkey").alias("supplier_id"), F.col("s_name").alias("name")
             ),
@@ -99,8 +99,12 @@ def order_system(spark: SparkSession, sf_dir: str) -> SourceTables:
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_customers(read(spark, sf_dir, "customer"))
+
+
+def as_customers(customer: DataFrame) -> DataFrame:
     key = F.col("c_custkey")
-    return read(spark, sf_dir, "customer").select(
+    return customer.select(
         key.alias("customer_id"),
         (key * 7 + 10_000_000).alias("document_number"),
         F.col("c_name").alias("full_name"),

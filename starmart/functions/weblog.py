@@ -21,19 +21,6 @@ MONTHS = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
 # Stands for "time not readable" where such rows are kept.
 UNREADABLE_TIME = "1950-01-01 00:00:00"
 
-PARSED_COLUMNS = [
-    "ipaddr",
-    "identity",
-    "username",
-    "time",
-    "request",
-    "status",
-    "bytes",
-    "referer",
-    "useragent",
-    "value",
-]
-
 
 def _fields(line: Column) -> Column:
     """The nine groups of a matching line as an array.

@@ -38,9 +38,12 @@ def assign_country(
 ) -> DataFrame:
     """Add a made-up ``country_name``: the same ip always gets the same entry of the list.
 
+    A NULL ip has no country.
+
     ``countries`` has one column, as ``read_lookup_list`` returns it. Needs no shuffle of the
     logs, since the entry follows from the ip alone.
     """
     names, n = indexed(countries.toDF("country_name").distinct(), ["country_name"])
-    drawn = logs.withColumn("_pick", pick(n, F.lit(seed), F.col(ip_col)))
+    drawn_no = F.when(F.col(ip_col).isNotNull(), pick(n, F.lit(seed), F.col(ip_col)))
+    drawn = logs.withColumn("_pick", drawn_no)
     return lookup_join(drawn, names, [("_pick", "_idx")], "left").drop("_pick", "_idx")

@@ -66,7 +66,6 @@ STAGED_LEADS = _struct(
     "contact_date timestamp_ntz, company_name string, contact_name string, lead_source string,"
     " status string"
 )
-GEO = _struct("ip string, country_name string")
 
 
 def empty_frame(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -72,15 +72,19 @@ def sheet_rows(content: bytes) -> Iterator[list]:
     with zipfile.ZipFile(io.BytesIO(content)) as book:
         strings = _shared_strings(book)
         with book.open(_first_sheet(book)) as sheet:
-            for _, element in ElementTree.iterparse(sheet):
-                if _tag(element) != "row":
+            table = None
+            for event, element in ElementTree.iterparse(sheet, ("start", "end")):
+                if _tag(element) == "sheetData":
+                    table = element
+                if event == "start" or _tag(element) != "row":
                     continue
                 row: list = []
                 for position, cell in enumerate(c for c in element if _tag(c) == "c"):
                     at = _column_number(cell.attrib["r"]) if "r" in cell.attrib else position
                     row.extend([None] * (at + 1 - len(row)))
                     row[at] = _cell_value(cell, strings)
-                element.clear()
+                # Rows already read are not kept.
+                table.clear()
                 yield row
 
 
@@ -105,7 +109,8 @@ def parse_workbooks(files: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of all workbooks in ``files`` (columns ``path``, ``content``) plus ``source_file``.
 
     The first sheet's first row names the columns; those of ``schema`` are taken by name. One
-    workbook is read by one task, in batches.
+    workbook is read by one task and leaves it in batches. A task gets files of at most
+    ``spark.sql.files.maxPartitionBytes`` from a file scan, or one larger file.
     """
     fields = [(f.name, f.dataType) for f in schema.fields]
     out = T.StructType([*schema.fields, T.StructField("source_file", T.StringType())])

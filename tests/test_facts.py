@@ -146,7 +146,8 @@ def test_period_edges_belong_to_the_period(spark):
     def rows(*pairs):
         return ts(spark.createDataFrame(list(pairs), "v int, at string"), "at")
 
-    fact = rows((1, "2020-01-01"), (2, "2020-01-10"), (3, "2020-01-20"), (4, "2020-01-21"), (5, None))
+    days = ["2020-01-01", "2020-01-10", "2020-01-20", "2020-01-21", None]
+    fact = rows(*enumerate(days, 1))
     once = replace_period(fact, rows((9, "2020-01-15")), "at", "2020-01-10", "2020-01-20")
     assert sorted(r["v"] for r in once.collect()) == [1, 4, 5, 9]
     twice = replace_period(once, rows((9, "2020-01-15")), "at", "2020-01-10", "2020-01-20")
@@ -179,5 +180,7 @@ def test_assigned_country_follows_the_ip(spark):
         "B, the second",
         "C",
     }
+    nobody = spark.createDataFrame([(None,)], "ipaddr string")
+    assert assign_country(nobody, names).first()["country_name"] is None
     b = assign_country(logs.repartition(7), names.repartition(2))
     assert a.exceptAll(b).count() == 0
