@@ -18,6 +18,11 @@ from starmart.schemas import MONEY, STAGED_LEADS
 from starmart.sources.tables import SourceTables
 
 CUIT_BASE = 30_000_000
+# Item number = part * ITEM_BASE + supplier: distinct up to 400 million suppliers and 23 billion
+# parts.
+ITEM_BASE = 400_000_000
+# Users are told apart by ip within blocks of this size, the hosts of network 10.
+HOSTS = 1 << 24
 
 # Agent templates of the log lines, by number.
 AGENTS = [
@@ -50,7 +55,7 @@ def order_system(spark: SparkSession, sf_dir: str) -> SourceTables:
     An item is a (part, supplier) pair that was ordered; small parts (size up to 16) also have a
     company list price, one below the supplier's.
     """
-    item = (F.col("l_partkey") * 100000 + F.col("l_suppkey")).alias("suppliers_catalog_id")
+    item = (F.col("l_partkey") * ITEM_BASE + F.col("l_suppkey")).alias("suppliers_catalog_id")
     cuit = (F.lit(CUIT_BASE).cast("bigint") + F.col("c_nationkey")).alias("CUIT")
     lineitem = read(spark, sf_dir, "lineitem")
     part = read(spark, sf_dir, "part")
@@ -141,14 +146,13 @@ def leads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _host() -> Column:
+    return F.col("user_id") % HOSTS
+
+
 def ip_of_user() -> Column:
-    user = F.col("user_id")
-    return F.concat(
-        F.lit("10."),
-        (user % 5).cast("string"),
-        F.lit(".0."),
-        (user % 250).cast("string"),
-    )
+    octets = [F.shiftright(_host(), bits).bitwiseAND(F.lit(255)) for bits in (16, 8, 0)]
+    return F.concat_ws(".", F.lit("10"), *[o.cast("string") for o in octets])
 
 
 def weblog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,9 +182,9 @@ def weblog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Country per ip: the nation numbered like the user, which the ip determines."""
+    """Country per ip: the nation numbered like the host, which the ip determines."""
     users = read(spark, sf_dir, "events").select(
-        ip_of_user().alias("ip"), (F.col("user_id") % 25).cast("int").alias("_nation")
+        ip_of_user().alias("ip"), (_host() % 25).cast("int").alias("_nation")
     )
     return (
         users.distinct()

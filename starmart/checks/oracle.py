@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from starmart import schemas as S
-from starmart.adapters import AGENTS
+from starmart.adapters import AGENTS, HOSTS, ITEM_BASE
 from starmart.checks.queries import CUTOVER, LOAD_1, LOAD_2, LOAD_3, MID_JANUARY, PERIOD
 from starmart.checks.queries import REPORT_YEAR as YEAR
 
@@ -66,7 +66,7 @@ _cte(
 )
 _cte(
     "b2b_items",
-    """select distinct l_partkey * 100000 + l_suppkey as suppliers_catalog_id,
+    f"""select distinct l_partkey * {ITEM_BASE} + l_suppkey as suppliers_catalog_id,
        l_suppkey as supplier_id, l_partkey as product_id,
        cast(p_retailprice as decimal(18,2)) as price, p_size
        from lineitem join part on l_partkey = p_partkey""",
@@ -78,9 +78,9 @@ _cte(
 )
 _cte(
     "b2b_orders",
-    """select l_orderkey * 10 + l_linenumber as order_id, o_orderdate as order_date,
+    f"""select l_orderkey * 10 + l_linenumber as order_id, o_orderdate as order_date,
        cast(30000000 + c_nationkey as bigint) as CUIT, o_custkey as customer_id,
-       l_partkey * 100000 + l_suppkey as suppliers_catalog_id
+       l_partkey * {ITEM_BASE} + l_suppkey as suppliers_catalog_id
        from lineitem join orders on l_orderkey = o_orderkey
        join customer on o_custkey = c_custkey""",
 )
@@ -111,10 +111,12 @@ _cte("staged_late", _extract(_LATE))
 _cte("staged_late_renamed", _extract(_LATE, "b2b_renamed"))
 _cte("staged_period", _extract(f"o.order_date {_IN_PERIOD}", match=True))
 
+_HOST = f"(user_id % {HOSTS})"
+_IP = f"concat('10.', ({_HOST} >> 16) & 255, '.', ({_HOST} >> 8) & 255, '.', {_HOST} & 255)"
 _AGENT_ARRAY = "[" + ", ".join(f"'{a}'" for a in AGENTS) + "]"
 _cte(
     "log_lines",
-    f"""select concat('10.', user_id % 5, '.0.', user_id % 250, ' - ',
+    f"""select concat({_IP}, ' - ',
         case when event_type = 'error' and value < 5 then '-' else concat('user', user_id) end,
         ' [', case when event_type = 'error' and value > 100 then '99/Foo/2024:00:00:00'
                    else strftime(ts, '%d/%b/%Y:%H:%M:%S') end,
@@ -158,8 +160,8 @@ _cte(
 )
 _cte(
     "geo",
-    """select distinct concat('10.', user_id % 5, '.0.', user_id % 250) as ip,
-       n_name as country_name from events join nation on n_nationkey = user_id % 25""",
+    f"""select distinct {_IP} as ip, n_name as country_name from events
+        join nation on n_nationkey = {_HOST} % 25""",
 )
 _cte(
     "staged_logs",

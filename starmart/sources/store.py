@@ -73,6 +73,22 @@ class Warehouse:
         """Take over ``scd2_changes``: open versions are replaced, newly closed ones added."""
         return self.replace_slices(name, changes, {"is_current=1"})
 
+    def expire(self, name: str, keep: int = 1) -> None:
+        """Remove the files that none of the newest ``keep`` states uses.
+
+        Readers of older states lose them; not to be called while the table is being loaded.
+        """
+        lists = self._lists(name)
+        if not lists:
+            return
+        live = {p.split("/")[0] for n in lists[-keep:] for _, p in self._read(name, n)["parts"]}
+        for found in self._fs.listStatus(self._path(f"{self.root}/{name}")):
+            folder = found.getPath().getName()
+            if folder.startswith("data-") and folder not in live:
+                self._fs.delete(found.getPath(), True)
+        for old in lists[:-keep]:
+            self._fs.delete(self._path(f"{self.root}/{name}/_lists/{old}"), False)
+
     def _commit(self, name: str, df: DataFrame, drops, batch=None) -> DataFrame:
         schema, slice_col = TABLES[name]
         state = self._state(name)
@@ -106,19 +122,26 @@ class Warehouse:
         slices = [s.getPath().getName() for s in listed if s.isDirectory()]
         return [[s, f"{folder}/{s}"] for s in slices if s.startswith(f"{slice_col}=")]
 
-    def _state(self, name: str) -> dict:
-        lists = self._path(f"{self.root}/{name}/_lists")
-        listed = self._fs.listStatus(lists) if self._fs.exists(lists) else []
+    def _lists(self, name: str) -> list[str]:
+        """File names of the published lists, oldest first."""
+        folder = self._path(f"{self.root}/{name}/_lists")
+        listed = self._fs.listStatus(folder) if self._fs.exists(folder) else []
         names = [s.getPath().getName() for s in listed]
-        newest = max((n for n in names if n.endswith(".json")), default=None)
-        if newest is None:
-            return {"version": 0, "parts": [], "batches": {}}
-        stream = self._fs.open(self._path(lists, newest))
+        return sorted(n for n in names if n.endswith(".json") and not n.startswith("."))
+
+    def _read(self, name: str, file: str) -> dict:
+        stream = self._fs.open(self._path(f"{self.root}/{name}/_lists/{file}"))
         try:
             return json.loads(bytes(stream.readAllBytes()).decode())
         finally:
             stream.close()
 
+    def _state(self, name: str) -> dict:
+        lists = self._lists(name)
+        if not lists:
+            return {"version": 0, "parts": [], "batches": {}}
+        return self._read(name, lists[-1])
+
     def _publish(self, name: str, state: dict) -> None:
         """Write the list under a private name, then rename: readers see all of it or nothing."""
         final = self._path(f"{self.root}/{name}/_lists/{state['version']:012d}.json")

@@ -71,6 +71,23 @@ def test_an_open_reader_keeps_its_snapshot(spark, wh):
     assert names(before) == ["A"]
 
 
+def test_expired_states_give_their_files_back(spark, wh):
+    wh.expire("dim_country")
+    wh.append("dim_country", members(spark, (1, "A")))
+    wh.append("dim_country", members(spark, (2, "B")))
+    wh.expire("dim_country")
+    assert names(wh.table("dim_country")) == ["A", "B"]
+    wh.overwrite("dim_country", members(spark, (3, "C")))
+    before = wh.table("dim_country")
+    wh.expire("dim_country", keep=2)
+    assert len(wh._fs.listStatus(wh._path(f"{wh.root}/dim_country"))) == 4
+    wh.expire("dim_country")
+    assert len(wh._fs.listStatus(wh._path(f"{wh.root}/dim_country"))) == 2
+    assert names(before) == ["C"]
+    wh.append("dim_country", members(spark, (4, "D")))
+    assert names(wh.table("dim_country")) == ["C", "D"]
+
+
 def test_columns_are_matched_by_name(spark, wh):
     wh.append("dim_country", members(spark, (1, "A")).select(*reversed(
         ["sk_country", "country_name", "start_date", "end_date"]
