@@ -6,10 +6,11 @@ import pytest
 from support import difference, duck
 
 import __spark_entry__ as driver
+from starmart.checks import oracle, queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = driver.queries()
-ORACLES = driver.oracle_sql()
+QUERIES = queries.queries()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -24,6 +25,7 @@ def test_query_equals_sql(spark, con, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) == set(QUERIES)
+    assert set(QUERIES) <= set(driver.queries())
 
 
 def test_entry(spark):
