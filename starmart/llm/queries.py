@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import langid, mixing, packing, quality
+from starmart.llm import exact, langid, mixing, packing, quality, secrets, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.select("row.doc_id", "source", "n_tokens", "epoch", "block", "place")
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,22 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    named = (op1_language_id, op2_mix_sources, op7_pack, op8_quality_rules)
+    named = (
+        op1_language_id,
+        op2_mix_sources,
+        op3_secret_scan,
+        op7_pack,
+        op8_quality_rules,
+        op9_url_filter,
+        op10_exact_dedup,
+    )
     return {f.__name__: f for f in named}
