@@ -1,8 +1,10 @@
-"""Connected components by alternating large and small stars."""
+"""Candidate pairs from buckets, and connected components, both star-shaped."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import stored
@@ -29,7 +31,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` of every node in ``links`` (two columns of longs, either order).
 
-    ``component`` is the smallest node that can be reached. Rounds go on until nothing changes,
+    Alternates large stars and small stars.     ``component`` is the smallest node that can be reached. Rounds go on until nothing changes,
     about the logarithm of the longest shortest path; no node's links are gathered in one place,
     as smallest neighbours are aggregated before they are joined back.
     """
@@ -46,3 +48,55 @@ def components(links: DataFrame) -> DataFrame:
         state = seen
     roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
+
+
+def _order(node: Column, turn: int) -> Column:
+    """Another order of the nodes each turn; the first is that of the ids."""
+    return node if turn == 0 else F.xxhash64(node, F.lit(turn))
+
+
+def star_pairs(buckets: DataFrame, turn: int = 0) -> DataFrame:
+    """Pairs ``a, b`` of a bucket's centre and its members outside the centre's component.
+
+    ``buckets`` has ``bucket, node, component``. The centres are aggregated per bucket before they
+    are joined back, so a bucket of any size is never gathered.
+    """
+    ordered = F.struct(_order(F.col("node"), turn).alias("o"), "node", "component")
+    centre = buckets.groupBy("bucket").agg(
+        F.min(ordered).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
+    )
+    centre = centre.where("lo <> hi").select(
+        "bucket", F.col("c.node").alias("centre"), F.col("c.component").alias("own")
+    )
+    return (
+        buckets.join(centre, "bucket")
+        .where("component <> own")
+        .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b"))
+        .distinct()
+    )
+
+
+def crowded(buckets: DataFrame) -> DataFrame:
+    """The rows ``node, bucket`` of buckets with two nodes or more."""
+    full = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
+    return buckets.join(full.where("lo <> hi").select("bucket"), "bucket").select("node", "bucket")
+
+
+def cluster(shared: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``node, component`` of the nodes that ``confirm`` links to another one of their bucket.
+
+    ``confirm`` keeps the pairs that are similar. Each turn pairs every bucket's members with one
+    centre; it is repeated with other centres, over the buckets that still hold two components,
+    until a turn links nothing new.
+    """
+    state, links, turn = shared.withColumn("component", F.col("node")), None, 0
+    while True:
+        new = stored(confirm(star_pairs(state, turn)).select("a", "b"), "confirmed")
+        if turn and not new.head(1):
+            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
+        found = stored(components(new if links is None else links.unionByName(new)), "components")
+        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        state = shared.join(found, "node", "left").select(
+            "node", "bucket", F.coalesce("component", "node").alias("component")
+        )
+        turn += 1

@@ -14,11 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import runs, stored, text_bytes
-from starmart.llm.components import components
+from starmart.llm.components import cluster, crowded
 
 SHINGLE = 5
 PERCENT = 80
@@ -216,32 +216,6 @@ def link_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked")
 
 
-def _order(node: Column, turn: int) -> Column:
-    """Another order of the nodes each turn; the first is that of the ids."""
-    return node if turn == 0 else F.xxhash64(node, F.lit(turn))
-
-
-def _star(buckets: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a bucket's members with its centre; of the members outside the centre's component.
-
-    ``buckets`` has ``bucket, node, component``. The centres are aggregated per bucket before they
-    are joined back, so a bucket of any size is never gathered.
-    """
-    ordered = F.struct(_order(F.col("node"), turn).alias("o"), "node", "component")
-    centre = buckets.groupBy("bucket").agg(
-        F.min(ordered).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
-    )
-    centre = centre.where("lo <> hi").select(
-        "bucket", F.col("c.node").alias("centre"), F.col("c.component").alias("own")
-    )
-    return (
-        buckets.join(centre, "bucket")
-        .where("component <> own")
-        .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b"))
-        .distinct()
-    )
-
-
 def near_duplicates(
     docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -249,8 +223,7 @@ def near_duplicates(
 
     Words are runs of other than the six ASCII spaces, A-Z lower-cased; a document is its set of
     distinct shingles of ``width`` words. Documents with equal sets are one node of the graph, so
-    copies cost no pairs. Stars are repeated with other centres, over the buckets that still hold
-    two components, until a turn links nothing new.
+    copies cost no pairs.
 
     A null text or one without words has an empty set and is its own component. A row without an id
     joins the component of rows that have its very set, names none and isn't kept. Rows that share
@@ -265,9 +238,7 @@ def near_duplicates(
     )
     nodes = stored(nodes.withColumn("node", F.coalesce("id", unnamed)), "nodes")
     buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    crowded = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    crowded = crowded.where("lo <> hi").select("bucket")
-    shared = stored(buckets.join(crowded, "bucket"), "buckets")
+    shared = stored(crowded(buckets), "buckets")
 
     # shingle sets of all documents that share a bucket
     ends = shared.select("node").distinct()
@@ -277,23 +248,7 @@ def near_duplicates(
     texts = texts.where("node is not null").join(ends, "node", "left_semi")
     sets = stored(_sets(texts, width).distinct(), "shingle-sets")
 
-    links = found = None
-    turn = 0
-    while True:
-        if found is None:
-            state = shared.withColumn("component", F.col("node"))
-        else:
-            state = shared.join(found, "node", "left").withColumn(
-                "component", F.coalesce("component", "node")
-            )
-        pairs = _star(state, turn)
-        new = stored(link_pairs(pairs, sets, percent).select("a", "b"), "confirmed")
-        if turn and not new.head(1):
-            break
-        links = new if links is None else links.unionByName(new)
-        found = stored(components(links), "components")
-        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        turn += 1
+    found = cluster(shared, lambda pairs: link_pairs(pairs, sets, percent))
     named = nodes.select(*keys, "node").join(found, "node", "left")
     named = named.select(*keys, F.coalesce("component", "node").alias("component"))
     out = signed.drop("bands").join(named, keys, "left")

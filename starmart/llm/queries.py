@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import exact, langid, minhash, mixing, packing, quality, secrets, urlfilter
+from starmart.llm import (
+    exact,
+    langid,
+    lines,
+    minhash,
+    mixing,
+    packing,
+    phrases,
+    quality,
+    secrets,
+    urlfilter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +41,15 @@ def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4)
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.deduplicate_lines(_table(spark, sf_dir, "documents"))
+
+
+def op6_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.repeated_bytes(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +74,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op2_mix_sources,
         op3_secret_scan,
         op4_minhash_near_dedup,
+        op5_line_dedup,
+        op6_repeated_bytes,
         op7_pack,
         op8_quality_rules,
         op9_url_filter,
