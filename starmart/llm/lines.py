@@ -49,9 +49,10 @@ def shingles(line: Column) -> Column:
 
 
 def _bands(hashes: Column) -> list[Column]:
-    least = [
-        F.array_min(F.transform(hashes, lambda x, c=c: x.bitwiseXOR(F.lit(c)))) for c in _CONSTANTS
-    ]
+    def least_after(constant: int) -> Column:
+        return F.array_min(F.transform(hashes, lambda x: x.bitwiseXOR(F.lit(constant))))
+
+    least = [least_after(c) for c in _CONSTANTS]
     return [
         F.xxhash64(F.lit(b), least[2 * b], least[2 * b + 1]).alias(f"band{b}") for b in range(BANDS)
     ]
