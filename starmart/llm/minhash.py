@@ -132,13 +132,13 @@ def _band_hashes(values: np.ndarray, bands: int) -> np.ndarray:
 def signatures(
     docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """``doc_id, n_shingles, f1, f2, bands``; ``f1, f2`` are a 128-bit fingerprint of the set."""
+    """``doc_id, text_hash, n_shingles, f1, f2, bands``; ``f1, f2`` are a fingerprint of the set."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         probes = _probes(bands * rows)
         powers = [np.zeros(0, np.uint64)] * 2
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
+            data, offsets = text_bytes(batch.column(2))
             for i, j in runs(offsets, CHUNK):
                 part = data[offsets[i] : offsets[j]]
                 count, f1, f2, keys = [], [], [], []
@@ -153,6 +153,7 @@ def signatures(
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i),
+                        batch.column(1).slice(i, j - i),
                         pa.array(count, pa.int64()),
                         pa.array(np.array(f1, np.uint64).view(np.int64)),
                         pa.array(np.array(f2, np.uint64).view(np.int64)),
@@ -160,13 +161,13 @@ def signatures(
                             pa.array(ends, pa.int32()), pa.array(flat.view(np.int64))
                         ),
                     ],
-                    ["doc_id", "n_shingles", "f1", "f2", "bands"],
+                    ["doc_id", "text_hash", "n_shingles", "f1", "f2", "bands"],
                 )
 
-    schema = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>"
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))).mapInArrow(
-        sign, schema
-    )
+    schema = "doc_id long, text_hash long, n_shingles long, f1 long, f2 long, bands array<long>"
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text)
+    return rows.mapInArrow(sign, schema)
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -219,7 +220,7 @@ def link_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``: one row per row of ``docs``.
+    """``doc_id, n_shingles, component_id, kept, text_hash``: one row per row of ``docs``.
 
     Words are runs of other than the six ASCII spaces, A-Z lower-cased; a document is its set of
     distinct shingles of ``width`` words. Documents with equal sets are one node of the graph, so
@@ -258,4 +259,5 @@ def near_duplicates(
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("doc_id") == component, F.lit(False)).alias("kept"),
+        "text_hash",
     )

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from starmart.llm import (
     exact,
     langid,
@@ -81,4 +82,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_url_filter,
         op10_exact_dedup,
     )
-    return {f.__name__: f for f in named}
+    return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
