@@ -166,8 +166,8 @@ def signatures(
 
     schema = "doc_id long, text_hash long, n_shingles long, f1 long, f2 long, bands array<long>"
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(text).alias("text_hash"), text)
-    return rows.mapInArrow(sign, schema)
+    hashed = F.xxhash64(text).alias("text_hash")
+    return docs.select(F.col("doc_id").cast("long"), hashed, text).mapInArrow(sign, schema)
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
