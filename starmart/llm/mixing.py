@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import n_words, stored
 
 MAX_REPEATS = 2.0
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS = 1 << 13
 SEED = 17
 # Sources are broadcast up to so many rows and bytes of names; beyond that they are joined.
 BROADCAST_SOURCES = 2000
