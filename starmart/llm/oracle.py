@@ -2,6 +2,96 @@
 
 from __future__ import annotations
 
+from starmart.llm.secrets import BASE, MORE
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+EXACT = """
+select doc_id,
+       max(doc_id) over same as keep_id,
+       count(*) over same as group_size,
+       row_number() over (partition by coalesce(text, '') order by doc_id desc nulls last) = 1
+           as kept,
+       sha256(coalesce(text, '')) as text_sha256
+from documents
+window same as (partition by coalesce(text, ''))
+"""
+
+NEAR = f"""
+with recursive
+worded as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'),
+        '[^\\x20\\x09-\\x0D]+') as w
+    from documents
+),
+sets as (
+    select doc_id, case
+        when len(w) >= 4 then list_distinct(list_transform(
+            range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))
+        when len(w) > 0 then [array_to_string(w, ' ')]
+        else [] end as g
+    from worded
+),
+flat as (select doc_id, len(g) as n, unnest(g) as s from sets),
+often as (select s from flat group by s having count(*) > 1),
+few as (select flat.* from flat join often using (s)),
+pairs as (
+    select a.doc_id as x, b.doc_id as y
+    from few a join few b on a.s = b.s and a.doc_id < b.doc_id
+         and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+    group by a.doc_id, b.doc_id, a.n, b.n
+    having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+),
+links as (select x, y from pairs union all select y, x from pairs),
+reach as (
+    select doc_id as x, doc_id as y from documents
+    union
+    select reach.x, links.y from reach join links on reach.y = links.x
+)
+select sets.doc_id, cast(len(g) as bigint) as n_shingles, min(reach.y) as component_id,
+       sets.doc_id = min(reach.y) as kept
+from sets join reach on reach.x = sets.doc_id
+group by sets.doc_id, len(g)
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secrets() -> str:
+    """Each rule's spans from the pieces between its matches, then all of them in order."""
+    lists = []
+    for order, r in enumerate(BASE + MORE):
+        p = _quoted(r.pattern)
+        lists.append(f"""
+    list_filter(list_transform(range(1, len(regexp_extract_all(t, {p})) + 1), lambda i: {{
+        's': cast(coalesce(list_sum(list_transform(string_split_regex(t, {p})[1:i], lambda x: length(x))), 0)
+             + coalesce(list_sum(list_transform(regexp_extract_all(t, {p})[1:i - 1], lambda x: length(x))), 0) as bigint),
+        'o': {order},
+        'n': length(regexp_extract_all(t, {p})[i]),
+        'k': '{r.kind}',
+        'v': length(regexp_extract_all(t, {p}, {r.value_group})[i])
+    }}), lambda m: m.v >= {r.min_chars}) as {r.kind}""")
+    name = "lambda m: m.k || ':' || m.s || ':' || (m.s + m.n)"
+
+    def joined(rules) -> str:
+        parts = ", ".join(r.kind for r in rules)
+        return f"array_to_string(list_transform(list_sort(flatten([{parts}])), {name}), ',')"
+
+    counts = ", ".join(f"cast(len({r.kind}) as bigint) as n_{r.kind}" for r in BASE)
+    return f"""
+with d as (select doc_id, coalesce(text, '') as t from documents),
+found as (select doc_id, {', '.join(lists)} from d)
+select doc_id, {counts}, sha256({joined(BASE)}) as base_sha256, {joined(BASE + MORE)} as spans
+from found
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_secret_scan": _secrets(),
+        "op4_minhash_near_dedup": NEAR,
+        "op10_exact_dedup": EXACT,
+    }

@@ -39,7 +39,8 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4)
+    found = minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=4)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
