@@ -20,7 +20,8 @@ class Lookup:
     """Find ``sk`` in ``dim`` where staged and dimension columns of ``on`` are equal.
 
     The open version is taken; with ``as_of`` the version valid at that staged time. Text is
-    compared byte by byte, or by a ``collation`` such as ``UTF8_LCASE`` (ignores case).
+    compared byte by byte, or by a ``collation`` such as ``UTF8_LCASE`` (ignores case); of open
+    versions whose keys are then equal, the one with the smallest ``sk`` is found.
     """
 
     dim: DataFrame
@@ -90,6 +91,8 @@ def _looked_up(
         keys.append(key.alias(f"_d{n}_{i}"))
         pairs.append((left, f"_d{n}_{i}"))
     side, valid = _versions(lookup).select(*keys, lookup.sk), None
+    if lookup.collation and not lookup.as_of:
+        side = side.groupBy(*[k for _, k in pairs]).agg(F.min(lookup.sk).alias(lookup.sk))
     if lookup.as_of:
         side = _versions(lookup).select(
             *keys,

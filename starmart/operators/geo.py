@@ -12,6 +12,10 @@ from starmart.operators.joins import BROADCAST_ROWS, lookup_join
 from starmart.operators.keys import assign_keys
 
 
+# Keys that rows without an ip are spread over.
+_SPREAD = 100_000
+
+
 def unique_geo(geo: DataFrame) -> DataFrame:
     """One row per ip; of several countries the first by name is kept."""
     return geo.groupBy("ip").agg(F.min("country_name").alias("country_name"))
@@ -20,10 +24,13 @@ def unique_geo(geo: DataFrame) -> DataFrame:
 def enrich_country(logs: DataFrame, geo: DataFrame, hot: Sequence[int] = ()) -> DataFrame:
     """Add ``country_name`` to each log row; NULL for an unknown ip.
 
-    ``geo`` must be unique per ip (``unique_geo`` makes it so); then the row count stays.
+    ``geo`` must be unique per ip (``unique_geo`` makes it so); then the row count stays. Rows
+    without an ip match nothing; they are spread over keys that no ip equals.
     """
     side = geo.select(F.col("ip").alias("_geo_ip"), "country_name")
-    return lookup_join(logs, side, [("ipaddr", "_geo_ip")], "left", hot).drop("_geo_ip")
+    none = F.concat(F.lit("no ip "), F.pmod(F.xxhash64(*logs.columns), F.lit(_SPREAD)))
+    keyed = logs.withColumn("_ip", F.coalesce("ipaddr", none))
+    return lookup_join(keyed, side, [("_ip", "_geo_ip")], "left", hot).drop("_ip", "_geo_ip")
 
 
 def indexed(values: DataFrame, order_cols: list[str]) -> tuple[DataFrame, int]:

@@ -8,24 +8,47 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Slices a hot key is cut into.
-SLICES = 256
 # Limit of the sketch function.
 _MOST_TRACKED = 1_000_000
 # A lookup of at most this many rows of key and surrogate key is broadcast: some 10 MB.
 BROADCAST_ROWS = 100_000
 
 
+def _partitions(frame: DataFrame) -> int:
+    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _family(kind: T.DataType) -> str:
+    """Types of one family compare with each other as they are."""
+    return "number" if isinstance(kind, T.NumericType) else kind.typeName().split("(")[0]
+
+
+def _hash(frame: DataFrame, columns: Sequence[str]) -> Column:
+    """Hash of a key, the same for equal values of different numeric types.
+
+    The fraction of a number isn't hashed, nor one beyond 64 bits: such keys share slices with
+    others, which the join then tells apart by value.
+    """
+    parts = []
+    for name in columns:
+        number = _family(frame.schema[name].dataType) == "number"
+        parts.append(F.col(name).try_cast("bigint") if number else F.col(name))
+    return F.xxhash64(*parts)
+
+
 def hot_keys(
-    facts: DataFrame, key_sets: Sequence[Sequence[str]], share: float = 0.01
+    facts: DataFrame, key_sets: Sequence[Sequence[str]], share: float | None = None
 ) -> dict[tuple[str, ...], list[int]]:
     """For each set of key columns, the hashes of the keys that hold at least ``share`` of rows.
 
-    One column-pruned pass with a frequent-items sketch per key set, merged map-side. The
-    answer has at most ``1/share`` entries per set. A key just below the share may be missed or
-    included; that moves work between tasks and never changes a join result.
+    By default that is a hundredth, or twice a shuffle partition's share if that is less. One
+    column-pruned pass with a frequent-items sketch per key set, merged map-side. The answer has at
+    most ``1/share`` entries per set. A key just below the share may be missed or included; that
+    moves work between tasks and never changes a join result.
     """
+    share = share or min(0.01, 2 / _partitions(facts))
     top = math.ceil(1 / share)
     tracked = min(top * 100, _MOST_TRACKED)
     sketches = [
@@ -33,7 +56,7 @@ def hot_keys(
         for i in range(len(key_sets))
     ]
     row = (
-        facts.select(*[F.xxhash64(*keys).alias(f"_k{i}") for i, keys in enumerate(key_sets)])
+        facts.select(*[_hash(facts, keys).alias(f"_k{i}") for i, keys in enumerate(key_sets)])
         .agg(F.count(F.lit(1)).alias("_n"), *sketches)
         .first()
     )
@@ -55,24 +78,29 @@ def lookup_join(
 
     Column names of the two sides must differ; the result has all columns of both. Without
     ``hot`` this is a plain join, whose skew AQE handles where both sides are fresh shuffles.
-    With the hashes found by ``hot_keys`` the rows of those keys are spread over ``SLICES``
-    slices and only the lookup rows of those keys are repeated per slice, whatever the plan
-    below looks like.
+    With the hashes found by ``hot_keys`` the rows of those keys are spread over as many slices
+    as there are shuffle partitions, and only the lookup rows of those keys are repeated per
+    slice, whatever the plan below looks like. Numeric keys may differ in type; keys of other
+    types must have the same one, so that the result doesn't depend on how the join is done.
     """
     pairs = list(on)
+    for f, k in pairs:
+        left, right = facts.schema[f].dataType, lookup.schema[k].dataType
+        if _family(left) != _family(right):
+            raise TypeError(f"{f} is {left.simpleString()}, {k} is {right.simpleString()}")
     if hot:
+        slices = _partitions(facts)
         hashes = [F.lit(h) for h in hot]
         # The partition id separates identical rows; it is the same again when a task reruns.
-        spread = F.pmod(
-            F.xxhash64(*facts.columns) + F.spark_partition_id(), F.lit(SLICES)
-        ).cast("int")
+        number = F.pmod(F.xxhash64(*facts.columns), F.lit(slices)) + F.spark_partition_id()
+        spread = F.pmod(number, F.lit(slices)).cast("int")
         facts = facts.withColumn(
-            "_slice", F.when(F.xxhash64(*[f for f, _ in pairs]).isin(hashes), spread).otherwise(0)
+            "_slice", F.when(_hash(facts, [f for f, _ in pairs]).isin(hashes), spread).otherwise(0)
         )
-        slices = F.when(
-            F.xxhash64(*[k for _, k in pairs]).isin(hashes), F.sequence(F.lit(0), F.lit(SLICES - 1))
+        copies = F.when(
+            _hash(lookup, [k for _, k in pairs]).isin(hashes), F.sequence(F.lit(0), F.lit(slices - 1))
         ).otherwise(F.array(F.lit(0)))
-        lookup = lookup.withColumn("_lookup_slice", F.explode(slices))
+        lookup = lookup.withColumn("_lookup_slice", F.explode(copies))
         pairs.append(("_slice", "_lookup_slice"))
     condition = reduce(lambda a, b: a & b, [facts[f] == lookup[k] for f, k in pairs])
     if also is not None:

@@ -16,6 +16,7 @@ from starmart import schemas as S
 from starmart.functions.useragent import classify_user_agent
 from starmart.functions.weblog import parse_weblogs, readable
 from starmart.operators.dimensions import new_members, scd2_changes
+from starmart.functions.literals import wall_clock
 from starmart.operators.extract import extract_orders, high_water, hot_order_keys
 from starmart.operators.facts import (
     Lookup,
@@ -25,7 +26,7 @@ from starmart.operators.facts import (
     outside_period,
     same,
 )
-from starmart.operators.geo import assign_country, enrich_country
+from starmart.operators.geo import assign_country, enrich_country, unique_geo
 from starmart.session import at_once
 from starmart.sources.store import Warehouse
 
@@ -87,8 +88,8 @@ def stage_weblogs(
 ) -> DataFrame:
     """Log lines -> staged log rows: parse, drop unreadable times, add country and device.
 
-    The country comes from ``geo`` (``ip, country_name``, unique per ip), or is made up from the
-    list ``countries``.
+    The country comes from ``geo`` (``ip, country_name``; of an ip's countries the first by name),
+    or is made up from the list ``countries``.
     """
     parsed = readable(parse_weblogs(lines, tz=tz), keep_unparsable)
     return _described(parsed, geo, countries, hot_ips).select(*S.STAGED_LOGS.names)
@@ -107,7 +108,7 @@ def _described(
     rows = classify_user_agent(narrow).drop("useragent")
     if geo is None:
         return assign_country(rows, countries)
-    return enrich_country(rows, geo, hot_ips)
+    return enrich_country(rows, unique_geo(geo), hot_ips)
 
 
 def _open_dims(wh: Warehouse, names: Iterable[str]) -> dict[str, DataFrame]:
@@ -136,9 +137,14 @@ def _order_fact_rows(wh: Warehouse, staged: DataFrame, company_on: str) -> DataF
     return load_fact(staged, lookups, ORDER_FACT_COLUMNS, balance(staged, lookups))
 
 
+def _months(wh: Warehouse) -> list[str]:
+    """The fact's slices by month; not that of orders without a date."""
+    return [s for s in wh.slices("fact_orders") if s[len(_MONTH):][:1].isdigit()]
+
+
 def loaded_up_to(wh: Warehouse, lookback: timedelta | None = None) -> datetime | None:
     """Newest order date in the fact, read from its newest month only."""
-    months = [s for s in wh.slices("fact_orders") if s[len(_MONTH):][:1].isdigit()]
+    months = _months(wh)
     if not months:
         return None
     return high_water(wh.table("fact_orders", {months[-1]}), lookback=lookback)
@@ -156,15 +162,33 @@ def run_orders(
 ) -> None:
     """Load the orders that are newer than the fact: staging, four dimensions, fact.
 
-    ``find_hot`` reads the keys of the new orders beforehand and spreads the hot ones; without
-    it the extract leaves them to AQE.
+    With a ``lookback`` the orders of that time before the newest one are loaded again and
+    exchanged in the fact, so that late ones come in and none counts twice. ``find_hot`` reads the
+    keys of the new orders beforehand and spreads the hot ones; without it the extract leaves them
+    to AQE.
     """
     mark = loaded_up_to(wh, lookback)
     hot = hot_order_keys(src, mark) if find_hot else None
     rows = extract_orders(src, mark, match_company=match_company, hot=hot)
     staged = wh.overwrite("stg_orders", rows)
     _merge_order_dims(wh, staged, load_ts, scd2 or {})
-    wh.append("fact_orders", _order_fact_rows(wh, staged, company_on))
+    rows = _order_fact_rows(wh, staged, company_on)
+    if lookback is None or mark is None:
+        wh.append("fact_orders", rows)
+        return
+    month = str(mark)[:7]
+    touched = [s for s in _months(wh) if s[len(_MONTH):] >= month]
+    kept = wh.table("fact_orders", touched).filter(F.col("order_date") <= wall_clock(mark))
+    wh.replace_slices("fact_orders", kept.unionByName(rows), touched)
+
+
+def order_rejects(
+    wh: Warehouse, company_on: str = "company_name", table: str = "stg_orders"
+) -> DataFrame:
+    """Orders of the last load that found no place in the fact, and why."""
+    lookups = order_lookups(_open_dims(wh, [d.name for d in S.ORDER_DIMENSIONS]), company_on)
+    staged = wh.table(table)
+    return fact_rejects(staged, lookups, balance(staged, lookups))
 
 
 def reprocess_orders(
@@ -196,6 +220,20 @@ def reprocess_orders(
     wh.replace_slices("fact_orders", kept.unionByName(reloaded), touched)
 
 
+def _stage(wh: Warehouse, name: str, rows: DataFrame, batch) -> bool:
+    """Stage the rows; False if the batch was staged before."""
+    if batch is None:
+        wh.overwrite(name, rows)
+        return True
+    before = wh.version(name)
+    wh.append(name, rows, batch)
+    return wh.version(name) > before
+
+
+def _staged_rows(wh: Warehouse, name: str, batch, slices=None) -> DataFrame:
+    return wh.table(name, slices) if batch is None else wh.batch(name, batch[0], slices)
+
+
 def run_logs(
     wh: Warehouse,
     lines: DataFrame,
@@ -205,11 +243,15 @@ def run_logs(
     tz: str = "wall",
     keep_unparsable: bool = False,
     batch: tuple[str, int] | None = None,
+    hot_ips: Sequence[int] = (),
 ) -> dict[str, int]:
     """Load log lines: staging, three dimensions, fact. Returns the line counts of the parse.
 
     One pass stages readable rows and, apart from them, the unreadable lines (see
-    ``quarantined_lines``). Customers come from the orders load.
+    ``quarantined_lines``). Customers come from the orders load. With a ``batch`` the rows are
+    added to those staged before (``ingest_weblogs`` clears them once at its start), so that the
+    unreadable lines and rejects of all batches can be read afterwards. The counts are empty for
+    a batch that was staged already.
     """
     counts = Observation()
     parsed = parse_weblogs(lines, tz=tz).observe(
@@ -220,19 +262,19 @@ def run_logs(
     if keep_unparsable:
         parsed = readable(parsed, keep_unparsable=True)
     raw = F.when(F.col("time").isNull(), F.col("value")).alias("value")
-    rows = _described(parsed.withColumn("value", raw), geo, countries)
-    wh.overwrite("stg_logs", rows)
-    staged = wh.table("stg_logs", {"is_readable=1"})
+    rows = _described(parsed.withColumn("value", raw), geo, countries, hot_ips)
+    fresh = _stage(wh, "stg_logs", rows, batch)
+    staged = _staged_rows(wh, "stg_logs", batch, {"is_readable=1"})
     _add_members(wh, staged, S.LOG_DIMENSIONS, load_ts)
     dims = _open_dims(wh, ["dim_ipaddr", "dim_country", "dim_device", "dim_customer"])
     lookups = log_lookups(dims)
     rows = load_fact(staged, lookups, LOG_FACT_COLUMNS, balance(staged, lookups))
     wh.append("fact_logs", rows, batch)
-    return counts.get
+    return counts.get if fresh else {}
 
 
 def quarantined_lines(wh: Warehouse) -> DataFrame:
-    """Raw lines of the last log load whose time could not be read."""
+    """Raw lines of the last log load, all its batches, whose time could not be read."""
     return wh.table("stg_logs", {"is_readable=0"}).select("value")
 
 
@@ -250,21 +292,26 @@ def run_leads(
     leads: DataFrame,
     load_ts: datetime | str,
     batch: tuple[str, int] | None = None,
+    collation: str | None = None,
 ) -> None:
-    """Load leads: staging, three dimensions, fact. Companies come from the orders load."""
-    staged = wh.overwrite("stg_leads", leads)
+    """Load leads: staging, three dimensions, fact. Companies come from the orders load.
+
+    A ``collation`` lets the names differ in case.
+    """
+    _stage(wh, "stg_leads", leads, batch)
+    staged = _staged_rows(wh, "stg_leads", batch)
     _add_members(wh, staged, S.LEAD_DIMENSIONS, load_ts)
     lookups = lead_lookups(
-        _open_dims(wh, ["dim_company", "dim_contact", "dim_leadsource", "dim_status"])
+        _open_dims(wh, ["dim_company", "dim_contact", "dim_leadsource", "dim_status"]), collation
     )
     rows = load_fact(staged, lookups, LEAD_FACT_COLUMNS, balance(staged, lookups))
     wh.append("fact_leads", rows, batch)
 
 
-def lead_rejects(wh: Warehouse) -> DataFrame:
+def lead_rejects(wh: Warehouse, collation: str | None = None) -> DataFrame:
     """Leads of the last load that found no place in the fact, and why."""
     staged = wh.table("stg_leads")
     lookups = lead_lookups(
-        _open_dims(wh, ["dim_company", "dim_contact", "dim_leadsource", "dim_status"])
+        _open_dims(wh, ["dim_company", "dim_contact", "dim_leadsource", "dim_status"]), collation
     )
     return fact_rejects(staged, lookups, balance(staged, lookups))

@@ -7,6 +7,7 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from decimal import Decimal
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -14,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Excel counts days from this date.
+# Excel counts days from the first of these dates, or from the second if the workbook says so.
 _DAY_ZERO = datetime(1899, 12, 30)
+_DAY_ZERO_1904 = datetime(1904, 1, 1)
 _BATCH_ROWS = 10_000
 
 
@@ -51,6 +53,14 @@ def _first_sheet(book: zipfile.ZipFile) -> str:
     return target.lstrip("/") if target.startswith("/") else f"xl/{target}"
 
 
+def day_zero(content: bytes) -> datetime:
+    """The date that a workbook counts its days from."""
+    with zipfile.ZipFile(io.BytesIO(content)) as book:
+        workbook = ElementTree.fromstring(book.read("xl/workbook.xml"))
+    marks = [e.attrib.get("date1904", "0") for e in workbook if _tag(e) == "workbookPr"]
+    return _DAY_ZERO_1904 if marks[:1] in (["1"], ["true"]) else _DAY_ZERO
+
+
 def _cell_value(cell: ElementTree.Element, strings: list[str]):
     kind = cell.attrib.get("t", "n")
     if kind == "inlineStr":
@@ -88,20 +98,44 @@ def sheet_rows(content: bytes) -> Iterator[list]:
                 yield row
 
 
-def _converted(value, kind: T.DataType):
-    if value is None:
+_TIMES = (T.TimestampNTZType, T.TimestampType)
+_KINDS = (*_TIMES, T.DateType, T.StringType, T.IntegralType, T.DecimalType, T.BooleanType)
+_READABLE = (*_KINDS, T.FloatType, T.DoubleType)
+
+
+def _time(value, zero: datetime) -> datetime:
+    if isinstance(value, float):
+        # Whole milliseconds: a day fraction has no finer meaning in Excel.
+        return zero + timedelta(milliseconds=round(value * 86_400_000))
+    return datetime.fromisoformat(value)
+
+
+def _truth(value) -> bool:
+    if isinstance(value, str):
+        return {"true": True, "1": True, "false": False, "0": False}[value.strip().lower()]
+    return value != 0
+
+
+def _converted(value, kind: T.DataType, zero: datetime = _DAY_ZERO):
+    if value is None or (value == "" and not isinstance(kind, T.StringType)):
         return None
-    if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
-        if isinstance(value, float):
-            # Whole milliseconds: a day fraction has no finer meaning in Excel.
-            return _DAY_ZERO + timedelta(milliseconds=round(value * 86_400_000))
-        return datetime.fromisoformat(value)
+    if isinstance(kind, _TIMES):
+        return _time(value, zero)
+    if isinstance(kind, T.DateType):
+        return _time(value, zero).date()
     if isinstance(kind, T.StringType):
-        if isinstance(value, float) and value.is_integer():
-            return str(int(value))
+        if isinstance(value, bool):
+            return str(value).lower()
+        if isinstance(value, float):
+            return str(int(value)) if value.is_integer() else str(value)
         return value if value != "" else None
+    if isinstance(kind, T.BooleanType):
+        return _truth(value)
+    if isinstance(kind, T.DecimalType):
+        # The shortest decimal that reads as the stored number, not its binary digits.
+        return Decimal(str(value)).quantize(Decimal(1).scaleb(-kind.scale))
     if isinstance(kind, T.IntegralType):
-        return int(value)
+        return int(float(value)) if isinstance(value, str) else int(value)
     return float(value)
 
 
@@ -113,12 +147,15 @@ def parse_workbooks(files: DataFrame, schema: T.StructType) -> DataFrame:
     ``spark.sql.files.maxPartitionBytes`` from a file scan, or one larger file.
     """
     fields = [(f.name, f.dataType) for f in schema.fields]
+    unread = [f"{n} {k.simpleString()}" for n, k in fields if not isinstance(k, _READABLE)]
+    if unread:
+        raise TypeError(f"no cell can be read as {', '.join(unread)}")
     out = T.StructType([*schema.fields, T.StructField("source_file", T.StringType())])
 
     def frame(rows: list[tuple], path: str) -> pd.DataFrame:
         table = pd.DataFrame(rows, columns=[n for n, _ in fields], dtype=object)
         for name, kind in fields:
-            if isinstance(kind, (T.TimestampNTZType, T.TimestampType)):
+            if isinstance(kind, _TIMES):
                 table[name] = pd.to_datetime(table[name])
         table["source_file"] = path
         return table
@@ -126,7 +163,7 @@ def parse_workbooks(files: DataFrame, schema: T.StructType) -> DataFrame:
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for files_batch in batches:
             for path, content in zip(files_batch["path"], files_batch["content"]):
-                rows = sheet_rows(content)
+                rows, zero = sheet_rows(content), day_zero(content)
                 header = next(rows, [])
                 at = {str(name): i for i, name in enumerate(header) if name is not None}
                 lacking = [n for n, _ in fields if n not in at]
@@ -138,7 +175,7 @@ def parse_workbooks(files: DataFrame, schema: T.StructType) -> DataFrame:
                         continue
                     done.append(
                         tuple(
-                            _converted(row[at[n]] if at[n] < len(row) else None, kind)
+                            _converted(row[at[n]] if at[n] < len(row) else None, kind, zero)
                             for n, kind in fields
                         )
                     )

@@ -39,13 +39,19 @@ class Warehouse:
 
     def table(self, name: str, slices: Collection[str] | None = None) -> DataFrame:
         """The current rows in declared column order; of the named slices only, if given."""
+        return self._rows(name, self._state(name)["parts"], slices)
+
+    def _rows(self, name: str, parts, slices: Collection[str] | None) -> DataFrame:
         schema = TABLES[name][0]
-        parts = self._state(name)["parts"]
         paths = [p for s, p in parts if slices is None or s in slices]
         if not paths:
             return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{name}/{p}" for p in paths])
 
+    def version(self, name: str) -> int:
+        """The number of the current state; 0 for a table never written."""
+        return self._state(name)["version"]
+
     def slices(self, name: str) -> list[str]:
         """The slices a table has rows in."""
         return sorted({s for s, _ in self._state(name)["parts"]})
@@ -57,13 +63,35 @@ class Warehouse:
     def append(self, name: str, df: DataFrame, batch: tuple[str, int] | None = None) -> DataFrame:
         """Add rows.
 
-        ``batch`` = (feed, number) makes a rerun harmless: numbers of a feed rise, and one that
-        this table already has adds nothing.
+        ``batch`` = (feed, number) makes a rerun harmless: numbers of a feed rise, and the last
+        one added adds nothing again. A lower number means that the feed was started anew, and
+        fails: its rows may be new ones under an old number.
         """
-        if batch is not None and batch[1] <= self._state(name)["batches"].get(batch[0], -1):
-            return self.table(name)
+        if batch is not None:
+            last = self._state(name)["batches"].get(batch[0], {"number": -1})["number"]
+            if batch[1] < last:
+                raise ValueError(f"{name}: {batch[0]} is at batch {last}, {batch[1]} came again")
+            if batch[1] == last:
+                return self.table(name)
         return self._commit(name, df, lambda s: False, batch)
 
+    def batch(self, name: str, feed: str, slices: Collection[str] | None = None) -> DataFrame:
+        """The rows of the batch that a feed added last."""
+        state = self._state(name)
+        folder = state["batches"][feed]["folder"]
+        parts = [(s, p) for s, p in state["parts"] if p.split("/")[0] == folder]
+        return self._rows(name, parts, slices)
+
+    def feeds(self, name: str) -> list[str]:
+        """The feeds that have added batches."""
+        return sorted(self._state(name)["batches"])
+
+    def clear(self, name: str) -> None:
+        """Remove all rows, and forget which batches were added."""
+        state = self._state(name)
+        if state["parts"] or state["batches"]:
+            self._publish(name, {"version": state["version"] + 1, "parts": [], "batches": {}})
+
     def replace_slices(self, name: str, df: DataFrame, slices: Collection[str]) -> DataFrame:
         """Drop the named slices and add the rows of ``df``, in one step."""
         gone = set(slices)
@@ -103,6 +131,7 @@ class Warehouse:
                 rows = rows.hint("rebalance", F.col(slice_col))
             writer = rows.write.partitionBy(slice_col)
         writer.parquet(f"{self.root}/{name}/{folder}")
+        added = {batch[0]: {"number": batch[1], "folder": folder}} if batch else {}
         parts = [p for p in state["parts"] if not drops(p[0])]
         parts += self._written(name, folder, slice_col)
         self._publish(
@@ -110,7 +139,7 @@ class Warehouse:
             {
                 "version": state["version"] + 1,
                 "parts": parts,
-                "batches": {**state["batches"], **({batch[0]: batch[1]} if batch else {})},
+                "batches": {**state["batches"], **added},
             },
         )
         return self.table(name)

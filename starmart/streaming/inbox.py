@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.plans.pipelines import run_leads, run_logs
 from starmart.schemas import STAGED_LEADS
@@ -30,7 +32,8 @@ def ingest_inbox(
     """Hand the files that are new in ``inbox`` to ``handler(rows, batch_number)``, then return.
 
     The checkpoint remembers the files taken, so one is not loaded twice. With ``archive`` files
-    of a finished batch are moved there while a later batch runs.
+    of a finished batch are moved there while a later batch runs, and those of the last batch when
+    all are done.
     """
     reader = spark.readStream.format(fmt).schema(_FORMATS[fmt])
     if glob:
@@ -47,23 +50,89 @@ def ingest_inbox(
         .start()
     )
     query.awaitTermination()
+    if archive:
+        _archive_rest(spark, inbox, checkpoint, archive)
+
+
+def _archive_rest(spark: SparkSession, inbox: str, checkpoint: str, archive: str) -> None:
+    """Move the files that the checkpoint has taken and the stream has left in the inbox.
+
+    Their places below ``archive`` are those that the stream itself uses: the whole path.
+    """
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    log = path(f"{checkpoint}/sources/0")
+    fs, inside = log.getFileSystem(conf), path(inbox).getFileSystem(conf)
+    taken = spark.read.text(f"{checkpoint}/sources/0").where("value like '{%'")
+    taken = taken.select(F.get_json_object("value", "$.path").alias("path"))
+    for row in taken.toLocalIterator() if fs.exists(log) else ():
+        # the log has paths as URIs
+        old = path(jvm.java.net.URI(row["path"]))
+        if not inside.exists(old):
+            continue
+        new = path(f"{archive}{old.toUri().getPath()}")
+        inside.mkdirs(new.getParent())
+        if not inside.rename(old, new):
+            raise RuntimeError(f"{old} could not be moved to {new}")
+
+
+def _feed(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's name: the checkpoint and the id that the stream got when it was created."""
+    meta = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return f"{checkpoint}#{json.loads(meta)['id']}"
+
+
+def _same_stream(wh: Warehouse, fact: str, checkpoint: str, feed: str) -> None:
+    """Fail if the checkpoint was made anew since the fact was loaded from it.
+
+    Such a stream takes the files it finds in the inbox again.
+    """
+    others = [f for f in wh.feeds(fact) if f.startswith(f"{checkpoint}#") and f != feed]
+    if others:
+        raise ValueError(f"{fact} was loaded from {others[0]}; {checkpoint} was made anew")
+
 
+def ingest_weblogs(
+    wh: Warehouse,
+    inbox: str,
+    checkpoint: str,
+    geo: DataFrame | None,
+    load_ts,
+    load_options: Mapping | None = None,
+    **options,
+) -> None:
+    """Load the new log files of an inbox; a batch repeated after a failure adds nothing.
 
-def ingest_weblogs(wh: Warehouse, inbox: str, checkpoint: str, geo: DataFrame, load_ts, **options):
-    """Load the new log files of an inbox; a batch repeated after a failure adds nothing."""
+    ``load_options`` go to ``run_logs`` (``countries``, ``tz``, ``hot_ips`` ...), the others to
+    ``ingest_inbox``. Unreadable lines and rejects of all batches stay until the next call.
+    """
 
     def load(lines: DataFrame, number: int) -> None:
-        run_logs(wh, lines, geo, load_ts, batch=(checkpoint, number))
+        feed = _feed(wh.spark, checkpoint)
+        _same_stream(wh, "fact_logs", checkpoint, feed)
+        run_logs(wh, lines, geo, load_ts, batch=(feed, number), **(load_options or {}))
 
+    wh.clear("stg_logs")
     ingest_inbox(wh.spark, inbox, checkpoint, load, **options)
 
 
-def ingest_leads(wh: Warehouse, inbox: str, checkpoint: str, load_ts, **options) -> None:
-    """Load the new workbooks of an inbox."""
+def ingest_leads(
+    wh: Warehouse,
+    inbox: str,
+    checkpoint: str,
+    load_ts,
+    load_options: Mapping | None = None,
+    **options,
+) -> None:
+    """Load the new workbooks of an inbox; rejects of all batches stay until the next call."""
 
     def load(books: DataFrame, number: int) -> None:
-        run_leads(wh, parse_workbooks(books, STAGED_LEADS), load_ts, batch=(checkpoint, number))
+        feed = _feed(wh.spark, checkpoint)
+        _same_stream(wh, "fact_leads", checkpoint, feed)
+        leads = parse_workbooks(books, STAGED_LEADS)
+        run_leads(wh, leads, load_ts, batch=(feed, number), **(load_options or {}))
 
+    wh.clear("stg_leads")
     ingest_inbox(
         wh.spark, inbox, checkpoint, load, fmt="binaryFile", glob="*.xlsx", **options
     )
