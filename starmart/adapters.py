@@ -174,7 +174,7 @@ def weblog_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("event_type"),
             F.lit(' HTTP/1.1" 200 '),
             (F.col("event_id") % 1000).cast("string"),
-            F.lit(' "http://www.example.com/start.html" "'),
+            F.lit(' "https://shop.example/catalog" "'),
             F.element_at(agents, ((F.col("event_id") % len(AGENTS)) + 1).cast("int")),
             F.lit('"'),
         ).alias("value")

@@ -87,29 +87,31 @@ _cte(
 
 
 def _extract(where: str = "true", products: str = "b2b_products", match: bool = False) -> str:
-    company = "and lp.CUIT = o.CUIT" if match else ""
-    return f"""select o.order_id, o.order_date, o.CUIT, co.name as company_name, cu.customer_id,
-        cu.document_number, cu.full_name, cu.date_of_birth, cu.username, it.supplier_id,
-        s.name as supplier_name, it.product_id, p.name as product_name,
-        coalesce(lp.catalog_price, it.price) as order_price
-        from b2b_orders o
-        join b2b_companies co on co.CUIT = o.CUIT
-        join b2b_customers cu on cu.customer_id = o.customer_id
-        join b2b_items it on it.suppliers_catalog_id = o.suppliers_catalog_id
-        join b2b_suppliers s on s.supplier_id = it.supplier_id
-        join {products} p on p.product_id = it.product_id
-        left join b2b_list_prices lp on lp.suppliers_catalog_id = it.suppliers_catalog_id {company}
-        where {where}"""
-
-
-_EARLY = f"o.order_date < TIMESTAMP '{CUTOVER}'"
-_LATE = f"o.order_date >= TIMESTAMP '{CUTOVER}'"
+    """Order lines in three steps: the catalog described, its list price, then who bought."""
+    listed = "suppliers_catalog_id, CUIT" if match else "suppliers_catalog_id"
+    catalog = f"""select suppliers_catalog_id, supplier_id, product_id, price,
+        (select max(name) from b2b_suppliers x where x.supplier_id = i.supplier_id)
+         as supplier_name,
+        (select max(name) from {products} y where y.product_id = i.product_id) as product_name
+        from b2b_items i"""
+    return f"""select order_id, order_date, CUIT, company_name, customer_id, document_number,
+        full_name, date_of_birth, username, supplier_id, supplier_name, product_id, product_name,
+        coalesce(catalog_price, price) as order_price
+        from (select * from b2b_orders where {where})
+        join ({catalog}) using (suppliers_catalog_id)
+        left join (select {listed}, catalog_price from b2b_list_prices) using ({listed})
+        join b2b_customers using (customer_id)
+        join (select CUIT, name as company_name from b2b_companies) using (CUIT)"""
+
+
+_EARLY = f"order_date < TIMESTAMP '{CUTOVER}'"
+_LATE = f"order_date >= TIMESTAMP '{CUTOVER}'"
 _IN_PERIOD = f"between TIMESTAMP '{PERIOD[0]}' and TIMESTAMP '{PERIOD[1]}'"
 _cte("staged_all", _extract())
 _cte("staged_early", _extract(_EARLY))
 _cte("staged_late", _extract(_LATE))
 _cte("staged_late_renamed", _extract(_LATE, "b2b_renamed"))
-_cte("staged_period", _extract(f"o.order_date {_IN_PERIOD}", match=True))
+_cte("staged_period", _extract(f"order_date {_IN_PERIOD}", match=True))
 
 _HOST = f"(user_id % {HOSTS})"
 _IP = f"concat('10.', ({_HOST} >> 16) & 255, '.', ({_HOST} >> 8) & 255, '.', {_HOST} & 255)"
@@ -121,7 +123,7 @@ _cte(
         ' [', case when event_type = 'error' and value > 100 then '99/Foo/2024:00:00:00'
                    else strftime(ts, '%d/%b/%Y:%H:%M:%S') end,
         ' -0700] "GET /', event_type, ' HTTP/1.1" 200 ', event_id % 1000,
-        ' "http://www.example.com/start.html" "',
+        ' "https://shop.example/catalog" "',
         ({_AGENT_ARRAY})[event_id % {len(AGENTS)} + 1], '"') as value from events""",
 )
 
@@ -237,7 +239,7 @@ _cte("dim_company_list", _first(S.COMPANY, "company_list"))
 
 for _d in S.ORDER_DIMENSIONS:
     _oracle(
-        f"scd2_{_d.name.removeprefix('dim_')}_initial", f"select * from {_d.name}_early"
+        f"scd2_{_d.name.removeprefix('dim_')}_initial", f"select * from {_d.name}_all"
     )
 _oracle("scd2_product_changed", "select * from dim_product_two")
 _version_load("product_back", "dim_product_two", S.PRODUCT, "staged_late", LOAD_3)
@@ -324,11 +326,23 @@ _oracle(
 _oracle("extract_orders_full", "select * from staged_all")
 _oracle("extract_orders_spread", "select * from staged_all")
 _HIGH = f"(select max(o_orderdate) from orders where o_orderdate < TIMESTAMP '{CUTOVER}')"
-_oracle("extract_orders_incremental", _extract(f"o.order_date > {_HIGH}"))
-_oracle("extract_orders_lookback", _extract(f"o.order_date > {_HIGH} - interval 30 day"))
-_oracle("extract_orders_range", _extract(f"o.order_date {_IN_PERIOD}"))
+_oracle("extract_orders_incremental", _extract(f"order_date > {_HIGH}"))
+_oracle("extract_orders_lookback", _extract(f"order_date > {_HIGH} - interval 30 day"))
+_oracle("extract_orders_range", _extract(f"order_date {_IN_PERIOD}"))
 _oracle("extract_orders_match_company", _extract(match=True))
 
+_oracle(
+    "extract_orders_rejects",
+    """select * from (select order_id, order_date, CUIT, customer_id, suppliers_catalog_id,
+       case when CUIT % 5 = 0 then 'company' when customer_id % 7 = 0 then 'customer'
+       when suppliers_catalog_id % 11 = 0 then 'item'
+       when (select max(supplier_id) from b2b_items i
+        where i.suppliers_catalog_id = o.suppliers_catalog_id) % 3 = 0 then 'supplier'
+       when (select max(product_id) from b2b_items i
+        where i.suppliers_catalog_id = o.suppliers_catalog_id) % 4 = 0 then 'product' end as missing
+       from b2b_orders o) where missing is not null""",
+)
+
 # --- facts ------------------------------------------------------------------------------------
 
 
@@ -371,6 +385,10 @@ def _lead_rejects(companies: str) -> str:
 
 _cte("fact_all", _order_fact("staged_all", "all"))
 _oracle("fact_orders", "select * from fact_all")
+_oracle("fact_orders_spread", "select * from fact_all")
+_NO_PLACE = """select *, case when supplier_id % 10 = 3 then 'supplier' else 'product' end as missing
+    from staged_all where supplier_id % 10 = 3 or product_id % 9 = 4"""
+_oracle("fact_orders_rejects", _NO_PLACE)
 _oracle("fact_orders_on_cuit", _order_fact("staged_all", "all", "CUIT"))
 _cte("product_since_1950", _first(S.PRODUCT, "staged_all", "1950-01-01 00:00:00"))
 _cte("renamed_list", "select product_id, name as product_name from b2b_renamed")
@@ -391,6 +409,10 @@ _oracle(
 )
 _oracle("fact_leads", _lead_fact("dim_company_list"))
 _SQL["fact_leads_ignoring_case"] = _SQL["fact_leads"]
+_oracle(
+    "fact_leads_many_cases",
+    f"select contact_date, count(*) as n from ({_lead_fact('dim_company_list')}) group by 1",
+)
 _oracle("fact_leads_rejects", _lead_rejects("dim_company_list"))
 _oracle(
     "reprocess_orders_period",
@@ -489,10 +511,11 @@ _oracle(
 )
 _oracle(
     "sales_by_month_window",
-    f"""select distinct cast(month(order_date) as int) as month,
-        cast(year(order_date) as int) as year, cast(sum(order_price) over (
-        partition by month(order_date), year(order_date)) as decimal(28,2)) as sum_of_sales
-        from staged_all where year(order_date) = {YEAR} order by 1 limit 12""",
+    f"""select cast(m as int) as month, cast({YEAR} as int) as year,
+        cast(sum(order_price) as decimal(28,2)) as sum_of_sales
+        from (select extract(month from order_date) as m, order_price from staged_all
+        where order_date >= DATE '{YEAR}-01-01' and order_date < DATE '{YEAR + 1}-01-01')
+        group by m""",
 )
 
 
@@ -504,16 +527,17 @@ def _top_devices(fact: str) -> str:
 
 
 def _top_products(sold: str, seen: str, products: str, buyer: str = "sk_customer") -> str:
-    return f"""select p.product_name, c.country_name, amount_sold from (
-        select sk_product, cs.sk_country, count(sk_product) as amount_sold from {sold} fo
-        join (select distinct {buyer}, sk_country from {seen} where sk_country in (
-          select sk_country from (select sk_country, row_number() over (
-            order by cnt desc, sk_country) as rn from (select sk_country, count(sk_country) as cnt
-            from {seen} group by sk_country)) where rn = 1)) cs on cs.{buyer} = fo.{buyer}
-        group by sk_product, cs.sk_country) t
-        join {products} p on p.sk_product = t.sk_product and p.end_date is null
-        join dim_country_all c on c.sk_country = t.sk_country and c.end_date is null
-        order by amount_sold desc, product_name, country_name, t.sk_product limit 100"""
+    """What buyers seen in the most seen country bought, counted per product."""
+    top = f"""(select sk_country from {seen} group by sk_country
+        order by count(*) desc, sk_country limit 1)"""
+    counts = f"""select sk_product, count(*) as amount_sold from {sold}
+        where {buyer} in (select {buyer} from {seen} where sk_country = {top})
+        group by sk_product"""
+    names = f"select sk_product, product_name from {products} where end_date is null"
+    return f"""select product_name,
+        (select country_name from dim_country_all where sk_country = {top}) as country_name,
+        amount_sold from ({counts}) join ({names}) using (sk_product)
+        order by amount_sold desc, product_name, sk_product limit 100"""
 
 
 _oracle("top_devices", _top_devices("logs_fact"))
@@ -542,6 +566,12 @@ _cte(
     f"{_order_fact('staged_late_renamed', 'two')}",
 )
 _oracle("pipeline_orders", "select * from fact_two")
+_oracle("pipeline_orders_rejects", _NO_PLACE)
+_oracle(
+    "pipeline_orders_lookback",
+    """select strftime(order_date, '%Y-%m') as month, count(*) as n,
+       cast(sum(order_price) as decimal(28,2)) as amount from staged_all group by 1""",
+)
 _oracle("pipeline_orders_dim", "select * from dim_product_two")
 _SQL["pipeline_reprocess"] = _SQL["reprocess_orders_period"]
 _oracle("pipeline_logs", "select * from logs_fact_of_buyers")
@@ -552,6 +582,14 @@ _oracle(
        where username not in (select username from dim_customer_all)""",
 )
 _SQL["pipeline_logs_quarantine"] = _SQL["parse_weblogs_quarantine"]
+_oracle(
+    "inbox_ingest_batches",
+    """select 'fact' as kind, cast(cast(time as date) as varchar) as day, count(*) as n
+       from logs_fact_of_buyers group by 2
+       union all select 'reject ' || 'customer', cast(cast(time as date) as varchar), count(*)
+       from staged_logs where username not in (select username from dim_customer_all) group by 2
+       union all select 'unreadable', value, count(*) from parsed where time is null group by 2""",
+)
 _oracle("pipeline_leads", _lead_fact("dim_company_all"))
 _oracle("pipeline_leads_rejects", _lead_rejects("dim_company_all"))
 _cte("logs_fact_two", _log_fact("dim_customer_two"))
@@ -564,3 +602,4 @@ _oracle(
         union all select 'product', product_name, cast(amount_sold as varchar)
         from ({_top_products("fact_two", "logs_fact_two", "dim_product_two")})""",
 )
+_SQL["stage_weblogs_repeated_geo"] = _SQL["stage_weblogs"]

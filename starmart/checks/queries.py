@@ -14,8 +14,14 @@ from starmart.functions.literals import wall_clock
 from starmart.functions.useragent import classify_user_agent
 from starmart.functions.weblog import parse_weblogs, quarantine, readable
 from starmart.operators.dimensions import add_members, fresh_rows, scd2_merge
-from starmart.operators.extract import extract_orders, high_water, hot_order_keys
+from starmart.operators.extract import (
+    extract_orders,
+    extract_rejects,
+    high_water,
+    hot_order_keys,
+)
 from starmart.operators.facts import (
+    Balance,
     Lookup,
     balance,
     fact_rejects,
@@ -24,6 +30,7 @@ from starmart.operators.facts import (
     same,
 )
 from starmart.operators.geo import assign_country, enrich_country
+from starmart.operators.joins import hot_keys
 from starmart.operators.keys import assign_keys
 from starmart.operators.synth import synth_weblogs
 from starmart.plans import pipelines as P
@@ -202,6 +209,20 @@ def extract_orders_spread(spark, sf_dir):
     return extract_orders(src, hot=hot_order_keys(src))
 
 
+@query
+def extract_orders_rejects(spark, sf_dir):
+    """Orders whose rows some table of the order system lacks."""
+    src = A.order_system(spark, sf_dir)
+    lacking = {
+        "companies": F.col("CUIT") % 5 != 0,
+        "customers": F.col("customer_id") % 7 != 0,
+        "suppliers_catalog": F.col("suppliers_catalog_id") % 11 != 0,
+        "suppliers": F.col("supplier_id") % 3 != 0,
+        "products": F.col("product_id") % 4 != 0,
+    }
+    return extract_rejects(src.replaced(**{n: src[n].filter(c) for n, c in lacking.items()}))
+
+
 # --- dimensions -------------------------------------------------------------------------------
 
 
@@ -213,25 +234,25 @@ def assign_customer_keys(spark, sf_dir):
 
 @query
 def scd2_company_initial(spark, sf_dir):
-    staged = extract_orders(_before_cutover(A.order_system(spark, sf_dir)))
+    staged = extract_orders(A.order_system(spark, sf_dir))
     return _first_load(spark, staged, S.COMPANY)
 
 
 @query
 def scd2_customer_initial(spark, sf_dir):
-    staged = extract_orders(_before_cutover(A.order_system(spark, sf_dir)))
+    staged = extract_orders(A.order_system(spark, sf_dir))
     return _first_load(spark, staged, S.CUSTOMER)
 
 
 @query
 def scd2_supplier_initial(spark, sf_dir):
-    staged = extract_orders(_before_cutover(A.order_system(spark, sf_dir)))
+    staged = extract_orders(A.order_system(spark, sf_dir))
     return _first_load(spark, staged, S.SUPPLIER)
 
 
 @query
 def scd2_product_initial(spark, sf_dir):
-    staged = extract_orders(_before_cutover(A.order_system(spark, sf_dir)))
+    staged = extract_orders(A.order_system(spark, sf_dir))
     return _first_load(spark, staged, S.PRODUCT)
 
 
@@ -398,6 +419,32 @@ def fact_orders(spark, sf_dir):
     return _order_facts(spark, sf_dir)
 
 
+@query
+def fact_orders_spread(spark, sf_dir):
+    """Staged keys of other numeric types than the dimensions', the hot ones spread."""
+    staged = _all_staged_orders(spark, sf_dir)
+    dims = _order_dims(spark, staged)
+    kinds = {"supplier_id": "int", "product_id": "decimal(20,2)", "customer_id": "int"}
+    staged = staged.withColumns({c: F.col(c).cast(k) for c, k in kinds.items()})
+    lookups = P.order_lookups(dims)
+    hot = hot_keys(staged, [lk.staged_cols for lk in lookups], share=0.002)
+    return load_fact(staged, lookups, P.ORDER_FACT_COLUMNS, Balance(hot=hot))
+
+
+def _lacking(dims: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Dimensions without some suppliers and products."""
+    suppliers = dims["dim_supplier"].filter("supplier_id % 10 <> 3")
+    products = dims["dim_product"].filter("product_id % 9 <> 4")
+    return {**dims, "dim_supplier": suppliers, "dim_product": products}
+
+
+@query
+def fact_orders_rejects(spark, sf_dir):
+    staged = _all_staged_orders(spark, sf_dir)
+    lookups = P.order_lookups(_lacking(_order_dims(spark, staged)))
+    return fact_rejects(staged, lookups, balance(staged, lookups))
+
+
 @query
 def fact_orders_on_cuit(spark, sf_dir):
     return _order_facts(spark, sf_dir, "CUIT")
@@ -450,6 +497,17 @@ def fact_leads_ignoring_case(spark, sf_dir):
     return load_fact(lower, lookups, P.LEAD_FACT_COLUMNS)
 
 
+@query
+def fact_leads_many_cases(spark, sf_dir):
+    """Members in two cases, looked up ignoring case: one fact per lead all the same."""
+    leads = A.leads(spark, sf_dir)
+    names = ["company_name", "contact_name", "lead_source", "status"]
+    lower = leads.withColumns({c: F.lower(c) for c in names})
+    dims = _lead_dims(spark, sf_dir, leads.unionByName(lower))
+    rows = load_fact(leads, P.lead_lookups(dims, "UTF8_LCASE"), P.LEAD_FACT_COLUMNS)
+    return rows.groupBy("contact_date").agg(F.count("*").alias("n"))
+
+
 @query
 def fact_leads_rejects(spark, sf_dir):
     staged = _stored(A.leads(spark, sf_dir), "stg_leads")
@@ -529,6 +587,14 @@ def stage_weblogs(spark, sf_dir):
     return _staged_logs(spark, sf_dir)
 
 
+@query
+def stage_weblogs_repeated_geo(spark, sf_dir):
+    """Two countries for every ip; the first by name is taken."""
+    geo = A.geo(spark, sf_dir)
+    again = geo.select("ip", F.concat("country_name", F.lit(" too")).alias("country_name"))
+    return P.stage_weblogs(A.weblog_lines(spark, sf_dir), geo.unionByName(again))
+
+
 @query
 def text_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "lines")
@@ -623,6 +689,31 @@ def pipeline_orders(spark, sf_dir):
     return _loaded_orders(spark, sf_dir).table("fact_orders")
 
 
+@query
+def pipeline_orders_lookback(spark, sf_dir):
+    """Loaded without the late rows of the last days, then again with a look-back."""
+    wh = _warehouse(spark)
+    src = A.order_system(spark, sf_dir)
+    early = _before_cutover(src)
+    late = (F.col("order_date") > wall_clock("1998-12-12 00:00:00")) & (F.col("order_id") % 20 == 1)
+    P.run_orders(wh, early.replaced(orders=early["orders"].filter(~late)), LOAD_1)
+    P.run_orders(wh, src, LOAD_2, lookback=timedelta(days=30))
+    P.run_orders(wh, src, LOAD_3, lookback=timedelta(days=30))
+    return wh.table("fact_orders").groupBy(
+        F.date_format("order_date", "yyyy-MM").alias("month")
+    ).agg(F.count("*").alias("n"), F.sum("price").cast("decimal(28,2)").alias("amount"))
+
+
+@query
+def pipeline_orders_rejects(spark, sf_dir):
+    wh = _warehouse(spark)
+    P.run_orders(wh, A.order_system(spark, sf_dir), LOAD_1)
+    names = ("dim_supplier", "dim_product")
+    for name, dim in _lacking({n: wh.table(n) for n in names}).items():
+        wh.overwrite(name, dim)
+    return P.order_rejects(wh)
+
+
 @query
 def pipeline_orders_dim(spark, sf_dir):
     return _loaded_orders(spark, sf_dir).table("dim_product")
@@ -690,6 +781,26 @@ def inbox_ingest(spark, sf_dir):
     return wh.table("fact_logs")
 
 
+@query
+def inbox_ingest_batches(spark, sf_dir):
+    """Several log files, one a batch, with archive: facts, rejects and unreadable lines of all."""
+    wh = _with_customers_and_companies(spark, sf_dir)
+    inbox = scratch_path(spark, "inbox")
+    write_text(A.weblog_lines(spark, sf_dir).repartition(3), inbox)
+    state, archive = scratch_path(spark, "stream"), scratch_path(spark, "archive")
+    geo = A.geo(spark, sf_dir)
+    ingest_weblogs(wh, inbox, state, geo, LOAD_1, files_per_batch=1, archive=archive)
+    day = F.col("time").cast("date").cast("string").alias("day")
+    rejects = P.log_rejects(wh)
+    kinds = [
+        wh.table("fact_logs").select(F.lit("fact").alias("kind"), day),
+        rejects.select(F.concat(F.lit("reject "), "missing").alias("kind"), day),
+        P.quarantined_lines(wh).select(F.lit("unreadable").alias("kind"), F.col("value").alias("day")),
+    ]
+    rows = kinds[0].unionByName(kinds[1]).unionByName(kinds[2])
+    return rows.groupBy("kind", "day").agg(F.count("*").alias("n"))
+
+
 @query
 def report_views(spark, sf_dir):
     """The report views, registered on a warehouse and read by name."""

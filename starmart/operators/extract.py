@@ -58,6 +58,51 @@ def hot_order_keys(
     return hot_keys(_in_scope(src["orders"], high_water, start, end), keys)
 
 
+def extract_rejects(
+    src: Mapping[str, DataFrame],
+    high_water: datetime | str | None = None,
+    start: datetime | str | None = None,
+    end: datetime | str | None = None,
+    hot: Mapping[tuple[str, ...], Sequence[int]] | None = None,
+) -> DataFrame:
+    """The orders that ``extract_orders`` leaves out, with ``missing`` = the first table that
+    lacks their row: company, customer, item, supplier or product.
+
+    An item listed with several suppliers or products is found if one of them is.
+    """
+    hot = hot or {}
+    flag = F.lit(True)
+
+    def known(table: str, key: str, name: str, mark: str) -> DataFrame:
+        return src[table].select(F.col(key).alias(name)).distinct().withColumn(mark, flag)
+
+    items = src["suppliers_catalog"].select("suppliers_catalog_id", "supplier_id", "product_id")
+    items = lookup_join(
+        items, known("suppliers", "supplier_id", "_s", "_supplier"), [("supplier_id", "_s")], "left"
+    )
+    items = lookup_join(
+        items, known("products", "product_id", "_p", "_product"), [("product_id", "_p")], "left"
+    )
+    items = items.groupBy(F.col("suppliers_catalog_id").alias("_i")).agg(
+        flag.alias("_item"),
+        F.max("_supplier").alias("_supplier"),
+        # of the entries whose supplier is known, as the extract needs both
+        F.max(F.col("_supplier") & F.col("_product")).alias("_product"),
+    )
+    rows = _in_scope(src["orders"], high_water, start, end)
+    columns = rows.columns
+    sides = [
+        (known("companies", "CUIT", "_c", "_company"), "CUIT", "_c"),
+        (known("customers", "customer_id", "_u", "_customer"), "customer_id", "_u"),
+        (items, "suppliers_catalog_id", "_i"),
+    ]
+    for side, key, name in sides:
+        rows = lookup_join(rows, side, [(key, name)], "left", hot.get((key,), ()))
+    marks = ["company", "customer", "item", "supplier", "product"]
+    missing = F.coalesce(*[F.when(F.col(f"_{m}").isNull(), m) for m in marks])
+    return rows.select(*columns, missing.alias("missing")).filter(F.col("missing").isNotNull())
+
+
 def extract_orders(
     src: Mapping[str, DataFrame],
     high_water: datetime | str | None = None,
