@@ -28,7 +28,7 @@ from starmart.llm.common import stored, text_bytes
 
 LENGTH = 400
 # A cut is a minimum among so many places on each side; phrases have twice as many bytes at a mean.
-REACH = 40
+REACH = 20
 _ROLL = 8
 _U = np.uint64
 _BASE = 0xD6E8FEB86659FD93
@@ -179,8 +179,9 @@ def parse(docs: DataFrame, length: int, reach: int) -> DataFrame:
 
 
 def _repeated(rows: DataFrame, key: str) -> DataFrame:
-    """The keys that occur twice or more."""
-    return rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1").select(key)
+    """The keys that occur twice or more; stored, so that a join with them can split a hot one."""
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    return stored(counts.where("n > 1").select(key), f"repeated-{key}")
 
 
 def _suffixes(length: int):
@@ -384,7 +385,8 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, reach: int = REACH) ->
     groups = suffixes.groupBy("key").agg(
         F.count("*").alias("n"), F.min(F.struct("rid", "at")).alias("first")
     )
-    same = suffixes.join(groups.where("n > 1").select("key", "first"), "key").groupBy("rid")
+    groups = stored(groups.where("n > 1").select("key", "first"), "repeated-suffixes")
+    same = suffixes.join(groups, "key").groupBy("rid")
     speaks = F.col("first") == F.struct("rid", "at")
     same = same.agg(
         F.collect_list("at").alias("same"), F.collect_list(F.when(speaks, F.col("at"))).alias("first")
