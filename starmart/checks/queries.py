@@ -724,7 +724,7 @@ def pipeline_reprocess(spark, sf_dir):
     wh = _warehouse(spark)
     src = A.order_system(spark, sf_dir)
     P.run_orders(wh, src, LOAD_1)
-    P.reprocess_orders(wh, src, *PERIOD, LOAD_2, match_company=True)
+    P.reprocess_orders(wh, src, *PERIOD, LOAD_2, match_company=True, find_hot=True)
     return wh.table("fact_orders")
 
 

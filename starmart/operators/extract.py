@@ -119,10 +119,19 @@ def extract_orders(
 
     The fact side is shuffled twice: by customer and by catalog item. The item's supplier and
     product are joined on the smaller catalog side first, and both price lists share the item's
-    partitioning. Hot keys are left to AQE, or spread if ``hot`` names them (``hot_order_keys``).
+    partitioning. With a bound on the date both lists are first reduced to the items ordered, so
+    that an increment doesn't move the catalog through the joins with suppliers and products. Hot
+    keys are left to AQE, or spread if ``hot`` names them (``hot_order_keys``).
     """
     hot = hot or {}
     orders = _in_scope(src["orders"], high_water, start, end)
+    bounded = high_water is not None or start is not None
+    ordered = orders.select("suppliers_catalog_id").distinct() if bounded else None
+
+    def listed(table: str) -> DataFrame:
+        rows = src[table]
+        return rows.join(ordered, "suppliers_catalog_id", "left_semi") if bounded else rows
+
     companies = src["companies"].select(
         F.col("CUIT").alias("_cuit"), F.col("name").alias("company_name")
     )
@@ -136,14 +145,14 @@ def extract_orders(
     suppliers = src["suppliers"].select("supplier_id", F.col("name").alias("supplier_name"))
     products = src["products"].select("product_id", F.col("name").alias("product_name"))
     items = (
-        src["suppliers_catalog"]
+        listed("suppliers_catalog")
         .select(
             F.col("suppliers_catalog_id").alias("_item"), "supplier_id", "product_id", "price"
         )
         .join(suppliers, "supplier_id")
         .join(products, "product_id")
     )
-    list_prices = src["companies_catalog"].select(
+    list_prices = listed("companies_catalog").select(
         F.col("suppliers_catalog_id").alias("_list_item"),
         F.col("CUIT").alias("_list_cuit"),
         "catalog_price",

@@ -201,15 +201,18 @@ def reprocess_orders(
     match_company: bool = False,
     dim_rows: DataFrame | None = None,
     scd2: Mapping | None = None,
+    find_hot: bool = False,
 ) -> None:
     """Load the orders of a closed date range again and exchange them in the fact.
 
     The dimensions take their members from the reloaded rows, or from ``dim_rows`` if given.
+    ``find_hot`` reads the keys of the orders beforehand and spreads the hot ones.
 
     Only the months the range touches are rewritten, and in one step: readers see the old or the
     new period, never a gap.
     """
-    rows = extract_orders(src, start=start, end=end, match_company=match_company)
+    hot = hot_order_keys(src, start=start, end=end) if find_hot else None
+    rows = extract_orders(src, start=start, end=end, match_company=match_company, hot=hot)
     staged = wh.overwrite("stg_orders_reprocess", rows)
     members = staged if dim_rows is None else dim_rows
     _merge_order_dims(wh, members, load_ts, scd2 or {})
