@@ -146,10 +146,13 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     groups = rows.groupBy("n_blocks", "name").agg(
         F.max(F.struct("doc_id", "rid")).alias("keep"), F.count("*").alias("group_size")
     )
-    return rows.join(groups, ["n_blocks", "name"]).select(
+    # stored, so that the join's own exchanges meet and a large group's rows can be split
+    groups = stored(groups.where("group_size > 1"), "groups")
+    alone = F.col("group_size").isNull()
+    return rows.join(groups, ["n_blocks", "name"], "left").select(
         "doc_id",
-        F.col("keep.doc_id").alias("keep_id"),
-        "group_size",
-        (F.col("rid") == F.col("keep.rid")).alias("kept"),
+        F.when(alone, F.col("doc_id")).otherwise(F.col("keep.doc_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
+        (alone | (F.col("rid") == F.col("keep.rid"))).alias("kept"),
         "text_sha256",
     )
