@@ -25,15 +25,21 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+def tasks_for(rows: int, each: int) -> int:
+    """Tasks for so many rows; more than there are partitions leaves the partitions alone."""
+    return 1 + rows // each
+
+
+def stored(frame: DataFrame, label: str, tasks: int | None = None) -> DataFrame:
     """The rows, written to the shared folder and read again.
 
     Cuts the lineage: a lost executor costs at most the tasks that ran on it, and what draws on
-    the rows twice doesn't compute them twice.
+    the rows twice doesn't compute them twice. ``tasks`` limits the files where a table's rows are
+    known to be few for its partitions.
     """
     spark = frame.sparkSession
     path = scratch_path(spark, label)
-    frame.write.parquet(path)
+    (frame.coalesce(tasks) if tasks else frame).write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

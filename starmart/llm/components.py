@@ -7,96 +7,154 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import stored
+from starmart.llm.common import stored, tasks_for
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+# Rows of two or three longs handled by one task.
+TASK_ROWS = 50_000
+
+
+def _large_star(edges: DataFrame, width: int) -> DataFrame:
     """Link the larger neighbours of each node to the smallest of it and its neighbours."""
     both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     low = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
-    return both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    up = both.where("b > a").join(stored(low, "lowest", width), "a").where("b <> m")
+    return up.select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    """Link each node and its smaller neighbours to the smallest of those."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    low = down.groupBy("a").agg(F.min("b").alias("m"))
-    return (
-        down.join(low, "a")
-        .select(F.col("b").alias("a"), F.col("m").alias("b"))
-        .unionByName(low.select("a", F.col("m").alias("b")))
-    )
+def _small_star(edges: DataFrame, width: int) -> DataFrame:
+    """Link each node and its smaller neighbours to the smallest of those; ``a`` is above ``b``."""
+    low = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "lowest", width)
+    down = edges.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return down.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
     """``node, component`` of every node in ``links`` (two columns of longs, either order).
 
-    Alternates large stars and small stars.     ``component`` is the smallest node that can be reached. Rounds go on until nothing changes,
-    about the logarithm of the longest shortest path; no node's links are gathered in one place,
-    as smallest neighbours are aggregated before they are joined back.
+    Alternates large stars and small stars. ``component`` is the smallest node that can be reached.
+    Rounds go on until every link leads to a node that leads nowhere, about the logarithm of the
+    longest shortest path. No node's links are gathered in one place: smallest neighbours are
+    aggregated, stored, and joined back in a join whose hot keys can be split. Tasks are as many as
+    the links need.
     """
     a, b = links.columns
-    edges = links.select(F.col(a).alias("a"), F.col(b).alias("b")).where("a <> b").distinct()
+    edges = links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).where("a <> b")
     edges = stored(edges, "links")
-    state = None
+    width = tasks_for(edges.count(), TASK_ROWS)
     while True:
-        edges = _large_star(edges).where("a <> b").distinct()
-        edges = stored(_small_star(edges).where("a <> b").distinct(), "links")
-        seen = edges.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)))).first()
-        if seen == state:
+        large = stored(_large_star(edges, width), "links", width)
+        edges = stored(_small_star(large, width), "links", width)
+        # stars: each node has one link, and to one that has none
+        seen = edges.agg(F.count("*"), F.count_distinct("a")).first()
+        roots = edges.select(F.col("b").alias("node")).distinct()
+        if seen[0] == seen[1] and not edges.join(roots, edges["a"] == roots["node"], "semi").head(1):
             break
-        state = seen
-    roots = edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
+    roots = roots.select("node", F.col("node").alias("component"))
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _order(node: Column, turn: int) -> Column:
-    """Another order of the nodes each turn; the first is that of the ids."""
-    return node if turn == 0 else F.xxhash64(node, F.lit(turn))
+# Centres of a bucket in every turn but the first.
+CENTRES = 8
+
+
+def _orders(turn: int) -> list[Column]:
+    """The orders by which centres are chosen; at first the node with the fullest buckets is one.
+
+    What many others are variants of shares more bands with them than they do with each other.
+    """
+    if turn == 0:
+        return [-F.col("weight")]
+    return [F.xxhash64("node", F.lit(turn * CENTRES + k)) for k in range(CENTRES)]
 
 
-def star_pairs(buckets: DataFrame, turn: int = 0) -> DataFrame:
-    """Pairs ``a, b`` of a bucket's centre and its members outside the centre's component.
+def star_pairs(buckets: DataFrame, turn: int, tasks: int) -> DataFrame:
+    """Pairs ``a, b`` of a bucket's centres and its members outside the centre's component.
 
-    ``buckets`` has ``bucket, node, component``. The centres are aggregated per bucket before they
-    are joined back, so a bucket of any size is never gathered.
+    ``buckets`` has ``bucket, node, weight, component``. The centres are aggregated per bucket
+    before they are joined back, so a bucket of any size is never gathered. Buckets of at most
+    ``CENTRES`` nodes soon have all their pairs compared.
     """
-    ordered = F.struct(_order(F.col("node"), turn).alias("o"), "node", "component")
-    centre = buckets.groupBy("bucket").agg(
-        F.min(ordered).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")
+    centres = [
+        F.min(F.struct(o.alias("o"), "node", "component")).alias(f"c{k}")
+        for k, o in enumerate(_orders(turn))
+    ]
+    names = [f"c{k}" for k in range(len(centres))]
+    mixed = buckets.groupBy("bucket").agg(
+        *centres, F.min("component").alias("lo"), F.max("component").alias("hi")
     )
-    centre = centre.where("lo <> hi").select(
-        "bucket", F.col("c.node").alias("centre"), F.col("c.component").alias("own")
+    centre = mixed.where("lo <> hi").select(
+        "bucket", F.array_distinct(F.array(*[F.struct(f"{c}.node", f"{c}.component") for c in names])).alias("centres")
     )
-    return (
+    # stored, so that the join can split a hot bucket
+    centre = stored(centre, "centres", tasks)
+    pairs = (
         buckets.join(centre, "bucket")
-        .where("component <> own")
-        .select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b"))
+        .select("node", "component", F.explode("centres").alias("c"))
+        .where("component <> c.component")
+        .select(
+            F.greatest("node", "c.node").alias("a"),
+            F.least("node", "c.node").alias("b"),
+        )
         .distinct()
     )
+    return stored(pairs, "pairs", tasks)
+
 
+def crowded(buckets: DataFrame, tasks: int) -> DataFrame:
+    """``node, bucket, weight`` of buckets with two nodes or more.
 
-def crowded(buckets: DataFrame) -> DataFrame:
-    """The rows ``node, bucket`` of buckets with two nodes or more."""
-    full = buckets.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    return buckets.join(full.where("lo <> hi").select("bucket"), "bucket").select("node", "bucket")
+    ``weight`` is how many rows the node's buckets have together.
+    """
+    full = buckets.groupBy("bucket").agg(
+        F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("size")
+    )
+    full = stored(full.where("lo <> hi").select("bucket", "size"), "crowded", tasks)
+    shared = stored(buckets.join(full, "bucket"), "shared", tasks)
+    weights = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    shared = shared.join(weights, "node").select("node", "bucket", "weight")
+    return stored(shared, "weighted", tasks)
 
 
-def cluster(shared: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def cluster(shared: DataFrame, confirm: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
     """``node, component`` of the nodes that ``confirm`` links to another one of their bucket.
 
-    ``confirm`` keeps the pairs that are similar. Each turn pairs every bucket's members with one
-    centre; it is repeated with other centres, over the buckets that still hold two components,
-    until a turn links nothing new.
+    ``confirm(pairs, how_many)`` keeps the pairs that are similar. Each turn pairs every bucket's
+    members with its centres; it is repeated with other centres, over the buckets that still hold
+    two components, until a turn links nothing new. New links join components, so a turn's cost
+    follows what is new in it.
     """
-    state, links, turn = shared.withColumn("component", F.col("node")), None, 0
+    tasks = tasks_for(shared.count(), TASK_ROWS)
+    state, found, turn = shared.withColumn("component", F.col("node")), None, 0
     while True:
-        new = stored(confirm(star_pairs(state, turn)).select("a", "b"), "confirmed")
-        if turn and not new.head(1):
-            return links.select(F.col("a").alias("node"), F.col("b").alias("component"))
-        found = stored(components(new if links is None else links.unionByName(new)), "components")
-        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        pairs = star_pairs(state, turn, tasks)
+        n = pairs.count()
+        new = pairs
+        if n:
+            few = tasks_for(n, TASK_ROWS)
+            new = stored(confirm(pairs, n).select("a", "b"), "confirmed", few)
+        if found is None:
+            found = stored(components(new), "components", tasks)
+        elif n and new.head(1):
+            found = stored(_joined(found, new), "components", tasks)
+        else:
+            return found
         state = shared.join(found, "node", "left").select(
-            "node", "bucket", F.coalesce("component", "node").alias("component")
+            "node", "bucket", "weight", F.coalesce("component", "node").alias("component")
         )
         turn += 1
+
+
+def _joined(found: DataFrame, new: DataFrame) -> DataFrame:
+    """``found`` after the links ``new`` between its components, or nodes outside of them."""
+    for end in ("a", "b"):
+        of = found.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+        new = new.join(of, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+    merged = components(new.select("ca", "cb").distinct())
+    # a single node stands for itself in the new links
+    alone = merged.join(found, "node", "left_anti")
+    merged = merged.select(F.col("node").alias("component"), F.col("component").alias("to"))
+    moved = found.join(merged, "component", "left").select(
+        "node", F.coalesce("to", "component").alias("component")
+    )
+    return moved.unionByName(alone)

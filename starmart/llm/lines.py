@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import stored
+from starmart.llm.common import stored, tasks_for
 from starmart.llm.components import cluster, crowded
 
 PERCENT = 80
 SALT = 40503
+# Distinct lines whose bands or shingles one task handles.
+TASK_LINES = 20_000
 # A pair at 80 % shares one of six bands of two values in 99.8 % of all cases.
 BANDS = 6
 _SHINGLE = r"(?s)(?=(.{1,12}))[^\x20\x09-\x0D]{1,8}"
@@ -73,13 +75,14 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "lines")
     buckets = nodes.select("node", F.explode(F.array(*names)).alias("bucket"))
-    shared = stored(crowded(buckets), "line-buckets")
+    some = tasks_for(nodes.count(), TASK_LINES)
+    shared = crowded(buckets, some)
 
     ends = nodes.join(shared.select("node").distinct(), "node").select("node", "first.*")
     sets = _lines(docs).join(ends, ["did", "at"]).select("node", shingles(F.col("line")).alias("x"))
-    sets = stored(sets.dropDuplicates(["node"]), "line-shingles")
+    sets = stored(sets.dropDuplicates(["node"]), "line-shingles", some)
 
-    def confirm(pairs: DataFrame) -> DataFrame:
+    def confirm(pairs: DataFrame, n: int) -> DataFrame:
         both = pairs.join(sets.select(F.col("node").alias("a"), "x"), "a").join(
             sets.select(F.col("node").alias("b"), F.col("x").alias("y")), "b"
         )

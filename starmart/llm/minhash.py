@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import runs, stored, text_bytes
+from starmart.llm.common import runs, stored, tasks_for, text_bytes
 from starmart.llm.components import cluster, crowded
 
 SHINGLE = 5
@@ -25,6 +25,9 @@ PERCENT = 80
 # A pair at 80 % agrees in one of 40 bands of 6 bins but for 5 in a million.
 BANDS, ROWS = 40, 6
 CHUNK = 1 << 22
+# Pairs confirmed, and documents read or named, by one task.
+TASK_PAIRS = 4_000
+TASK_DOCS = 5_000
 # Nodes from here on stand for sets that no row with an id has.
 _UNNAMED = 1 << 62
 _BASE = 0x9E3779B97F4A7C15
@@ -209,11 +212,12 @@ def _confirm(percent: int):
     return confirm
 
 
-def link_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` with 100 * intersection >= percent * union."""
+def link_pairs(pairs: DataFrame, n: int, sets: DataFrame, percent: int) -> DataFrame:
+    """Of ``n`` pairs ``a, b`` those with 100 * intersection >= percent * union."""
     left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
     both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+    both = both.coalesce(tasks_for(n, TASK_PAIRS))
     return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked")
 
 
@@ -237,9 +241,9 @@ def near_duplicates(
     nodes = filled.groupBy(*keys).agg(
         F.min("doc_id").alias("id"), F.any_value("bands").alias("bands")
     )
-    nodes = stored(nodes.withColumn("node", F.coalesce("id", unnamed)), "nodes")
-    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = stored(crowded(buckets), "buckets")
+    some = tasks_for(signed.count(), TASK_DOCS)
+    nodes = stored(nodes.withColumn("node", F.coalesce("id", unnamed)), "nodes", some)
+    shared = crowded(nodes.select("node", F.explode("bands").alias("bucket")), some)
 
     # shingle sets of all documents that share a bucket
     ends = shared.select("node").distinct()
@@ -247,9 +251,9 @@ def near_duplicates(
         F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text")
     )
     texts = texts.where("node is not null").join(ends, "node", "left_semi")
-    sets = stored(_sets(texts, width).distinct(), "shingle-sets")
+    sets = stored(_sets(texts.coalesce(some), width).distinct(), "shingle-sets", some)
 
-    found = cluster(shared, lambda pairs: link_pairs(pairs, sets, percent))
+    found = cluster(shared, lambda pairs, n: link_pairs(pairs, n, sets, percent))
     named = nodes.select(*keys, "node").join(found, "node", "left")
     named = named.select(*keys, F.coalesce("component", "node").alias("component"))
     out = signed.drop("bands").join(named, keys, "left")
