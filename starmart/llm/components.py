@@ -55,7 +55,7 @@ def components(links: DataFrame) -> DataFrame:
 
 
 # Centres of a bucket in every turn but the first.
-CENTRES = 8
+CENTRES = 4
 
 
 def _orders(turn: int) -> list[Column]:
@@ -126,8 +126,12 @@ def cluster(shared: DataFrame, confirm: Callable[[DataFrame, int], DataFrame]) -
     """
     tasks = tasks_for(shared.count(), TASK_ROWS)
     state, found, turn = shared.withColumn("component", F.col("node")), None, 0
+    tested = None
     while True:
         pairs = star_pairs(state, turn, tasks)
+        if tested is not None:  # no pair is compared twice
+            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "untested", tasks)
+        tested = pairs if tested is None else tested.unionByName(pairs)
         n = pairs.count()
         new = pairs
         if n:
