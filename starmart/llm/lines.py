@@ -1,40 +1,58 @@
-"""Fuzzy line deduplication with MinHash over character shingles, in DataFrame functions alone.
+"""Fuzzy line deduplication with MinHash over character shingles.
 
-A line's shingles are the twelve characters from each word's start, and from every eighth character
-inside longer words. For each of a few constants the smallest shingle hash after an exclusive or
-with it is a signature value; pairs of values are bands. Lines that share a band are paired with
-one line of its bucket, confirmed on their shingle sets, and linked; one line of each component
-stays.
+A line's shingles are the twelve characters from each of its characters on. For each of a few constants
+the smallest hash after an exclusive or is a signature value; two values are a band. Lines that share a band are
+clustered as near-duplicate documents are: compared on their whole shingle sets with a few centres.
+One line of each component stays. Shingles of
+every place are too many for lambdas over arrays, so they are hashed in numpy.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import stored, tasks_for
+from starmart.llm.common import runs, stored, tasks_for, text_bytes
 from starmart.llm.components import cluster, crowded
+from starmart.llm.minhash import _BASE, _CODE, _INVERSE, _mix, _powers
 
 PERCENT = 80
 SALT = 40503
-# Distinct lines whose bands or shingles one task handles.
+# Distinct lines whose bands or shingles, and pairs that are compared by one task.
 TASK_LINES = 20_000
+TASK_PAIRS = 20_000
+WIDTH = 12
 # A pair at 80 % shares one of six bands of two values in 99.8 % of all cases.
-BANDS = 6
-_SHINGLE = r"(?s)(?=(.{1,12}))[^\x20\x09-\x0D]{1,8}"
+BANDS, ROWS = 6, 2
+# Bytes of lines hashed at once; small enough for a core's cache.
+CHUNK = 1 << 17
+_SHINGLE = r"(?s)(?=(.{12}|(?<!.).{1,11}(?!.)))."
 _HAS_WORD = r"[^\x20\x09-\x0D]"
-# Constants of the signature: the fractional parts of multiples of the golden ratio, 64 bits each.
-_CONSTANTS = [(k * 0x9E3779B97F4A7C15) % (1 << 64) - (1 << 63) for k in range(1, 2 * BANDS + 1)]
+_U = np.uint64
+# Constants of the signature: multiples of the golden ratio, 64 bits each.
+_ADDED = np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * _U(_BASE)
+
+
+def _whole_rows(docs: DataFrame) -> DataFrame:
+    """``did, uid, doc_id, text``: rows with the same first two are one document."""
+    text = F.coalesce("text", F.lit(""))
+    doc_id = F.col("doc_id").cast("long")
+    did = F.coalesce(doc_id, F.lit(-1))
+    uid = F.lit(0).cast("long")
+    return docs.select(did.alias("did"), uid.alias("uid"), doc_id.alias("doc_id"), text.alias("text"))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``did, at, line``: the lines with a word, trimmed and in lower case, and their numbers."""
-    lines = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)).alias("did"),
-        F.posexplode_outer(F.split(F.coalesce("text", F.lit("")), "\n")).alias("at", "raw"),
+    """``did, uid, at, line``: the lines with a word, trimmed and in lower case, and their numbers."""
+    lines = _whole_rows(docs).select(
+        "did", "uid", F.posexplode_outer(F.split("text", "\n")).alias("at", "raw")
     )
     lines = lines.where(F.regexp_like("raw", F.lit(_HAS_WORD)))
-    return lines.select("did", "at", F.lower(F.trim("raw")).alias("line"))
+    return lines.select("did", "uid", "at", F.lower(F.trim("raw")).alias("line"))
 
 
 def _with_keys(lines: DataFrame) -> DataFrame:
@@ -44,32 +62,94 @@ def _with_keys(lines: DataFrame) -> DataFrame:
     )
 
 
-def shingles(line: Column) -> Column:
-    """Distinct shingle hashes of a line with a word."""
-    found = F.regexp_extract_all(line, F.lit(_SHINGLE), F.lit(1))
-    return F.array_distinct(F.transform(found, lambda s: F.xxhash64(s)))
+def shingles(data: np.ndarray, offsets: np.ndarray, powers: list) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all shingles in order, and the number of the first one of each line.
 
-
-def _bands(hashes: Column) -> list[Column]:
-    def least_after(constant: int) -> Column:
-        return F.array_min(F.transform(hashes, lambda x: x.bitwiseXOR(F.lit(constant))))
-
-    least = [least_after(c) for c in _CONSTANTS]
-    return [
-        F.xxhash64(F.lit(b), least[2 * b], least[2 * b + 1]).alias(f"band{b}") for b in range(BANDS)
-    ]
+    A line of fewer than ``WIDTH`` characters is its one shingle; no line is empty.
+    """
+    n = len(data)
+    if len(powers[0]) < n:
+        powers[:] = [_powers(_BASE, n), _powers(_INVERSE, n)]
+    start = np.flatnonzero((data & 0xC0) != 0x80)
+    first = np.searchsorted(start, offsets)
+    many = np.maximum(np.diff(first) - WIDTH + 1, 1)
+    at = np.concatenate(([0], np.cumsum(many)))
+    here = np.arange(at[-1]) + np.repeat(first[:-1] - at[:-1], many)
+    stop = np.minimum(here + WIDTH, np.repeat(first[1:], many))
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_CODE[data] * powers[0][:n], out=total[1:])
+    here, stop = start[here], np.append(start, n)[stop]
+    out = (total[stop] - total[here]) * powers[1][here] + (stop - here).astype(np.uint64)
+    return _mix(out), at
+
+
+def line_sets(column: pa.Array) -> Iterator[np.ndarray]:
+    """The sorted distinct shingle hashes of each line."""
+    powers = [np.zeros(0, np.uint64)] * 2
+    data, offsets = text_bytes(column)
+    for i, j in runs(offsets, CHUNK):
+        hashes, at = shingles(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], powers)
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            yield np.unique(hashes[a:b])
+
+
+def bands(hashes: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+    """The bands of each line, one array a band."""
+    out = []
+    for b in range(BANDS):
+        key = np.full(len(at) - 1, b + 1, np.uint64)
+        for k in range(b * ROWS, (b + 1) * ROWS):
+            least = np.minimum.reduceat(hashes ^ _ADDED[k], at[:-1])
+            key = _mix(key * _U(_BASE) ^ least)
+        out.append(key)
+    return out
+
+
+def _signed(lines: DataFrame) -> DataFrame:
+    """``did, uid, at, k1, k2`` and the bands of lines, by column ``line``."""
+    names = ["did", "uid", "at", "k1", "k2", *[f"band{b}" for b in range(BANDS)]]
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = [np.zeros(0, np.uint64)] * 2
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(5))
+            for i, j in runs(offsets, CHUNK):
+                part = data[offsets[i] : offsets[j]]
+                found = bands(*shingles(part, offsets[i : j + 1] - offsets[i], powers))
+                columns = [batch.column(c).slice(i, j - i) for c in range(5)]
+                columns += [pa.array(x.view(np.int64)) for x in found]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "did long, uid long, at int, k1 long, k2 long, "
+    schema += ", ".join(f"{name} long" for name in names[5:])
+    return lines.select("did", "uid", "at", "k1", "k2", "line").mapInArrow(sign, schema)
+
+
+def _confirm(percent: int):
+    def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(line_sets(batch.column(2)), line_sets(batch.column(3)), strict=True):
+                at = np.searchsorted(x, y)
+                at[at == len(x)] = 0
+                same = int((x[at] == y).sum())
+                good.append(100 * same >= percent * (len(x) + len(y) - same))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(good, pa.bool_())], ["a", "b", "linked"]
+            )
+
+    return confirm
 
 
 def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``did, at``: the lines to remove; of each component the first stays, by id and number.
+    """``did, uid, at``: the lines to remove; of each component the first stays, by id and number.
 
-    A null id counts as -1; rows that share an id are one document.
+    A null id counts as -1. Rows that share an id are one document, ``uid`` is 0.
     """
-    keyed = _with_keys(_lines(docs)).withColumn("hashes", shingles(F.col("line")))
     names = [f"band{b}" for b in range(BANDS)]
-    signed = keyed.select("did", "at", "k1", "k2", *_bands(F.col("hashes")))
+    signed = _signed(_with_keys(_lines(docs)))
     distinct = signed.groupBy("k1", "k2").agg(
-        F.min(F.struct("did", "at")).alias("first"),
+        F.min(F.struct("did", "at", "uid")).alias("first"),
         F.count("*").alias("n"),
         *[F.min(b).alias(b) for b in names],
     )
@@ -79,16 +159,15 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     shared = crowded(buckets, some)
 
     ends = nodes.join(shared.select("node").distinct(), "node").select("node", "first.*")
-    sets = _lines(docs).join(ends, ["did", "at"]).select("node", shingles(F.col("line")).alias("x"))
-    sets = stored(sets.dropDuplicates(["node"]), "line-shingles", some)
+    texts = _lines(docs).join(ends, ["did", "uid", "at"]).select("node", "line")
+    texts = stored(texts.dropDuplicates(["node"]), "line-texts", some)
 
     def confirm(pairs: DataFrame, n: int) -> DataFrame:
-        both = pairs.join(sets.select(F.col("node").alias("a"), "x"), "a").join(
-            sets.select(F.col("node").alias("b"), F.col("x").alias("y")), "b"
+        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(
+            texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b"
         )
-        same = F.size(F.array_intersect("x", "y"))
-        both = both.select("a", "b", (F.size("x") + F.size("y")).alias("all"), same.alias("same"))
-        return both.where(F.col("same") * 100 >= (F.col("all") - F.col("same")) * percent)
+        both = both.select("a", "b", "x", "y").coalesce(tasks_for(n, TASK_PAIRS))
+        return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked")
 
     found = cluster(shared, confirm)
     grouped = nodes.join(found, "node", "left").select(
@@ -96,30 +175,32 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     stays = grouped.groupBy("component").agg(F.min("first").alias("stays"), F.sum("n").alias("all"))
     stays = grouped.join(stays.where(F.col("all") > 1), "component").select("k1", "k2", "stays")
-    rows = _with_keys(_lines(docs)).select("did", "at", "k1", "k2").join(stays, ["k1", "k2"])
-    return rows.where(F.struct("did", "at") != F.col("stays")).select("did", "at").distinct()
+    rows = _with_keys(_lines(docs)).select("did", "uid", "at", "k1", "k2").join(stays, ["k1", "k2"])
+    rows = rows.where(F.struct("did", "at", "uid") != F.col("stays"))
+    return rows.select("did", "uid", "at").distinct()
 
 
 def deduplicate_lines(docs: DataFrame, percent: int = PERCENT, with_text: bool = False) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` (line numbers from 0), one row per row of ``docs``.
 
     Only lines with a word count, and only they can be removed; a null text has none. Rows that
-    share an id are one document, as are rows without one; an empty table gives no rows.
-    ``with_text`` adds ``text`` without the removed lines.
+    share an id are one document, as are rows without one; an empty table gives no rows. ``with_text`` adds
+    ``text`` without the removed lines.
     """
     gone = duplicate_lines(docs, percent)
-    gone = gone.groupBy("did").agg(F.sort_array(F.collect_list("at")).alias("removed"))
+    gone = gone.groupBy("did", "uid").agg(F.sort_array(F.collect_list("at")).alias("removed"))
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     counted = F.size(F.filter(lines, lambda x: F.regexp_like(x, F.lit(_HAS_WORD))))
     doc_id = F.col("doc_id").cast("long")
     rows = docs.select(
         doc_id.alias("doc_id"),
         F.coalesce(doc_id, F.lit(-1)).alias("did"),
+        F.lit(0).cast("long").alias("uid"),
         counted.cast("long").alias("n_lines"),
         *(["text"] if with_text else []),
     )
     removed = F.coalesce("removed", F.array().cast("array<int>"))
-    rows = rows.join(gone, "did", "left").withColumn("removed", removed)
+    rows = rows.join(gone, ["did", "uid"], "left").withColumn("removed", removed)
     if with_text:
         kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i))
         rows = rows.withColumn("text", F.array_join(kept, "\n"))
