@@ -72,8 +72,7 @@ def star_pairs(buckets: DataFrame, turn: int, tasks: int) -> DataFrame:
     """Pairs ``a, b`` of a bucket's centres and its members outside the centre's component.
 
     ``buckets`` has ``bucket, node, weight, component``. The centres are aggregated per bucket
-    before they are joined back, so a bucket of any size is never gathered. Buckets of at most
-    ``CENTRES`` nodes soon have all their pairs compared.
+    before they are joined back, so a bucket of any size is never gathered.
     """
     centres = [
         F.min(F.struct(o.alias("o"), "node", "component")).alias(f"c{k}")
@@ -116,37 +115,61 @@ def crowded(buckets: DataFrame, tasks: int) -> DataFrame:
     return stored(shared, "weighted", tasks)
 
 
-def cluster(shared: DataFrame, confirm: Callable[[DataFrame, int], DataFrame]) -> DataFrame:
+def cluster(
+    shared: DataFrame,
+    confirm: Callable[[DataFrame, int], DataFrame],
+    apart: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
     """``node, component`` of the nodes that ``confirm`` links to another one of their bucket.
 
     ``confirm(pairs, how_many)`` keeps the pairs that are similar. Each turn pairs every bucket's
-    members with its centres; it is repeated with other centres, over the buckets that still hold
-    two components, until a turn links nothing new. New links join components, so a turn's cost
-    follows what is new in it.
+    members with its centres, over the buckets that still hold two components, with other centres
+    each time. Turns end with the one that links under a tenth of its pairs. They only save work:
+    ``apart(nodes)`` then gives every pair of different components, of the nodes that have one in
+    a bucket (``node, component``), that can be similar at all, and those not yet compared are.
     """
     tasks = tasks_for(shared.count(), TASK_ROWS)
     state, found, turn = shared.withColumn("component", F.col("node")), None, 0
     tested = None
     while True:
-        pairs = star_pairs(state, turn, tasks)
-        if tested is not None:  # no pair is compared twice
-            pairs = stored(pairs.join(tested, ["a", "b"], "left_anti"), "untested", tasks)
+        pairs = _untested(star_pairs(state, turn, tasks), tested, tasks)
         tested = pairs if tested is None else tested.unionByName(pairs)
-        n = pairs.count()
-        new = pairs
-        if n:
-            few = tasks_for(n, TASK_ROWS)
-            new = stored(confirm(pairs, n).select("a", "b"), "confirmed", few)
+        n, new, links = _confirmed(pairs, confirm)
         if found is None:
             found = stored(components(new), "components", tasks)
-        elif n and new.head(1):
+        elif links:
             found = stored(_joined(found, new), "components", tasks)
-        else:
-            return found
         state = shared.join(found, "node", "left").select(
             "node", "bucket", "weight", F.coalesce("component", "node").alias("component")
         )
         turn += 1
+        if links * 10 < n or not links:
+            break
+    mixed = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = stored(mixed.where("lo <> hi").select("bucket"), "open-buckets", tasks)
+    nodes = state.join(mixed, "bucket").select("node", "component").distinct()
+    nodes = stored(nodes, "open-nodes", tasks)
+    if not nodes.head(1):
+        return found
+    _, new, links = _confirmed(_untested(apart(nodes), tested, tasks), confirm)
+    return stored(_joined(found, new), "components", tasks) if links else found
+
+
+def _untested(pairs: DataFrame, tested: DataFrame | None, tasks: int) -> DataFrame:
+    if tested is None:
+        return pairs
+    return stored(pairs.join(tested, ["a", "b"], "left_anti"), "untested", tasks)
+
+
+def _confirmed(
+    pairs: DataFrame, confirm: Callable[[DataFrame, int], DataFrame]
+) -> tuple[int, DataFrame, int]:
+    """How many pairs, those that are linked, and how many these are."""
+    n = pairs.count()
+    if not n:
+        return 0, pairs, 0
+    new = stored(confirm(pairs, n).select("a", "b"), "confirmed", tasks_for(n, TASK_ROWS))
+    return n, new, new.count()
 
 
 def _joined(found: DataFrame, new: DataFrame) -> DataFrame:

@@ -2,8 +2,8 @@
 
 A line's shingles are the twelve characters from each of its characters on. For each of a few constants
 the smallest hash after an exclusive or is a signature value; two values are a band. Lines that share a band are
-clustered as near-duplicate documents are: compared on their whole shingle sets with a few centres.
-One line of each component stays. Shingles of
+clustered as near-duplicate documents are: compared on their whole shingle sets with a few centres,
+then wherever a prefix filter can't rule a pair out. One line of each component stays. Shingles of
 every place are too many for lambdas over arrays, so they are hashed in numpy.
 """
 
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from starmart.llm.common import runs, stored, tasks_for, text_bytes
 from starmart.llm.components import cluster, crowded
 from starmart.llm.minhash import _BASE, _CODE, _INVERSE, _mix, _powers
+from starmart.llm.prefix import pairs_apart
 
 PERCENT = 80
 SALT = 40503
@@ -169,7 +170,7 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         both = both.select("a", "b", "x", "y").coalesce(tasks_for(n, TASK_PAIRS))
         return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked")
 
-    found = cluster(shared, confirm)
+    found = cluster(shared, confirm, lambda rest: pairs_apart(rest, texts, line_sets, percent))
     grouped = nodes.join(found, "node", "left").select(
         "k1", "k2", "first", "n", F.coalesce("component", "node").alias("component")
     )

@@ -3,9 +3,10 @@
 One hash per shingle gives all bins of a document's signature: the hash's high bits choose the bin,
 the smallest hash in a bin is its value. An empty bin takes the value of a bin drawn by a hash of
 its number and the attempt, again until that one is full (optimal densification). Documents that
-agree in a band share a bucket; each bucket pairs its members with one centre, so the pairs grow
-with the rows, not with their square. Pairs are confirmed on full shingle sets, and links become
-components.
+agree in a band share a bucket; each bucket first pairs its members with a few centres, so that
+near copies become components at a cost that grows with the rows. Where a bucket holds several, the
+pairs between them that a prefix filter on the full sets can't rule out are compared as well. Pairs
+are confirmed on full shingle sets, and links become components.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm.common import runs, stored, tasks_for, text_bytes
 from starmart.llm.components import cluster, crowded
+from starmart.llm.prefix import pairs_apart
 
 SHINGLE = 5
 PERCENT = 80
@@ -191,6 +193,11 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.select("node", "text").mapInArrow(gather, "node long, hashes binary")
 
 
+def _stored_sets(column: pa.Array) -> Iterator[np.ndarray]:
+    for x in column:
+        yield np.frombuffer(x.as_buffer(), np.uint64)
+
+
 def _confirm(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,7 +260,11 @@ def near_duplicates(
     texts = texts.where("node is not null").join(ends, "node", "left_semi")
     sets = stored(_sets(texts.coalesce(some), width).distinct(), "shingle-sets", some)
 
-    found = cluster(shared, lambda pairs, n: link_pairs(pairs, n, sets, percent))
+    found = cluster(
+        shared,
+        lambda pairs, n: link_pairs(pairs, n, sets, percent),
+        lambda open_nodes: pairs_apart(open_nodes, sets, _stored_sets, percent),
+    )
     named = nodes.select(*keys, "node").join(found, "node", "left")
     named = named.select(*keys, F.coalesce("component", "node").alias("component"))
     out = signed.drop("bands").join(named, keys, "left")

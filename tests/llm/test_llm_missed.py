@@ -22,6 +22,32 @@ def jaccard(a, b):
     return len(a & b) / len(a | b)
 
 
+def test_near_finds_pairs_within_a_family(spark):
+    common = [f"same{i}" for i in range(300)]
+    rows = []
+    for k in range(120):
+        rows.append((k, " ".join(common + [f"own{k}_{i}" for i in range(100)]), None, None))
+    for k in range(20, 40):  # near copies of members that are no bucket's centre
+        words = rows[k][1].split()
+        words[350] = "changed"
+        rows.append((1000 + k, " ".join(words), None, None))
+    got = minhash.near_duplicates(documents(spark, rows)).collect()
+    assert {r.doc_id: r.component_id for r in got} == {i: i % 1000 for i, *_ in rows}
+
+
+def test_lines_find_pairs_within_a_family(spark):
+    rng = random.Random(4)
+    common = "".join(rng.choice(LETTERS) for _ in range(300))
+    rows = []
+    for k in range(120):
+        rows.append((k, common + "".join(rng.choice(LETTERS) for _ in range(90)), None, None))
+    for k in range(20, 40):
+        line = rows[k][1]
+        rows.append((1000 + k, line[:350] + "0" + line[351:], None, None))
+    got = lines.deduplicate_lines(documents(spark, rows)).collect()
+    assert {r.doc_id for r in got if r.removed} == set(range(1020, 1040))
+
+
 def test_lines_take_shingles_of_every_place(spark):
     rng = random.Random(8)
     han = "".join(rng.choice(HAN) for _ in range(120))
