@@ -66,3 +66,16 @@ def test_lines_take_shingles_of_every_place(spark):
     rows = [(i, t, None, None) for i, t in enumerate(texts)]
     got = lines.deduplicate_lines(documents(spark, rows)).collect()
     assert {r.doc_id for r in got if r.removed} == want
+
+
+@pytest.mark.parametrize("union", [5, 10, 15, 30, 100])
+def test_bands_find_sets_of_any_size(union):
+    rng = np.random.default_rng(union)
+    # four fifths of the union are in both sets
+    all_of = rng.integers(0, 1 << 64, (20_000, union), dtype=np.uint64)
+    same, part = union * 4 // 5, union * 9 // 10
+    a, b = all_of[:, :part], np.delete(all_of, np.arange(same, part), axis=1)
+    signed = [
+        np.array(lines.bands(x.ravel(), np.arange(0, x.size + 1, x.shape[1]))) for x in (a, b)
+    ]
+    assert (signed[0] == signed[1]).any(axis=0).mean() >= 0.999
