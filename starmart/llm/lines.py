@@ -40,11 +40,11 @@ _FACTORS = _mix(_ADDED) | _U(1)
 
 
 def _whole_rows(docs: DataFrame) -> DataFrame:
-    """``did, uid, doc_id, text``: rows with the same first two are one document."""
+    """``did, uid, doc_id, text``: rows with the same first two are copies of one row."""
     text = F.coalesce("text", F.lit(""))
     doc_id = F.col("doc_id").cast("long")
     did = F.coalesce(doc_id, F.lit(-1))
-    uid = F.lit(0).cast("long")
+    uid = F.xxhash64(doc_id, text)
     return docs.select(did.alias("did"), uid.alias("uid"), doc_id.alias("doc_id"), text.alias("text"))
 
 
@@ -146,7 +146,8 @@ def _confirm(percent: int):
 def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``did, uid, at``: the lines to remove; of each component the first stays, by id and number.
 
-    A null id counts as -1. Rows that share an id are one document, ``uid`` is 0.
+    A null id counts as -1. Rows are told apart by id and text, ``uid`` is the hash of both; copies
+    of one row are one document.
     """
     names = [f"band{b}" for b in range(BANDS)]
     signed = _signed(_with_keys(_lines(docs)))
@@ -185,8 +186,9 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def deduplicate_lines(docs: DataFrame, percent: int = PERCENT, with_text: bool = False) -> DataFrame:
     """``doc_id, n_lines, n_removed, removed`` (line numbers from 0), one row per row of ``docs``.
 
-    Only lines with a word count, and only they can be removed; a null text has none. Rows that
-    share an id are one document, as are rows without one; an empty table gives no rows. ``with_text`` adds
+    Only lines with a word count, and only they can be removed; a null text has none. Rows of the
+    same id and text are one document, and each gives up the same lines; other rows that share an
+    id, or have none, are documents of their own; an empty table gives no rows. ``with_text`` adds
     ``text`` without the removed lines.
     """
     gone = duplicate_lines(docs, percent)
@@ -197,7 +199,7 @@ def deduplicate_lines(docs: DataFrame, percent: int = PERCENT, with_text: bool =
     rows = docs.select(
         doc_id.alias("doc_id"),
         F.coalesce(doc_id, F.lit(-1)).alias("did"),
-        F.lit(0).cast("long").alias("uid"),
+        F.xxhash64(doc_id, F.coalesce("text", F.lit(""))).alias("uid"),
         counted.cast("long").alias("n_lines"),
         *(["text"] if with_text else []),
     )

@@ -79,3 +79,15 @@ def test_bands_find_sets_of_any_size(union):
         np.array(lines.bands(x.ravel(), np.arange(0, x.size + 1, x.shape[1]))) for x in (a, b)
     ]
     assert (signed[0] == signed[1]).any(axis=0).mean() >= 0.999
+
+
+def test_lines_of_rows_that_share_an_id(spark):
+    rows = [(None, "x dup\nunique A"), (None, "unique B\nx dup"), (3, "one more\nx dup"), (3, "x dup\nlast")]
+    docs = documents(spark, [(*r, None, None) for r in rows])
+    got = lines.deduplicate_lines(docs, with_text=True).collect()
+    left = defaultdict(list)
+    for r in got:
+        assert r.n_lines - r.n_removed == len(r.text.split("\n"))
+        left[r.doc_id] += r.text.split("\n")
+    assert sorted(left[None]) == ["unique A", "unique B", "x dup"]
+    assert sorted(left[3]) == ["last", "one more"]
