@@ -17,6 +17,9 @@ from starmart.llm import (
     phrases,
     quality,
     secrets,
+    spelling,
+    toxicity,
+    trie,
     urlfilter,
 )
 
@@ -70,6 +73,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.deduplicate(_table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge_toxicity(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_spellings(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_language_id,
@@ -82,5 +99,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_url_filter,
         op10_exact_dedup,
+        op11_toxicity,
+        op12_prefix_trie,
+        op13_spelling_groups,
     )
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}

@@ -24,5 +24,5 @@ def test_query_equals_sql(spark, con, name):
 
 def test_one_query_per_operator_and_the_pipeline():
     numbers = [int(n[2:].split("_")[0]) for n in QUERIES if n != "pipeline"]
-    assert sorted(numbers) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert sorted(numbers) == list(range(1, 14)) and "pipeline" in QUERIES
     assert set(ORACLES) <= set(QUERIES)
