@@ -161,7 +161,9 @@ def _burst(turns: DataFrame, convs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "conv", "n", zero.alias("depth"), zero.alias("words"), zero.alias("d1"), zero.alias("d2"),
         zero.alias("p1"), zero.alias("p2"),
     )
-    state = convs.select("conv", "n", zero.alias("at"), zero.alias("d1"), zero.alias("d2"))
+    # stored, as a join on constants would be one without a condition
+    heads = stored(heads, "heads")
+    state = heads.select("conv", "n", F.col("depth").alias("at"), "d1", "d2")
     containers, at, width = None, 0, 1
     while True:
         sizes = stored(
