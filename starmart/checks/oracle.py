@@ -573,6 +573,48 @@ _oracle(
        cast(sum(order_price) as decimal(28,2)) as amount from staged_all group by 1""",
 )
 _oracle("pipeline_orders_dim", "select * from dim_product_two")
+_SQL["fact_orders_as_of_spread"] = _SQL["fact_orders_as_of"]
+_oracle(
+    "fact_orders_as_of_rejects",
+    f"""select *, case when CUIT % 2 = 0 and order_date >= TIMESTAMP '{PERIOD[0]}' then 'company'
+            else 'product' end as missing from staged_all
+        where (CUIT % 2 = 0 and order_date >= TIMESTAMP '{PERIOD[0]}') or product_id % 3 <> 0
+           or order_date < TIMESTAMP '{CUTOVER}'""",
+)
+_BIRTH = "1950-01-01 00:00:00"
+for _d in S.ORDER_DIMENSIONS:
+    _cte(f"{_d.name}_born", _first(_d, "staged_early", _BIRTH))
+    _version_load(f"{_d.name}_cut", f"{_d.name}_born", _d, "staged_late_renamed", CUTOVER)
+
+
+def _fact_as_of(staged: str) -> str:
+    joins = " ".join(
+        f"""join {d.name}_cut {d.name} on {d.name}.{col} = o.{col} and o.order_date >= {d.name}.start_date
+            and ({d.name}.end_date is null or o.order_date < {d.name}.end_date)"""
+        for d, col in zip(S.ORDER_DIMENSIONS, ("company_name", "customer_id", "supplier_id", "product_id"))
+    )
+    return f"""select sk_company, sk_customer, sk_supplier, sk_product, order_price as price, order_date
+        from {staged} o {joins}"""
+
+
+_oracle(
+    "pipeline_orders_as_of",
+    f"{_fact_as_of('staged_early')} union all {_fact_as_of('staged_late_renamed')}",
+)
+_cte(
+    "part_list",
+    "select p_partkey as product_id, p_name as product_name from part where p_partkey % 5 <> 3",
+)
+_cte(
+    "part_batch",
+    "select p_partkey as product_id, p_name || ' v2' as product_name from part where p_partkey % 150 = 8",
+)
+_cte("part_first", _first(S.PRODUCT, "part_list"))
+_version_load("part_second", "part_first", S.PRODUCT, "part_batch", LOAD_2)
+_oracle("dimension_small_batch", "select * from part_second")
+_SQL["members_by_slice_ipaddr"] = _SQL["members_ipaddr"]
+_SQL["members_by_slice_leadsource"] = _SQL["members_leadsource"]
+_SQL["members_by_slice_null_dim"] = _SQL["members_not_in_null_dim"]
 _SQL["pipeline_reprocess"] = _SQL["reprocess_orders_period"]
 _oracle("pipeline_logs", "select * from logs_fact_of_buyers")
 _SQL["inbox_ingest"] = _SQL["pipeline_logs"]

@@ -450,22 +450,51 @@ def fact_orders_on_cuit(spark, sf_dir):
     return _order_facts(spark, sf_dir, "CUIT")
 
 
+def _product_versions(spark, sf_dir, staged) -> DataFrame:
+    """Products as staged since 1950, the renamed ones since the cutover."""
+    products = staged.select("product_id", "product_name")
+    dim = _merged(_empty(spark, S.PRODUCT), products, S.PRODUCT, "1950-01-01 00:00:00")
+    renamed = A.renamed_products(spark, sf_dir).withColumnRenamed("name", "product_name")
+    return _merged(dim, renamed, S.PRODUCT, CUTOVER)
+
+
 @query
 def fact_orders_as_of(spark, sf_dir):
     """Product versions valid on the order date: renamed products at the cutover."""
     staged = _all_staged_orders(spark, sf_dir)
-    dim = _merged(
-        _empty(spark, S.PRODUCT),
-        staged.select("product_id", "product_name"),
-        S.PRODUCT,
-        "1950-01-01 00:00:00",
-    )
-    renamed = A.renamed_products(spark, sf_dir).withColumnRenamed("name", "product_name")
-    dim = _merged(dim, renamed, S.PRODUCT, CUTOVER)
+    dim = _product_versions(spark, sf_dir, staged)
     lookup = Lookup(dim, "sk_product", same("product_id"), as_of="order_date")
     return load_fact(staged, [lookup], ["sk_product", "order_price as price", "order_date"])
 
 
+@query
+def fact_orders_as_of_spread(spark, sf_dir):
+    """The same by merge with the most ordered products spread over slices."""
+    staged = _all_staged_orders(spark, sf_dir)
+    hot = hot_keys(staged, [["product_id"]], share=0.0005)
+    lookup = Lookup(_product_versions(spark, sf_dir, staged), "sk_product", same("product_id"), "order_date")
+    columns = ["sk_product", "order_price as price", "order_date"]
+    return load_fact(staged, [lookup], columns, Balance(hot=hot))
+
+
+@query
+def fact_orders_as_of_rejects(spark, sf_dir):
+    """Orders of a time when their product had no version yet, or its company no longer one."""
+    staged = _all_staged_orders(spark, sf_dir)
+    products = staged.select("product_id", "product_name").filter("product_id % 3 = 0")
+    dim = _merged(_empty(spark, S.PRODUCT), products, S.PRODUCT, CUTOVER)
+    firms = _first_load(spark, staged, S.COMPANY).select(
+        "sk_company", "CUIT", "company_name",
+        wall_clock("1950-01-01 00:00:00").alias("start_date"),
+        F.when(F.col("CUIT") % 2 == 0, wall_clock(PERIOD[0])).alias("end_date"),
+    )
+    lookups = [
+        Lookup(firms, "sk_company", same("company_name"), "order_date"),
+        Lookup(dim, "sk_product", same("product_id"), "order_date"),
+    ]
+    return fact_rejects(staged, lookups, balance(staged, lookups))
+
+
 @query
 def fact_logs(spark, sf_dir):
     staged = _stored_logs(spark, sf_dir)
@@ -719,6 +748,67 @@ def pipeline_orders_dim(spark, sf_dir):
     return _loaded_orders(spark, sf_dir).table("dim_product")
 
 
+@query
+def pipeline_orders_as_of(spark, sf_dir):
+    """Two loads; orders find the versions of their own date, the newer ones those of the cutover."""
+    wh = _warehouse(spark)
+    src = A.order_system(spark, sf_dir)
+    P.run_orders(wh, _before_cutover(src), "1950-01-01 00:00:00", as_of="order_date")
+    renamed = src.replaced(products=A.renamed_products(spark, sf_dir))
+    P.run_orders(wh, renamed, CUTOVER, as_of="order_date")
+    return wh.table("fact_orders")
+
+
+@query
+def dimension_small_batch(spark, sf_dir):
+    """A few products renamed and a few new ones: only the slices of their keys are written."""
+    wh = Warehouse(spark, scratch_path(spark, "warehouse"), key_slots=64)
+    part = A.read(spark, sf_dir, "part")
+    products = part.select(
+        F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name")
+    )
+    P.merge_versions(wh, S.PRODUCT, products.filter("product_id % 5 <> 3"), LOAD_1)
+    renamed = products.filter("product_id % 150 = 8").withColumn(
+        "product_name", F.concat("product_name", F.lit(" v2"))
+    )
+    P.merge_versions(wh, S.PRODUCT, renamed, LOAD_2)
+    P.merge_versions(wh, S.PRODUCT, renamed, LOAD_3)
+    return wh.table("dim_product")
+
+
+@query
+def members_by_slice_ipaddr(spark, sf_dir):
+    """Members added to a stored dimension, of which only the staged values' slices are read."""
+    wh = _warehouse(spark)
+    staged = _stored_logs(spark, sf_dir)
+    P.load_members(wh, S.IPADDR, staged.filter(F.col("time") < wall_clock(MID_JANUARY)), LOAD_1)
+    P.load_members(wh, S.IPADDR, staged, LOAD_2)
+    return wh.table("dim_ipaddr")
+
+
+def _sources_by_slice(spark, sf_dir, known: Column) -> DataFrame:
+    wh = _warehouse(spark)
+    staged = A.leads(spark, sf_dir)
+    first = add_members(
+        _empty(spark, S.LEADSOURCE), staged.filter(known), ["lead_source"], "sk_leadsource",
+        LOAD_1, "except",
+    )
+    wh.append("dim_leadsource", first)
+    P.load_members(wh, S.LEADSOURCE, staged, LOAD_2)
+    return wh.table("dim_leadsource")
+
+
+@query
+def members_by_slice_leadsource(spark, sf_dir):
+    return _sources_by_slice(spark, sf_dir, F.col("lead_source") < "3")
+
+
+@query
+def members_by_slice_null_dim(spark, sf_dir):
+    known = F.col("lead_source").isNull() | (F.col("lead_source") < "3")
+    return _sources_by_slice(spark, sf_dir, known)
+
+
 @query
 def pipeline_reprocess(spark, sf_dir):
     wh = _warehouse(spark)

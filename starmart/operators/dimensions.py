@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.literals import wall_clock
+from starmart.operators.joins import BROADCAST_ROWS
 from starmart.operators.keys import assign_keys, next_key
+from starmart.session import shared_dir
 
 _CHUNK = 10_000
 
@@ -24,8 +26,30 @@ def _any_null(cols: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols])
 
 
+def staged_values(staged: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The distinct ``cols`` of the staged rows, computed once."""
+    shared_dir(staged.sparkSession)
+    return staged.select(*cols).distinct().checkpoint()
+
+
+def among(known: DataFrame, values: DataFrame, cols: Sequence[str], n: int) -> DataFrame:
+    """``known`` without rows whose ``cols`` are not in ``values`` (``n`` rows; NULL equals NULL).
+
+    Few values are broadcast, so that what they leave out is not moved; many change nothing.
+    """
+    if n > BROADCAST_ROWS:
+        return known
+    named = values.select(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)]).distinct()
+    match = [known[c].eqNullSafe(named[f"_v{i}"]) for i, c in enumerate(cols)]
+    return known.join(F.broadcast(named), reduce(lambda a, b: a & b, match), "left_semi")
+
+
 def fresh_rows(
-    staged: DataFrame, known: DataFrame, cols: Sequence[str], null_mode: str
+    staged: DataFrame,
+    known: DataFrame,
+    cols: Sequence[str],
+    null_mode: str,
+    holds: tuple[bool, bool] | None = None,
 ) -> DataFrame:
     """Distinct staged ``cols`` that ``known`` lacks, with ``_n`` = number of staged copies.
 
@@ -35,6 +59,9 @@ def fresh_rows(
       ``not_in``    one NULL in ``known`` leaves nothing fresh, and a staged NULL is fresh only
                     against an empty ``known``.
 
+    ``holds`` says whether the whole dimension has rows, and one with a NULL, where ``known`` is
+    but the part of it that can hold the staged values; ``not_in`` alone asks for it.
+
     Both sides are counted per value before the one exchange, so a value held by a third of the
     staged rows arrives as one row per map task.
     """
@@ -42,14 +69,14 @@ def fresh_rows(
     if null_mode == "not_in":
         if len(cols) != 1:
             raise ValueError("not_in compares one column")
-        total, nulls = known.agg(
-            F.count(F.lit(1)), F.count_if(F.col(cols[0]).isNull())
+        rows, null = holds or known.agg(
+            F.count(F.lit(1)) > 0, F.count_if(F.col(cols[0]).isNull()) > 0
         ).first()
-        if nulls:
+        if null:
             staged = staged.filter(F.lit(False))
-        keep = (F.col("_known") == 0) if total == 0 else (
-            (F.col("_known") == 0) & F.col(cols[0]).isNotNull()
-        )
+        keep = F.col("_known") == 0
+        if rows:
+            keep = keep & F.col(cols[0]).isNotNull()
     elif null_mode == "antijoin":
         keep = (F.col("_known") == 0) | _any_null(cols)
     elif null_mode == "except":
@@ -103,17 +130,22 @@ def new_members(
     load_ts: datetime | str,
     null_mode: str,
     distinct: bool = True,
+    start: int | None = None,
+    holds: tuple[bool, bool] | None = None,
 ) -> DataFrame:
     """The rows to append to an insert-only dimension.
 
     ``distinct=False`` inserts one member per staged row that has no match, repeats included.
+    Where ``dim`` is but a part of the dimension, ``start`` is the first free key and ``holds`` is
+    as in ``fresh_rows``.
     """
     cols = list(cols)
-    fresh = fresh_rows(staged, dim, cols, null_mode)
+    fresh = fresh_rows(staged, dim, cols, null_mode, holds)
+    start = next_key(dim, sk) if start is None else start
     if distinct:
-        keyed = assign_keys(fresh.select(*cols), sk, cols, next_key(dim, sk))
+        keyed = assign_keys(fresh.select(*cols), sk, cols, start)
     else:
-        keyed = assign_keys(_copies(fresh), sk, cols + ["_copy"], next_key(dim, sk))
+        keyed = assign_keys(_copies(fresh), sk, cols + ["_copy"], start)
     return _open_version(keyed, sk, cols, load_ts)
 
 
@@ -133,7 +165,7 @@ def _latest_variant(
     )
 
 
-def scd2_changes(
+def new_versions(
     dim: DataFrame,
     staged: DataFrame,
     key: Sequence[str],
@@ -143,34 +175,60 @@ def scd2_changes(
     compare: str = "history",
     variants: str = "all",
     order_col: str = "order_date",
+    start: int | None = None,
 ) -> DataFrame:
-    """The open versions after the load plus the versions it closes.
+    """The versions that a load opens, keyed from ``start`` on (by default the first free key).
 
-    Closed history is read (two column groups) but not part of the result, so a store that
-    keeps it apart does not rewrite it. ``compare="history"`` ignores a staged row equal to any
-    earlier version of its key, ``"current"`` only one equal to an open version. With
-    ``variants="latest"`` the newest variant of a key in the batch wins; by default each one
-    becomes an open version. A NULL key never equals another, so its versions stay open.
+    ``dim`` may be the part of the dimension that can hold the staged keys, if ``start`` is given.
     """
-    key, attrs = list(key), list(attrs)
-    cols = key + attrs
+    cols = [*key, *attrs]
     if variants == "latest":
         staged = _latest_variant(staged, key, attrs, order_col)
     known = current(dim) if compare == "current" else dim
     fresh = fresh_rows(staged, known, cols, "except").select(*cols)
-    added = assign_keys(fresh, sk, cols, next_key(dim, sk))
-    hit = added.select(*key).distinct().withColumn("_hit", F.lit(True))
+    added = assign_keys(fresh, sk, cols, next_key(dim, sk) if start is None else start)
+    return _open_version(added, sk, cols, load_ts)
+
+
+def close_versions(
+    dim: DataFrame,
+    added: DataFrame,
+    key: Sequence[str],
+    sk: str,
+    load_ts: datetime | str,
+    few: bool = False,
+) -> DataFrame:
+    """The open versions of ``dim``, of which those with a key in ``added`` end, and ``added``.
+
+    With ``few`` the new keys are broadcast and ``dim`` stays where it is. NULL keys match nothing.
+    """
+    key, columns = list(key), added.columns
+    hit = added.select(*key).filter(~_any_null(key)).distinct().withColumn("_hit", F.lit(True))
     end_date = F.when(F.col("_hit"), wall_clock(load_ts)).alias("end_date")
-    # NULL keys match nothing, so they need not meet in one partition of the join.
-    open_rows = current(dim).select(sk, *cols, "start_date", "end_date")
+    open_rows = current(dim).select(*columns)
+    keep = [c for c in columns if c != "end_date"]
+    if few:
+        kept = open_rows.join(F.broadcast(hit), key, "left").select(*keep, end_date)
+        return kept.unionByName(added)
+    # NULL keys need not meet in one partition of the join.
     keyless = open_rows.filter(_any_null(key))
-    kept = (
-        open_rows.filter(~_any_null(key))
-        .join(hit, key, "left")
-        .select(sk, *cols, "start_date", end_date)
-        .unionByName(keyless)
-    )
-    return kept.unionByName(_open_version(added, sk, cols, load_ts))
+    kept = open_rows.filter(~_any_null(key)).join(hit, key, "left").select(*keep, end_date)
+    return kept.unionByName(keyless).unionByName(added)
+
+
+def scd2_changes(
+    dim: DataFrame, staged: DataFrame, key, attrs, sk: str, load_ts, **options
+) -> DataFrame:
+    """The open versions after the load plus the versions it closes.
+
+    Closed history is read (two column groups) but not part of the result, so a store that
+    keeps it apart does not rewrite it. ``compare="history"`` ignores a staged row equal to any
+    earlier version of its key, ``"current"`` only one equal to an open version. With
+    ``variants="latest"`` the newest variant of a key in the batch wins; by default each one
+    becomes an open version. A NULL key never equals another, so its versions stay open.
+    """
+    added = new_versions(dim, staged, key, attrs, sk, load_ts, **options)
+    return close_versions(dim, added, key, sk, load_ts)
 
 
 def scd2_merge(dim: DataFrame, staged: DataFrame, key, attrs, sk, load_ts, **options) -> DataFrame:

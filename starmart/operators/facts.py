@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.literals import wall_clock
+from starmart.operators.asof import valid_at
 from starmart.operators.dimensions import current
 from starmart.operators.joins import BROADCAST_ROWS, hot_keys, lookup_join
 from starmart.session import at_once
@@ -19,9 +20,10 @@ from starmart.session import at_once
 class Lookup:
     """Find ``sk`` in ``dim`` where staged and dimension columns of ``on`` are equal.
 
-    The open version is taken; with ``as_of`` the version valid at that staged time. Text is
-    compared byte by byte, or by a ``collation`` such as ``UTF8_LCASE`` (ignores case); of open
-    versions whose keys are then equal, the one with the smallest ``sk`` is found.
+    The open version is taken; with ``as_of`` the version valid at that staged time (if there are
+    several, each). Text is compared byte by byte, or by a ``collation`` such as ``UTF8_LCASE``
+    (ignores case); of open versions whose keys are then equal, the one with the smallest ``sk``
+    is found.
     """
 
     dim: DataFrame
@@ -91,6 +93,15 @@ def _looked_up(
         keys.append(key.alias(f"_d{n}_{i}"))
         pairs.append((left, f"_d{n}_{i}"))
     side, valid = _versions(lookup).select(*keys, lookup.sk), None
+    hot = () if lookup.collation else how.hot.get(lookup.staged_cols, ())
+    if lookup.as_of and (found_only or lookup.sk not in how.small):
+        side = _versions(lookup).select(*keys, lookup.sk, "start_date", "end_date")
+        merged = valid_at(rows, side, pairs, lookup.as_of, lookup.sk, hot)
+        kept = [c for c in rows.columns if not c.startswith(f"_s{n}_")]
+        if found_only:
+            hit = F.when(F.size("_valid") > 0, F.lit(True))
+            return merged.select(*kept, hit.alias(f"_hit{n}"))
+        return merged.select(*kept, F.explode("_valid").alias(lookup.sk))
     if lookup.collation and not lookup.as_of:
         side = side.groupBy(*[k for _, k in pairs]).agg(F.min(lookup.sk).alias(lookup.sk))
     if lookup.as_of:
@@ -106,7 +117,6 @@ def _looked_up(
         side = side.select(*[k for _, k in pairs]).distinct().withColumn(f"_hit{n}", F.lit(True))
     if lookup.sk in how.small:
         side = F.broadcast(side)
-    hot = () if lookup.collation else how.hot.get(lookup.staged_cols, ())
     joined = lookup_join(rows, side, pairs, kind, hot, valid)
     helpers = {c for c in joined.columns if c.startswith(("_s", "_d", "_from", "_to"))}
     return joined.drop(*helpers)
@@ -127,7 +137,7 @@ def load_fact(
     how = how or Balance()
     # Only what the lookups and the result need travels through the joins.
     used = {c.split(" as ")[0] for c in columns}
-    used |= {c for lk in lookups for c in (*lk.staged_cols, lk.as_of)}
+    used |= {c for lk in lookups for c in (*lk.staged_cols, lk.as_of) if c}
     rows = staged.select(*[c for c in staged.columns if c in used])
     for n, lk in _in_join_order(lookups, how):
         rows = _looked_up(rows, lk, n, "inner", how)
@@ -141,8 +151,6 @@ def fact_rejects(
     how = how or Balance()
     rows = staged
     for n, lk in _in_join_order(lookups, how):
-        if lk.as_of is not None:
-            raise ValueError("rejects are defined for lookups of open versions")
         rows = _looked_up(rows, lk, n, "left", how, found_only=True)
     missing = F.coalesce(
         *[F.when(F.col(f"_hit{n}").isNull(), lk.label) for n, lk in enumerate(lookups)]

@@ -16,7 +16,8 @@ _MOST_TRACKED = 1_000_000
 BROADCAST_ROWS = 100_000
 
 
-def _partitions(frame: DataFrame) -> int:
+def partitions(frame: DataFrame) -> int:
+    """How many partitions a shuffle of the session has."""
     return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
@@ -25,7 +26,7 @@ def _family(kind: T.DataType) -> str:
     return "number" if isinstance(kind, T.NumericType) else kind.typeName().split("(")[0]
 
 
-def _hash(frame: DataFrame, columns: Sequence[str]) -> Column:
+def key_hash(frame: DataFrame, columns: Sequence[str]) -> Column:
     """Hash of a key, the same for equal values of different numeric types.
 
     The fraction of a number isn't hashed, nor one beyond 64 bits: such keys share slices with
@@ -48,7 +49,7 @@ def hot_keys(
     most ``1/share`` entries per set. A key just below the share may be missed or included; that
     moves work between tasks and never changes a join result.
     """
-    share = share or min(0.01, 2 / _partitions(facts))
+    share = share or min(0.01, 2 / partitions(facts))
     top = math.ceil(1 / share)
     tracked = min(top * 100, _MOST_TRACKED)
     sketches = [
@@ -56,7 +57,7 @@ def hot_keys(
         for i in range(len(key_sets))
     ]
     row = (
-        facts.select(*[_hash(facts, keys).alias(f"_k{i}") for i, keys in enumerate(key_sets)])
+        facts.select(*[key_hash(facts, keys).alias(f"_k{i}") for i, keys in enumerate(key_sets)])
         .agg(F.count(F.lit(1)).alias("_n"), *sketches)
         .first()
     )
@@ -89,16 +90,16 @@ def lookup_join(
         if _family(left) != _family(right):
             raise TypeError(f"{f} is {left.simpleString()}, {k} is {right.simpleString()}")
     if hot:
-        slices = _partitions(facts)
+        slices = partitions(facts)
         hashes = [F.lit(h) for h in hot]
         # The partition id separates identical rows; it is the same again when a task reruns.
         number = F.pmod(F.xxhash64(*facts.columns), F.lit(slices)) + F.spark_partition_id()
         spread = F.pmod(number, F.lit(slices)).cast("int")
         facts = facts.withColumn(
-            "_slice", F.when(_hash(facts, [f for f, _ in pairs]).isin(hashes), spread).otherwise(0)
+            "_slice", F.when(key_hash(facts, [f for f, _ in pairs]).isin(hashes), spread).otherwise(0)
         )
         copies = F.when(
-            _hash(lookup, [k for _, k in pairs]).isin(hashes), F.sequence(F.lit(0), F.lit(slices - 1))
+            key_hash(lookup, [k for _, k in pairs]).isin(hashes), F.sequence(F.lit(0), F.lit(slices - 1))
         ).otherwise(F.array(F.lit(0)))
         lookup = lookup.withColumn("_lookup_slice", F.explode(copies))
         pairs.append(("_slice", "_lookup_slice"))

@@ -15,7 +15,13 @@ from pyspark.sql import functions as F
 from starmart import schemas as S
 from starmart.functions.useragent import classify_user_agent
 from starmart.functions.weblog import parse_weblogs, readable
-from starmart.operators.dimensions import new_members, scd2_changes
+from starmart.operators.dimensions import (
+    among,
+    close_versions,
+    new_members,
+    new_versions,
+    staged_values,
+)
 from starmart.functions.literals import wall_clock
 from starmart.operators.extract import extract_orders, high_water, hot_order_keys
 from starmart.operators.facts import (
@@ -27,30 +33,41 @@ from starmart.operators.facts import (
     same,
 )
 from starmart.operators.geo import assign_country, enrich_country, unique_geo
+from starmart.operators.joins import BROADCAST_ROWS
 from starmart.session import at_once
 from starmart.sources.store import Warehouse
 
-_OPEN = {"is_current=1"}
 _MONTH = "order_month="
 
 
-def order_lookups(dims: Mapping[str, DataFrame], company_on: str = "company_name") -> list[Lookup]:
-    """Lookups of the order fact. The company is found by name unless ``company_on="CUIT"``."""
+def order_lookups(
+    dims: Mapping[str, DataFrame],
+    company_on: str = "company_name",
+    as_of: str | None = None,
+    collation: str | None = None,
+) -> list[Lookup]:
+    """Lookups of the order fact. The company is found by name unless ``company_on="CUIT"``.
+
+    With ``as_of="order_date"`` the versions valid on the order date are found, not the open ones.
+    A ``collation`` applies to the company's name.
+    """
+    by_name = collation if company_on == "company_name" else None
     return [
-        Lookup(dims["dim_company"], "sk_company", same(company_on)),
-        Lookup(dims["dim_supplier"], "sk_supplier", same("supplier_id")),
-        Lookup(dims["dim_product"], "sk_product", same("product_id")),
-        Lookup(dims["dim_customer"], "sk_customer", same("customer_id")),
+        Lookup(dims["dim_company"], "sk_company", same(company_on), as_of, by_name),
+        Lookup(dims["dim_supplier"], "sk_supplier", same("supplier_id"), as_of),
+        Lookup(dims["dim_product"], "sk_product", same("product_id"), as_of),
+        Lookup(dims["dim_customer"], "sk_customer", same("customer_id"), as_of),
     ]
 
 
-def log_lookups(dims: Mapping[str, DataFrame]) -> list[Lookup]:
+def log_lookups(dims: Mapping[str, DataFrame], collation: str | None = None) -> list[Lookup]:
+    """Lookups of the log fact; a ``collation`` lets the user names differ in case."""
     return [
         Lookup(dims["dim_country"], "sk_country", same("country_name")),
         Lookup(
             dims["dim_device"], "sk_device", same("device", "is_mobile", "is_pc", "is_tablet")
         ),
-        Lookup(dims["dim_customer"], "sk_customer", same("username")),
+        Lookup(dims["dim_customer"], "sk_customer", same("username"), collation=collation),
         Lookup(dims["dim_ipaddr"], "sk_ipaddr", same("ipaddr")),
     ]
 
@@ -112,28 +129,73 @@ def _described(
 
 
 def _open_dims(wh: Warehouse, names: Iterable[str]) -> dict[str, DataFrame]:
-    versioned = {d.name for d in S.ORDER_DIMENSIONS}
-    return {n: wh.table(n, _OPEN if n in versioned else None) for n in names}
+    return {n: wh.table(n, wh.open_slices(n)) for n in names}
 
 
-def _merge_order_dims(wh: Warehouse, staged: DataFrame, load_ts, scd2: Mapping) -> None:
-    def merge(d: S.Dimension) -> None:
-        changes = scd2_changes(wh.table(d.name), staged, d.key, d.attrs, d.sk, load_ts, **scd2)
-        wh.merge_dimension(d.name, changes)
+def merge_versions(
+    wh: Warehouse, d: S.Dimension, staged: DataFrame, load_ts, scd2: Mapping | None = None
+) -> None:
+    """Load a versioned dimension from staged rows, slice by slice.
+
+    The slices of the staged keys are read, and those of the keys that got a new version are
+    written again; the dimension itself isn't moved where the load has few keys.
+    """
+    options = dict(scd2 or {})
+    extra = [options.get("order_col", "order_date")] if options.get("variants") == "latest" else []
+    values = staged_values(staged, [*d.key, *d.attrs, *extra])
+    counts = wh.key_counts(d.name, values)
+    dim = wh.table(d.name, wh.slot_slices(d.name, counts))
+    known = among(dim, values, d.key, sum(counts.values()))
+    start = wh.next_key(d.name, d.sk)
+    added = new_versions(known, values, d.key, d.attrs, d.sk, load_ts, start=start, **options)
+    counts = wh.key_counts(d.name, added)
+    total = sum(counts.values())
+    if not total:
+        return
+    touched = set(wh.slot_slices(d.name, counts)) & set(wh.open_slices(d.name))
+    few = total <= BROADCAST_ROWS
+    changes = close_versions(wh.table(d.name, touched), added, d.key, d.sk, load_ts, few)
+    wh.replace_slices(d.name, changes, touched, top_key=start + total - 1)
+
 
-    at_once(lambda d=d: merge(d) for d in S.ORDER_DIMENSIONS)
+def _merge_order_dims(wh: Warehouse, staged: DataFrame, load_ts, scd2: Mapping) -> None:
+    at_once(lambda d=d: merge_versions(wh, d, staged, load_ts, scd2) for d in S.ORDER_DIMENSIONS)
+
+
+def load_members(wh: Warehouse, d: S.Dimension, staged: DataFrame, load_ts) -> None:
+    """Add new members to an insert-only dimension; reads the slices of the staged values only."""
+    values = staged_values(staged, d.members)
+    counts = wh.key_counts(d.name, values)
+    known = wh.table(d.name, wh.slot_slices(d.name, counts))
+    known, holds = among(known, values, d.members, sum(counts.values())), None
+    if d.null_mode == "not_in":
+        null = wh.spark.range(1).select(F.lit(None).cast("string").alias(*d.members))
+        of_null = wh.table(d.name, wh.slot_slices(d.name, wh.key_counts(d.name, null)))
+        missing = of_null.filter(F.col(*d.members).isNull())
+        holds = bool(wh.slices(d.name)), bool(missing.head(1))
+    start = wh.next_key(d.name, d.sk)
+    rows = new_members(
+        known, values, d.members, d.sk, load_ts, d.null_mode, start=start, holds=holds
+    )
+    total = rows.count()
+    if total:
+        wh.append(d.name, rows, top_key=start + total - 1)
 
 
 def _add_members(wh: Warehouse, staged: DataFrame, dims, load_ts) -> None:
-    def add(d: S.Dimension) -> None:
-        rows = new_members(wh.table(d.name), staged, d.members, d.sk, load_ts, d.null_mode)
-        wh.append(d.name, rows)
+    at_once(lambda d=d: load_members(wh, d, staged, load_ts) for d in dims)
+
 
-    at_once(lambda d=d: add(d) for d in dims)
+def _order_lookups(
+    wh: Warehouse, company_on: str, as_of: str | None, collation: str | None
+) -> list[Lookup]:
+    names = [d.name for d in S.ORDER_DIMENSIONS]
+    dims = _open_dims(wh, names) if as_of is None else {n: wh.table(n) for n in names}
+    return order_lookups(dims, company_on, as_of, collation)
 
 
-def _order_fact_rows(wh: Warehouse, staged: DataFrame, company_on: str) -> DataFrame:
-    lookups = order_lookups(_open_dims(wh, [d.name for d in S.ORDER_DIMENSIONS]), company_on)
+def _order_fact_rows(wh: Warehouse, staged: DataFrame, *options) -> DataFrame:
+    lookups = _order_lookups(wh, *options)
     return load_fact(staged, lookups, ORDER_FACT_COLUMNS, balance(staged, lookups))
 
 
@@ -159,20 +221,22 @@ def run_orders(
     lookback: timedelta | None = None,
     find_hot: bool = False,
     scd2: Mapping | None = None,
+    as_of: str | None = None,
+    collation: str | None = None,
 ) -> None:
     """Load the orders that are newer than the fact: staging, four dimensions, fact.
 
     With a ``lookback`` the orders of that time before the newest one are loaded again and
     exchanged in the fact, so that late ones come in and none counts twice. ``find_hot`` reads the
     keys of the new orders beforehand and spreads the hot ones; without it the extract leaves them
-    to AQE.
+    to AQE. ``as_of`` and ``collation`` are those of ``order_lookups``.
     """
     mark = loaded_up_to(wh, lookback)
     hot = hot_order_keys(src, mark) if find_hot else None
     rows = extract_orders(src, mark, match_company=match_company, hot=hot)
     staged = wh.overwrite("stg_orders", rows)
     _merge_order_dims(wh, staged, load_ts, scd2 or {})
-    rows = _order_fact_rows(wh, staged, company_on)
+    rows = _order_fact_rows(wh, staged, company_on, as_of, collation)
     if lookback is None or mark is None:
         wh.append("fact_orders", rows)
         return
@@ -183,10 +247,14 @@ def run_orders(
 
 
 def order_rejects(
-    wh: Warehouse, company_on: str = "company_name", table: str = "stg_orders"
+    wh: Warehouse,
+    company_on: str = "company_name",
+    table: str = "stg_orders",
+    as_of: str | None = None,
+    collation: str | None = None,
 ) -> DataFrame:
     """Orders of the last load that found no place in the fact, and why."""
-    lookups = order_lookups(_open_dims(wh, [d.name for d in S.ORDER_DIMENSIONS]), company_on)
+    lookups = _order_lookups(wh, company_on, as_of, collation)
     staged = wh.table(table)
     return fact_rejects(staged, lookups, balance(staged, lookups))
 
@@ -202,6 +270,8 @@ def reprocess_orders(
     dim_rows: DataFrame | None = None,
     scd2: Mapping | None = None,
     find_hot: bool = False,
+    as_of: str | None = None,
+    collation: str | None = None,
 ) -> None:
     """Load the orders of a closed date range again and exchange them in the fact.
 
@@ -219,7 +289,7 @@ def reprocess_orders(
     first, last = str(start)[:7], str(end)[:7]
     touched = [s for s in wh.slices("fact_orders") if first <= s[len(_MONTH):] <= last]
     kept = outside_period(wh.table("fact_orders", touched), "order_date", start, end)
-    reloaded = _order_fact_rows(wh, staged, company_on)
+    reloaded = _order_fact_rows(wh, staged, company_on, as_of, collation)
     wh.replace_slices("fact_orders", kept.unionByName(reloaded), touched)
 
 
@@ -247,6 +317,7 @@ def run_logs(
     keep_unparsable: bool = False,
     batch: tuple[str, int] | None = None,
     hot_ips: Sequence[int] = (),
+    collation: str | None = None,
 ) -> dict[str, int]:
     """Load log lines: staging, three dimensions, fact. Returns the line counts of the parse.
 
@@ -254,7 +325,7 @@ def run_logs(
     ``quarantined_lines``). Customers come from the orders load. With a ``batch`` the rows are
     added to those staged before (``ingest_weblogs`` clears them once at its start), so that the
     unreadable lines and rejects of all batches can be read afterwards. The counts are empty for
-    a batch that was staged already.
+    a batch that was staged already. A ``collation`` lets the user names differ in case.
     """
     counts = Observation()
     parsed = parse_weblogs(lines, tz=tz).observe(
@@ -270,7 +341,7 @@ def run_logs(
     staged = _staged_rows(wh, "stg_logs", batch, {"is_readable=1"})
     _add_members(wh, staged, S.LOG_DIMENSIONS, load_ts)
     dims = _open_dims(wh, ["dim_ipaddr", "dim_country", "dim_device", "dim_customer"])
-    lookups = log_lookups(dims)
+    lookups = log_lookups(dims, collation)
     rows = load_fact(staged, lookups, LOG_FACT_COLUMNS, balance(staged, lookups))
     wh.append("fact_logs", rows, batch)
     return counts.get if fresh else {}
@@ -281,12 +352,11 @@ def quarantined_lines(wh: Warehouse) -> DataFrame:
     return wh.table("stg_logs", {"is_readable=0"}).select("value")
 
 
-def log_rejects(wh: Warehouse) -> DataFrame:
+def log_rejects(wh: Warehouse, collation: str | None = None) -> DataFrame:
     """Readable log rows of the last load that found no place in the fact, and why."""
     staged = wh.table("stg_logs", {"is_readable=1"}).drop("value")
-    lookups = log_lookups(
-        _open_dims(wh, ["dim_ipaddr", "dim_country", "dim_device", "dim_customer"])
-    )
+    dims = _open_dims(wh, ["dim_ipaddr", "dim_country", "dim_device", "dim_customer"])
+    lookups = log_lookups(dims, collation)
     return fact_rejects(staged, lookups, balance(staged, lookups))
 
 

@@ -171,6 +171,13 @@ TABLES = {
     "fact_orders": (FACT_ORDERS, "order_month"),
     "fact_logs": (FACT_LOGS, None),
     "fact_leads": (FACT_LEADS, None),
-    **{d.name: (d.schema, "is_current") for d in ORDER_DIMENSIONS},
-    **{d.name: (d.schema, None) for d in LOG_DIMENSIONS + LEAD_DIMENSIONS},
+    **{
+        d.name: (d.schema, "key_slice")
+        for d in ORDER_DIMENSIONS + LOG_DIMENSIONS + LEAD_DIMENSIONS
+    },
+}
+# The columns whose hash tells the slice of a dimension's row.
+SLICE_KEYS = {
+    **{d.name: d.key for d in ORDER_DIMENSIONS},
+    **{d.name: d.members for d in LOG_DIMENSIONS + LEAD_DIMENSIONS},
 }

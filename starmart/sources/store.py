@@ -9,30 +9,52 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Collection
+from collections.abc import Collection, Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.schemas import TABLES, empty_frame
+from starmart.operators.keys import next_key
+from starmart.schemas import SLICE_KEYS, TABLES, empty_frame
 
 # How the slice column follows from the columns of a table, and whether rows are gathered by
 # slice before writing. Gathering avoids a file per task and slice where there are many slices;
 # AQE cuts a large slice into several tasks.
 _SLICES = {
-    "order_month": (lambda: F.col("order_date").cast("string").substr(1, 7), True),
-    "is_current": (lambda: F.col("end_date").isNull().cast("int"), True),
-    "is_readable": (lambda: F.col("time").isNotNull().cast("int"), False),
+    "order_month": (lambda name, slots: F.col("order_date").cast("string").substr(1, 7), True),
+    "key_slice": (
+        lambda name, slots: F.concat(
+            F.when(F.col("end_date").isNull(), _OPEN).otherwise(_CLOSED),
+            _slot(name, slots).cast("string"),
+        ),
+        True,
+    ),
+    "is_readable": (lambda name, slots: F.col("time").isNotNull().cast("int"), False),
 }
 _WHOLE = ""
+_OPEN, _CLOSED = "open-", "closed-"
+KEY_SLOTS = 16
+
+
+def _slot(name: str, slots: int) -> Column:
+    """The slot of a dimension's key, the same for keys of another numeric type."""
+    schema = TABLES[name][0]
+    key = [F.col(c).cast(schema[c].dataType) for c in SLICE_KEYS[name]]
+    return F.pmod(F.xxhash64(*key), F.lit(slots))
 
 
 class Warehouse:
-    """Named tables below ``root``, a folder all executors reach. One writer per table."""
+    """Named tables below ``root``, a folder all executors reach. One writer per table.
 
-    def __init__(self, spark: SparkSession, root: str):
+    A dimension is kept in slices by the hash of its key, open and closed versions apart, so that
+    a load touches the slices of its keys only. ``key_slots`` is how many hashes there are in a
+    table that is written for the first time.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, key_slots: int = KEY_SLOTS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.key_slots = key_slots
         jvm = spark._jvm
         self._path = jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
@@ -56,12 +78,39 @@ class Warehouse:
         """The slices a table has rows in."""
         return sorted({s for s, _ in self._state(name)["parts"]})
 
+    def open_slices(self, name: str) -> list[str]:
+        """The slices of a dimension that hold open versions."""
+        return [s for s in self.slices(name) if not s.startswith(f"key_slice={_CLOSED}")]
+
+    def key_counts(self, name: str, keys: DataFrame) -> dict[int, int]:
+        """How many rows of ``keys`` (a dimension's key columns) each slot has."""
+        slot = _slot(name, self._slots(self._state(name))).alias("slot")
+        # one number for each slot comes to the driver
+        return {r["slot"]: r["count"] for r in keys.groupBy(slot).count().collect()}
+
+    def slot_slices(self, name: str, slots: Iterable[int]) -> list[str]:
+        """The slices of a dimension in which keys of these slots can be."""
+        wanted = {f"{kind}{slot}" for slot in slots for kind in (_OPEN, _CLOSED)}
+        named = [(s, s.partition("=")) for s in self.slices(name)]
+        return [s for s, (col, _, value) in named if col != "key_slice" or value in wanted]
+
+    def next_key(self, name: str, sk: str) -> int:
+        """The first surrogate key that is not in use; noted with each load that adds some."""
+        top = self._state(name).get("top_key")
+        return next_key(self.table(name), sk) if top is None else top + 1
+
     def overwrite(self, name: str, df: DataFrame) -> DataFrame:
         """Replace all rows."""
         return self._commit(name, df, lambda s: True)
 
-    def append(self, name: str, df: DataFrame, batch: tuple[str, int] | None = None) -> DataFrame:
-        """Add rows.
+    def append(
+        self,
+        name: str,
+        df: DataFrame,
+        batch: tuple[str, int] | None = None,
+        top_key: int | None = None,
+    ) -> DataFrame:
+        """Add rows. ``top_key`` is the highest surrogate key of a dimension, these rows included.
 
         ``batch`` = (feed, number) makes a rerun harmless: numbers of a feed rise, and the last
         one added adds nothing again. A lower number means that the feed was started anew, and
@@ -73,7 +122,7 @@ class Warehouse:
                 raise ValueError(f"{name}: {batch[0]} is at batch {last}, {batch[1]} came again")
             if batch[1] == last:
                 return self.table(name)
-        return self._commit(name, df, lambda s: False, batch)
+        return self._commit(name, df, lambda s: False, batch, top_key)
 
     def batch(self, name: str, feed: str, slices: Collection[str] | None = None) -> DataFrame:
         """The rows of the batch that a feed added last."""
@@ -92,14 +141,16 @@ class Warehouse:
         if state["parts"] or state["batches"]:
             self._publish(name, {"version": state["version"] + 1, "parts": [], "batches": {}})
 
-    def replace_slices(self, name: str, df: DataFrame, slices: Collection[str]) -> DataFrame:
+    def replace_slices(
+        self, name: str, df: DataFrame, slices: Collection[str], top_key: int | None = None
+    ) -> DataFrame:
         """Drop the named slices and add the rows of ``df``, in one step."""
         gone = set(slices)
-        return self._commit(name, df, lambda s: s in gone)
+        return self._commit(name, df, lambda s: s in gone, top_key=top_key)
 
     def merge_dimension(self, name: str, changes: DataFrame) -> DataFrame:
         """Take over ``scd2_changes``: open versions are replaced, newly closed ones added."""
-        return self.replace_slices(name, changes, {"is_current=1"})
+        return self.replace_slices(name, changes, self.open_slices(name))
 
     def expire(self, name: str, keep: int = 1) -> None:
         """Remove the files that none of the newest ``keep`` states uses.
@@ -117,7 +168,11 @@ class Warehouse:
         for old in lists[:-keep]:
             self._fs.delete(self._path(f"{self.root}/{name}/_lists/{old}"), False)
 
-    def _commit(self, name: str, df: DataFrame, drops, batch=None) -> DataFrame:
+    def _slots(self, state: dict) -> int:
+        """A table with rows keeps the number of slots that they were written with."""
+        return state.get("key_slots", self.key_slots) if state["parts"] else self.key_slots
+
+    def _commit(self, name: str, df: DataFrame, drops, batch=None, top_key=None) -> DataFrame:
         schema, slice_col = TABLES[name]
         state = self._state(name)
         folder = f"data-{uuid.uuid4().hex}"
@@ -126,7 +181,7 @@ class Warehouse:
         if slice_col:
             # Without this, every task would hold a writer open per slice.
             value, gather = _SLICES[slice_col]
-            rows = rows.withColumn(slice_col, value())
+            rows = rows.withColumn(slice_col, value(name, self._slots(state)))
             if gather:
                 rows = rows.hint("rebalance", F.col(slice_col))
             writer = rows.write.partitionBy(slice_col)
@@ -134,14 +189,16 @@ class Warehouse:
         added = {batch[0]: {"number": batch[1], "folder": folder}} if batch else {}
         parts = [p for p in state["parts"] if not drops(p[0])]
         parts += self._written(name, folder, slice_col)
-        self._publish(
-            name,
-            {
-                "version": state["version"] + 1,
-                "parts": parts,
-                "batches": {**state["batches"], **added},
-            },
-        )
+        following = {
+            "version": state["version"] + 1,
+            "parts": parts,
+            "batches": {**state["batches"], **added},
+        }
+        if slice_col == "key_slice":
+            following["key_slots"] = self._slots(state)
+            if top_key is not None:
+                following["top_key"] = top_key
+        self._publish(name, following)
         return self.table(name)
 
     def _written(self, name: str, folder: str, slice_col: str | None) -> list[list[str]]:
