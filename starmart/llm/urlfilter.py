@@ -15,11 +15,16 @@ from pyspark.sql import functions as F
 from starmart.llm.common import stored
 
 DAMPING = 0.85
-ROUNDS = 12
+# Rounds go on until no new host is reached and all ranks together gain less than this in _STEP.
+TOLERANCE = 1e-7
+_STEP = 4
+# Ranks that take longer are an error; a chain of links may be as long.
+MOST_ROUNDS = 10_000
 # A host is blocked if its distrust is more than so many times its trust.
 DISTRUST_RATIO = 2.0
-# Hosts are broadcast up to so many rows; beyond that they are joined.
+# Hosts are broadcast up to so many rows and bytes of names; beyond that they are joined.
 BROADCAST_HOSTS = 4000
+BROADCAST_BYTES = 1 << 20
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LINK = r"""(?i)<(?:a|area|link)\b[^>]*?\shref\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s>]+)"""
 
@@ -66,13 +71,9 @@ def matching_rule(host: Column, path: Column, rules: tuple[UrlRule, ...]) -> tup
     return name, verdict
 
 
-def host_edges(pages: DataFrame, hosts: DataFrame, domain_edges: bool = True) -> DataFrame:
-    """``src, dst, weight``: pages of ``src`` that link to ``dst``, another host.
-
-    With ``domain_edges`` a host and the domain above it (of two labels at least) point to each
-    other too, with weight 1: who runs the one runs the other.
-    """
-    links = (
+def host_edges(pages: DataFrame) -> DataFrame:
+    """``src, dst, weight``: pages of ``src`` that link to ``dst``, another host."""
+    return (
         pages.select("host", F.explode_outer(F.regexp_extract_all("html", F.lit(_LINK), 1)).alias("to"))
         .where("to is not null")
         .select(
@@ -83,38 +84,38 @@ def host_edges(pages: DataFrame, hosts: DataFrame, domain_edges: bool = True) ->
         .groupBy("src", "dst")
         .agg(F.count("*").cast("double").alias("weight"))
     )
-    if domain_edges:
-        above = F.regexp_extract("host", r"\A[^.]+\.(.+\..+)\z", 1)
-        up = hosts.select(F.col("host").alias("src"), above.alias("dst")).where("dst <> ''")
-        up = up.distinct().withColumn("weight", F.lit(1.0))
-        links = links.unionByName(up).unionByName(up.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight"))
-    return links.groupBy("src", "dst").agg(F.sum("weight").alias("weight"))
 
 
-def personalised_rank(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """``host, rank`` after so many rounds; ``seeds`` has ``host, seed`` that add up to 1 (or 0).
+def personalised_rank(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """``host, rank``; ``seeds`` has ``host, seed`` that add up to 1 (or 0).
 
     What a host without links would pass on is lost: ranks are compared with each other, and trust
-    that leads nowhere is none. One row per host and edge moves in each round.
+    that leads nowhere is none. One row per host and edge moves in each round. Ranks only grow and
+    hosts are only added from round to round, so their sum and number tell when all is settled.
     """
     out = edges.groupBy("src").agg(F.sum("weight").alias("all"))
     share = stored(
         edges.join(out, "src").select("src", "dst", (F.col("weight") / F.col("all")).alias("share")),
         "rank-edges",
     )
-    rank = seeds.select("host", F.col("seed").alias("rank"))
-    for n in range(rounds):
-        flow = share.join(rank, F.col("src") == F.col("host")).select(
-            F.col("dst").alias("host"), (F.col("rank") * F.col("share") * DAMPING).alias("rank")
-        )
-        start = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("rank"))
-        rank = start.unionByName(flow).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if n % 4 == 3 or n == rounds - 1:
-            rank = stored(rank, "rank")
-    return rank
-
-
-def judge_hosts(pages: DataFrame, domain_edges: bool = True) -> DataFrame:
+    start = seeds.select("host", (F.col("seed") * (1 - DAMPING)).alias("rank"))
+    rank = stored(start, "rank")
+    seen = rank.agg(F.count("*"), F.sum("rank")).first()
+    for _ in range(0, MOST_ROUNDS, _STEP):
+        for _ in range(_STEP):
+            flow = share.join(rank, F.col("src") == F.col("host")).select(
+                F.col("dst").alias("host"), (F.col("rank") * F.col("share") * DAMPING).alias("rank")
+            )
+            rank = start.unionByName(flow).groupBy("host").agg(F.sum("rank").alias("rank"))
+        rank = stored(rank, "rank")
+        now = rank.agg(F.count("*"), F.sum("rank")).first()
+        if now[0] == seen[0] and (now[1] or 0.0) - (seen[1] or 0.0) <= TOLERANCE:
+            return rank
+        seen = now
+    raise RuntimeError(f"ranks are not settled after {MOST_ROUNDS} rounds")
+
+
+def judge_hosts(pages: DataFrame) -> DataFrame:
     """``host, trust, distrust, host_verdict`` from pages with ``host, html, rule_verdict``."""
     counted = stored(
         pages.groupBy("host").agg(
@@ -129,7 +130,7 @@ def judge_hosts(pages: DataFrame, domain_edges: bool = True) -> DataFrame:
         part = F.col(column) / F.lit(float(max(all_of or 0, 1)))
         return counted.where(F.col(column) > 0).select("host", part.alias("seed"))
 
-    edges = stored(host_edges(pages, counted, domain_edges), "host-edges")
+    edges = stored(host_edges(pages), "host-edges")
     back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")
     trust = personalised_rank(edges, seeds("good", total[0]))
     distrust = personalised_rank(back, seeds("bad", total[1]))
@@ -143,9 +144,7 @@ def judge_hosts(pages: DataFrame, domain_edges: bool = True) -> DataFrame:
     return both.withColumn("host_verdict", F.when(blocked, "block").otherwise("allow"))
 
 
-def judge_urls(
-    pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, domain_edges: bool = True
-) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES) -> DataFrame:
     """``page_id, host, path, rule, verdict, trust, distrust``, one row per row of ``pages``.
 
     A null url, or one without ``://``, has an empty host and path, fits no rule and is allowed; a
@@ -156,8 +155,9 @@ def judge_urls(
     )
     name, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", name).withColumn("rule_verdict", verdict)
-    hosts = stored(judge_hosts(rows, domain_edges), "host-verdicts")
-    few = hosts.count() <= BROADCAST_HOSTS
+    hosts = stored(judge_hosts(rows), "host-verdicts")
+    size = hosts.agg(F.count("*"), F.sum(F.octet_length("host"))).first()
+    few = size[0] <= BROADCAST_HOSTS and (size[1] or 0) <= BROADCAST_BYTES
     return rows.join(F.broadcast(hosts) if few else hosts, "host", "left").select(
         "page_id",
         "host",
