@@ -121,7 +121,7 @@ def _small(sources: DataFrame) -> bool:
 
 
 def _block(seed: int) -> Column:
-    return F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.greatest(F.col("blocks"), F.lit(1)))
+    return F.pmod(F.xxhash64("doc_id", "digest", F.lit(seed)), F.greatest(F.col("blocks"), F.lit(1)))
 
 
 def _turn(epoch: Column, seed: int) -> Column:
@@ -173,15 +173,19 @@ def mix(docs: DataFrame, keep: list[str], **targets) -> tuple[DataFrame, DataFra
     ``n_tokens``, ``epoch`` (the pass, from 0), ``block`` and ``place``: ordered by it, every
     prefix of the mixture holds the sources by their weights. A row is drawn once in each whole
     pass, and in the last one if its block is. A null text has no tokens; a null source is a source;
-    repeated rows are drawn alike; an empty table gives an empty mixture.
+    rows without an id are told apart by their texts; rows that repeat id and text stand in one
+    block and are drawn alike, so that a source of copies alone is taken whole or not at all in its
+    last pass; an empty table gives an empty mixture.
     """
     counted = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"),
         "doc_id",
         _name(F.col("source")).alias("key"),
+        # rows without an id, or that share one, are told apart by their texts
+        F.xxhash64("text").alias("digest"),
         n_words(F.col("text")).alias("n_tokens"),
     )
-    tokens = stored(counted.select("key", "doc_id", "n_tokens"), "mix-tokens")
+    tokens = stored(counted.select("key", "doc_id", "digest", "n_tokens"), "mix-tokens")
     sources = stored(source_weights(tokens, **targets), "mix-weights")
     small = _small(sources)
 
@@ -200,7 +204,7 @@ def mix(docs: DataFrame, keep: list[str], **targets) -> tuple[DataFrame, DataFra
         "epoch", F.explode(F.sequence(F.lit(0).cast("long"), passes - 1))
     )
     # a block's rows stand side by side, spread over its share of the pass
-    inside = _unit(F.col("doc_id"), F.lit(SEED + 2)) / F.greatest(F.col("blocks"), F.lit(1))
+    inside = _unit(F.col("doc_id"), F.col("digest"), F.lit(SEED + 2)) / F.greatest(F.col("blocks"), F.lit(1))
     turn = F.pmod(_turn(F.col("epoch"), SEED) + inside, F.lit(1.0))
     place = (F.col("epoch") + turn) / F.col("epochs")
     mixture = rows.select(
