@@ -228,6 +228,17 @@ def link_pairs(pairs: DataFrame, n: int, sets: DataFrame, percent: int) -> DataF
     return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked")
 
 
+def _unnamed_texts(docs: DataFrame, signed: DataFrame, nodes: DataFrame, keys: list[str]) -> DataFrame:
+    """``node, text`` of the sets that only rows without an id have, one text of each."""
+    of_set = nodes.where("id is null").select(*keys, "node")
+    hashes = signed.where("doc_id is null").join(of_set, keys).groupBy("node")
+    hashes = hashes.agg(F.min("text_hash").alias("text_hash"))
+    text = F.coalesce("text", F.lit(""))
+    texts = docs.where("doc_id is null").select(F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    texts = texts.groupBy("text_hash").agg(F.min("text").alias("text"))
+    return texts.join(hashes, "text_hash").select("node", "text")
+
+
 def near_duplicates(
     docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -238,8 +249,9 @@ def near_duplicates(
     copies cost no pairs.
 
     A null text or one without words has an empty set and is its own component. A row without an id
-    joins the component of rows that have its very set, names none and isn't kept. Rows that share
-    an id are one document, linked by any of their sets; an empty table gives no rows.
+    is linked like any other and joins a component, but names none (``component_id`` is null where
+    no row of it has an id) and isn't kept. Rows that share an id are one document, linked by any
+    of their sets; an empty table gives no rows.
     """
     signed = stored(signatures(docs, width, bands, rows), "signatures")
     keys = ["f1", "f2", "n_shingles"]
@@ -257,7 +269,8 @@ def near_duplicates(
     texts = docs.select(
         F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text")
     )
-    texts = texts.where("node is not null").join(ends, "node", "left_semi")
+    texts = texts.where("node is not null").unionByName(_unnamed_texts(docs, signed, nodes, keys))
+    texts = texts.join(ends, "node", "left_semi")
     sets = stored(_sets(texts.coalesce(some), width).distinct(), "shingle-sets", some)
 
     found = cluster(

@@ -91,3 +91,23 @@ def test_lines_of_rows_that_share_an_id(spark):
         left[r.doc_id] += r.text.split("\n")
     assert sorted(left[None]) == ["unique A", "unique B", "x dup"]
     assert sorted(left[3]) == ["last", "one more"]
+
+
+def test_near_copies_without_an_id_are_linked(spark):
+    """To a row with an id, and to each other; the id names the component where there is one."""
+    rng = random.Random(31)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(200)]
+    other = [f"v{rng.randrange(10_000)}" for _ in range(200)]
+
+    def changed(words, at):
+        return " ".join([*words[:at], "changed", *words[at + 1 :]])
+
+    rows = [
+        (1, " ".join(base), "en", "a"), (None, changed(base, 50), "en", "a"),
+        (None, changed(base, 150), "en", "a"), (None, changed(base, 150), "en", "a"),
+        (None, " ".join(other), "en", "a"), (None, changed(other, 20), "en", "a"), (9, "alone", "en", "a"),
+    ]
+    found = minhash.near_duplicates(documents(spark, rows)).collect()
+    of_base = [r for r in found if r["component_id"] == 1]
+    assert len(of_base) == 4 and sum(r["kept"] for r in of_base) == 1
+    assert [r["component_id"] for r in found].count(None) == 2
