@@ -3,8 +3,8 @@
 A document's terms are its lower-cased words and their first few letters, which an inflected word
 keeps, hashed to ``BUCKETS`` numbers. The machine weighs each term and, by the product of two short
 vectors, each pair of terms of a document, so that a pair can count for more than its two terms.
-Only terms that lean towards one label enter it; they are counted over all labelled documents of
-the fold that teaches.
+Only terms that lean towards one label enter it. It is learned from a bounded sample of the
+labelled documents of the fold that teaches; every document is scored.
 """
 
 from __future__ import annotations
@@ -26,13 +26,14 @@ LEAN = 4.0
 # At most so many terms, those that lean most: the size of the model.
 TERMS = 4096
 FACTORS = 4
-# The machine is fitted on about so many labelled documents, drawn by the hash of the text.
-SAMPLE_DOCS = 100_000
+# Terms are chosen and the machine is fitted on about so many labelled documents.
+SAMPLE_DOCS = 40_000
 ROUNDS = 80
 STEP = 0.1
 DECAY = 1e-4
 THRESHOLD = 0.7
 _TASK_DOCS = 10_000
+_DRAWS = 1 << 30
 
 
 @dataclass(frozen=True)
@@ -45,7 +46,7 @@ class Toxicity:
 
 
 def _bucket(term: Column, kind: int) -> Column:
-    return F.pmod(F.xxhash64(term, F.lit(kind)), F.lit(BUCKETS))
+    return F.pmod(F.xxhash64(term, F.lit(kind)), F.lit(BUCKETS)).cast("int")
 
 
 def _terms(text: Column) -> Column:
@@ -62,19 +63,27 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``text, toxic`` of the documents that teach; one that any label calls toxic is."""
+def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``text, toxic`` of about ``SAMPLE_DOCS`` labelled documents that teach, drawn by their id.
+
+    A document that any label calls toxic is; of rows that repeat an id the smallest text teaches.
+    """
     known = labels.where("doc_id is not null and toxic is not null")
-    known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-    docs = docs.select("doc_id", "text").where(~held_out(F.col("doc_id")))
-    return docs.join(known, "doc_id").select("text", "toxic")
+    known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id")
+    known = known.agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    share = min(1.0, SAMPLE_DOCS / max(1, known.count()))
+    draw = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(_DRAWS)) < int(share * _DRAWS)
+    # as many rows of two numbers as the sample has
+    rows = docs.select("doc_id", "text").join(F.broadcast(known.where(draw)), "doc_id")
+    text = F.coalesce("text", F.lit(""))
+    return rows.groupBy("doc_id").agg(F.min(text).alias("text"), F.max("toxic").alias("toxic"))
 
 
 def _leaning(rows: DataFrame, n: int, toxic: int) -> list[int]:
     """The terms whose toxic documents are far from as many as chance gives them."""
     share = toxic / n
     counts = (
-        rows.select("toxic", F.explode(F.array_distinct("all_terms")).alias("term"))
+        rows.select("toxic", F.explode("all_terms").alias("term"))
         .groupBy("term")
         .agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
     )
@@ -88,7 +97,7 @@ def _leaning(rows: DataFrame, n: int, toxic: int) -> list[int]:
 
 def _vectors(rows: DataFrame, terms: list[int]) -> DataFrame:
     """``rows`` with ``features``, which of ``terms`` are in ``all_terms``."""
-    held = F.array_intersect("all_terms", F.array(*[F.lit(t).cast("long") for t in terms]))
+    held = F.array_intersect("all_terms", F.array(*[F.lit(t) for t in terms]))
     named = rows.withColumn("held_terms", held.cast("array<string>")).drop("all_terms")
     model = CountVectorizerModel.from_vocabulary(
         [str(t) for t in terms], "held_terms", "features", minTF=0.0, binary=True
@@ -97,18 +106,13 @@ def _vectors(rows: DataFrame, terms: list[int]) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Toxicity:
-    """Learn from the labelled rows of ``docs`` outside the held-out fold.
+    """Learn from a sample of the labelled rows of ``docs`` outside the held-out fold.
 
-    The terms are chosen by counts over all of those rows, the machine is fitted on about
-    ``SAMPLE_DOCS`` of them. Where only one label occurs, or no term leans to either, there is no
-    machine and every document gets the toxic share (0 without a label).
+    Where only one label occurs, or no term leans to either, there is no machine and every document
+    gets the toxic share (0 without a label).
     """
-    rows = _labelled(docs, labels)
-    rows = stored(
-        rows.select("toxic", F.crc32(F.encode(F.coalesce("text", F.lit("")), "utf-8")).alias("draw"),
-                    F.array_distinct(_terms(F.col("text"))).alias("all_terms")),
-        "labelled-terms",
-    )
+    terms = F.array_distinct(_terms(F.col("text"))).alias("all_terms")
+    rows = stored(_sample(docs, labels).select("toxic", terms), "labelled-terms")
     n, toxic = rows.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     base = toxic / n if n else 0.0
     if not 0 < toxic < n:
@@ -116,8 +120,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Toxicity:
     terms = _leaning(rows, n, toxic)
     if not terms:
         return Toxicity([], None, base)
-    drawn = rows.where(F.col("draw") / F.lit(2.0**32) < min(1.0, SAMPLE_DOCS / n))
-    drawn = drawn.coalesce(tasks_for(min(n, SAMPLE_DOCS), _TASK_DOCS))
+    drawn = rows.coalesce(tasks_for(n, _TASK_DOCS))
     sample = _vectors(drawn.select("all_terms", F.col("toxic").cast("double")), terms)
     machine = FMClassifier(
         labelCol="toxic", factorSize=FACTORS, maxIter=ROUNDS, stepSize=STEP, regParam=DECAY, seed=7
@@ -140,8 +143,8 @@ def judge_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     Learned from ``labels`` (``doc_id, toxic``) of rows outside the held-out fold. Null and empty
     texts have no term and get the score of none; a null id is not held out and teaches nothing;
-    repeated rows are scored alike, and teach as often as they occur; a document with several
-    labels is toxic if one says so, null labels say nothing; an empty table gives no rows.
+    repeated rows are scored alike, and of rows that share an id one teaches; a document with
+    several labels is toxic if one says so, null labels say nothing; an empty table gives no rows.
     """
     model = fit(docs, labels)
     judged = score(docs.select("doc_id", "text"), model, ["doc_id"])
