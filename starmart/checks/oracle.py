@@ -632,6 +632,11 @@ _oracle(
        from staged_logs where username not in (select username from dim_customer_all) group by 2
        union all select 'unreadable', value, count(*) from parsed where time is null group by 2""",
 )
+_oracle(
+    "inbox_same_name",
+    """select ipaddr, country_name, count(*) as n from logs_fact_of_buyers
+       join dim_ipaddr_all using (sk_ipaddr) join dim_country_all using (sk_country) group by 1, 2""",
+)
 _oracle("pipeline_leads", _lead_fact("dim_company_all"))
 _oracle("pipeline_leads_rejects", _lead_rejects("dim_company_all"))
 _cte("logs_fact_two", _log_fact("dim_customer_two"))

@@ -891,6 +891,37 @@ def inbox_ingest_batches(spark, sf_dir):
     return rows.groupBy("kind", "day").agg(F.count("*").alias("n"))
 
 
+@query
+def inbox_same_name(spark, sf_dir):
+    """Log files dropped again under the names of archived ones: both loads count."""
+    wh = _with_customers_and_companies(spark, sf_dir)
+    inbox, drop = scratch_path(spark, "inbox"), scratch_path(spark, "drop")
+    state, archive = scratch_path(spark, "state"), scratch_path(spark, "archive")
+    geo, lines = A.geo(spark, sf_dir), A.weblog_lines(spark, sf_dir)
+    write_text(lines.filter(F.col("value").contains("Windows")), drop)
+    _drop_as(spark, drop, inbox, "access.log")
+    ingest_weblogs(wh, inbox, state, geo, LOAD_1, archive=archive)
+    drop = scratch_path(spark, "drop")
+    write_text(lines.filter(~F.col("value").contains("Windows")), drop)
+    _drop_as(spark, drop, inbox, "access.log")
+    ingest_weblogs(wh, inbox, state, geo, LOAD_2, archive=archive)
+    ingest_weblogs(wh, inbox, state, geo, LOAD_2, archive=archive)
+    found = wh.table("fact_logs").join(wh.table("dim_ipaddr"), "sk_ipaddr")
+    found = found.join(wh.table("dim_country"), "sk_country")
+    return found.groupBy("ipaddr", "country_name").agg(F.count("*").alias("n"))
+
+
+def _drop_as(spark, written: str, inbox: str, name: str) -> None:
+    """Move the files of a text folder into the inbox, numbered behind a name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(written).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(inbox))
+    files = [f.getPath() for f in fs.listStatus(path(written))]
+    parts = sorted(f.toString() for f in files if f.getName().startswith("part-"))
+    for i, part in enumerate(parts):
+        fs.rename(path(part), path(f"{inbox}/{name}.{i}"))
+
+
 @query
 def report_views(spark, sf_dir):
     """The report views, registered on a warehouse and read by name."""

@@ -178,6 +178,50 @@ def test_files_move_to_the_archive(spark, tmp_path):
     assert sorted(archived) == ["0.log", "1.log", "2.log"] and not left
 
 
+def test_a_name_dropped_again_is_a_new_file(spark, tmp_path):
+    inbox, archive, state = tmp_path / "in", tmp_path / "done", str(tmp_path / "state")
+    (inbox / "deep").mkdir(parents=True)
+    seen = []
+
+    def take(df, number):
+        seen.append((number, sorted(r["value"] for r in df.collect())))
+
+    for text in ("first", "second, longer"):
+        (inbox / "access.log").write_text(f"{text}\n")
+        (inbox / "deep" / "a [1]{b}, c?.log").write_text(f"deep {text}\n")
+        for _ in range(2):
+            ingest_inbox(spark, str(inbox), state, take, archive=str(archive))
+    assert seen == [(0, ["deep first", "first"]), (1, ["deep second, longer", "second, longer"])]
+    kept = sorted(os.path.relpath(os.path.join(d, f), archive).split("-")[1]
+                  for d, _, names in os.walk(archive) for f in names)
+    assert kept == [f"{n:08d}/{f}" for n in (0, 1) for f in ("access.log", "deep/a [1]{b}, c?.log")]
+    assert not [f for _, _, names in os.walk(inbox) for f in names]
+
+
+def test_a_failed_batch_comes_again(spark, tmp_path):
+    """The same files under the same number, before newer ones, and none is archived unread."""
+    inbox, archive, state = tmp_path / "in", tmp_path / "done", str(tmp_path / "state")
+    inbox.mkdir()
+    seen, broken = [], [True]
+
+    def take(df, number):
+        seen.append((number, [r["value"] for r in df.collect()]))
+        if broken[0]:
+            raise OSError("no space")
+
+    (inbox / "a.log").write_text("a\n")
+    with pytest.raises(OSError):
+        ingest_inbox(spark, str(inbox), state, take, archive=str(archive))
+    (inbox / "b.log").write_text("b\n")
+    broken[0] = False
+    ingest_inbox(spark, str(inbox), state, take)
+    assert seen == [(0, ["a"]), (0, ["a"]), (1, ["b"])] and len(list(inbox.iterdir())) == 2
+    # what was loaded without an archive is put away when there is one
+    ingest_inbox(spark, str(inbox), state, take, archive=str(archive))
+    assert len(seen) == 3 and not list(inbox.iterdir())
+    ingest_inbox(spark, str(tmp_path / "not there"), state, take)
+
+
 def test_report_views(spark, loaded):
     R.register_reports(spark, loaded, 2000)
     months = spark.table("all_sales_by_month_2000").collect()
