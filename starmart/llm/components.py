@@ -54,6 +54,20 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
+def with_ends(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """``a, b, x, y``: pairs with the values (``node``, value) of both ends.
+
+    The values are brought down to the nodes of the pairs before they move, so that few pairs move
+    little; how many tasks the joins take then follows from the bytes that are left.
+    """
+    node, value = values.columns
+    ends = pairs.select(F.col("a").alias(node)).unionByName(pairs.select(F.col("b").alias(node)))
+    held = values.join(ends.distinct(), node, "left_semi")
+    left = held.select(F.col(node).alias("a"), F.col(value).alias("x"))
+    right = held.select(F.col(node).alias("b"), F.col(value).alias("y"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+
+
 # Centres of a bucket in every turn but the first.
 CENTRES = 4
 
@@ -117,12 +131,12 @@ def crowded(buckets: DataFrame, tasks: int) -> DataFrame:
 
 def cluster(
     shared: DataFrame,
-    confirm: Callable[[DataFrame, int], DataFrame],
+    confirm: Callable[[DataFrame], DataFrame],
     apart: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """``node, component`` of the nodes that ``confirm`` links to another one of their bucket.
 
-    ``confirm(pairs, how_many)`` keeps the pairs that are similar. Each turn pairs every bucket's
+    ``confirm(pairs)`` keeps the pairs that are similar. Each turn pairs every bucket's
     members with its centres, over the buckets that still hold two components, with other centres
     each time. Turns end with the one that links under a tenth of its pairs. They only save work:
     ``apart(nodes)`` then gives every pair of different components, of the nodes that have one in
@@ -162,13 +176,13 @@ def _untested(pairs: DataFrame, tested: DataFrame | None, tasks: int) -> DataFra
 
 
 def _confirmed(
-    pairs: DataFrame, confirm: Callable[[DataFrame, int], DataFrame]
+    pairs: DataFrame, confirm: Callable[[DataFrame], DataFrame]
 ) -> tuple[int, DataFrame, int]:
     """How many pairs, those that are linked, and how many these are."""
     n = pairs.count()
     if not n:
         return 0, pairs, 0
-    new = stored(confirm(pairs, n).select("a", "b"), "confirmed", tasks_for(n, TASK_ROWS))
+    new = stored(confirm(pairs).select("a", "b"), "confirmed")
     return n, new, new.count()
 
 

@@ -17,15 +17,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import runs, stored, tasks_for, text_bytes
-from starmart.llm.components import cluster, crowded
+from starmart.llm.components import cluster, crowded, with_ends
 from starmart.llm.minhash import _BASE, _CODE, _INVERSE, _mix, _powers
 from starmart.llm.prefix import pairs_apart
 
 PERCENT = 80
 SALT = 40503
-# Distinct lines whose bands or shingles, and pairs that are compared by one task.
+# Distinct lines whose bands or shingles are made by one task.
 TASK_LINES = 20_000
-TASK_PAIRS = 20_000
 WIDTH = 12
 # A pair at 80 % shares one of twelve bands of three values in 99.98 % of all cases.
 BANDS, ROWS = 12, 3
@@ -165,11 +164,8 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     texts = _lines(docs).join(ends, ["did", "uid", "at"]).select("node", "line")
     texts = stored(texts.dropDuplicates(["node"]), "line-texts", some)
 
-    def confirm(pairs: DataFrame, n: int) -> DataFrame:
-        both = pairs.join(texts.select(F.col("node").alias("a"), F.col("line").alias("x")), "a").join(
-            texts.select(F.col("node").alias("b"), F.col("line").alias("y")), "b"
-        )
-        both = both.select("a", "b", "x", "y").coalesce(tasks_for(n, TASK_PAIRS))
+    def confirm(pairs: DataFrame) -> DataFrame:
+        both = with_ends(pairs, texts.select("node", "line"))
         return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked")
 
     found = cluster(shared, confirm, lambda rest: pairs_apart(rest, texts, line_sets, percent))

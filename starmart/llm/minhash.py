@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import runs, stored, tasks_for, text_bytes
-from starmart.llm.components import cluster, crowded
+from starmart.llm.components import cluster, crowded, with_ends
 from starmart.llm.prefix import pairs_apart
 
 SHINGLE = 5
@@ -27,8 +27,7 @@ PERCENT = 80
 # A pair at 80 % agrees in one of 40 bands of 6 bins but for 5 in a million.
 BANDS, ROWS = 40, 6
 CHUNK = 1 << 22
-# Pairs confirmed, and documents read or named, by one task.
-TASK_PAIRS = 4_000
+# Documents read or named by one task.
 TASK_DOCS = 5_000
 # Nodes from here on stand for sets that no row with an id has.
 _UNNAMED = 1 << 62
@@ -219,12 +218,9 @@ def _confirm(percent: int):
     return confirm
 
 
-def link_pairs(pairs: DataFrame, n: int, sets: DataFrame, percent: int) -> DataFrame:
-    """Of ``n`` pairs ``a, b`` those with 100 * intersection >= percent * union."""
-    left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("y"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    both = both.coalesce(tasks_for(n, TASK_PAIRS))
+def link_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs ``a, b`` those with 100 * intersection >= percent * union."""
+    both = with_ends(pairs, sets.select("node", "hashes"))
     return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked")
 
 
@@ -275,7 +271,7 @@ def near_duplicates(
 
     found = cluster(
         shared,
-        lambda pairs, n: link_pairs(pairs, n, sets, percent),
+        lambda pairs: link_pairs(pairs, sets, percent),
         lambda open_nodes: pairs_apart(open_nodes, sets, _stored_sets, percent),
     )
     named = nodes.select(*keys, "node").join(found, "node", "left")
