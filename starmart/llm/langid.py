@@ -27,7 +27,7 @@ LOG_SIZE = 18
 PROFILE = 4000
 # About so many labelled documents a language are read to fit the profiles, so many bytes of each.
 SAMPLE_DOCS = 2000
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 

@@ -26,7 +26,7 @@ SHINGLE = 5
 PERCENT = 80
 # A pair at 80 % agrees in one of 40 bands of 6 bins but for 5 in a million.
 BANDS, ROWS = 40, 6
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 # Documents read or named by one task.
 TASK_DOCS = 5_000
 # Nodes from here on stand for sets that no row with an id has.
