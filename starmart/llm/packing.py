@@ -1,8 +1,7 @@
 """Length buckets with the least padding, and batches of a token budget within each.
 
-The lengths of all sequences are counted in one histogram over a fixed geometric grid. Dynamic
-programming over it places the bucket boundaries so that padding every sequence to its bucket's
-boundary costs the fewest tokens. Within a bucket, as many sequences form a batch as fit the token
+The lengths of all sequences are counted in one histogram. Dynamic programming over it places the
+bucket boundaries so that padding every sequence to its bucket's boundary costs the fewest tokens. Within a bucket, as many sequences form a batch as fit the token
 budget.
 """
 
@@ -12,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import n_words
+from starmart.llm.common import n_words, stored
 
 MAX_TOKENS = 8192
 BUCKETS = 16
@@ -22,16 +21,27 @@ BATCH_TOKENS = 1 << 16
 SHARD_ROWS = 20_000
 
 
-def grid(max_tokens: int) -> np.ndarray:
-    """Lengths at which a boundary may stand: all up to 256, then steps of under 1/128.
+def _layer(prev: np.ndarray, lengths: np.ndarray, below: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """The costs with one bucket more than in ``prev``, and where the bucket before ends.
 
-    Under 256 + 128 * log2(max_tokens / 256) + 2 numbers, so the histogram is bounded.
+    The best place for that end never falls as the length rises, so halving the lengths halves the
+    places left to try.
     """
-    at, out = 0, []
-    while at < max_tokens:
-        at = min(max_tokens, at + max(1, (1 << max(0, at.bit_length() - 1)) // 128))
-        out.append(at)
-    return np.array(out, np.int64)
+    new, came = prev.copy(), [-2] * len(prev)  # -2: fewer buckets do as well
+    came[0] = -1
+    todo = [(1, len(prev) - 1, 0, len(prev) - 1)]
+    while todo:
+        low, high, first, last = todo.pop()
+        if low > high:
+            continue
+        j = (low + high) // 2
+        stop = min(last + 1, j)
+        options = prev[first:stop] + lengths[j] * (below[j + 1] - below[first + 1 : stop + 1])
+        i = first + int(options.argmin())
+        if options[i - first] < new[j]:
+            new[j], came[j] = options[i - first], i
+        todo += [(low, j - 1, first, i), (j + 1, high, i, last)]
+    return new, came
 
 
 def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> tuple[list[int], int]:
@@ -43,21 +53,11 @@ def boundaries(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> tuple[l
     if not n:
         return [], 0
     below = np.concatenate(([0], np.cumsum(counts)))
-    cost = (lengths * below[1:]).astype(object)
-    back = [[-1] * n]
-    costs = [cost]
+    # 64 bits: a 100 TB corpus has fewer than 2**63 padded tokens
+    costs, back = [lengths * below[1:]], [[-1] * n]
     for _ in range(min(buckets, n) - 1):
-        # exact integers: a 100 TB corpus has fewer than 2**63 padded tokens
-        prev = np.array([int(c) for c in costs[-1]], np.int64)
-        new, came = prev.copy(), [-1] * n
-        for j in range(1, n):
-            options = prev[:j] + lengths[j] * (below[j + 1] - below[1 : j + 1])
-            i = int(options.argmin())
-            if options[i] < new[j]:
-                new[j], came[j] = options[i], i
-            else:
-                came[j] = -2  # fewer buckets do as well
-        costs.append(new.astype(object))
+        new, came = _layer(costs[-1], lengths, below)
+        costs.append(new)
         back.append(came)
     out, j, level = [], n - 1, len(back) - 1
     while j >= 0 and level >= 0:
@@ -78,24 +78,20 @@ def _at_least(bounds: list[int], value: Column) -> Column:
     return out.cast("long")
 
 
-def _on_grid(n: Column, max_tokens: int) -> Column:
-    """The grid length that isn't below ``n``, by the rule of ``grid``."""
-    step = F.greatest(F.lit(1.0), F.pow(F.lit(2.0), F.floor(F.log2(n - 0.5)) - 7))
-    return F.least(F.lit(max_tokens), (F.ceil(n / step) * step).cast("long")).cast("long")
-
-
 def sequences(docs: DataFrame, max_tokens: int) -> DataFrame:
-    """``doc_id, piece, n_tokens``: documents cut into sequences of at most ``max_tokens`` words.
+    """``doc_id, row, piece, n_tokens``: documents cut into sequences of at most ``max_tokens`` words.
 
-    A document without words is one sequence of length 0.
+    A document without words is one sequence of length 0. ``row`` tells rows apart.
     """
     n = F.col("n")
     last = F.greatest(F.lit(1), F.ceil(n / max_tokens)).cast("long") - 1
     return (
         docs.select("doc_id", n_words(F.col("text")).alias("n"))
-        .select("doc_id", "n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
+        .withColumn("row", F.monotonically_increasing_id())
+        .select("doc_id", "row", "n", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
         .select(
             "doc_id",
+            "row",
             "piece",
             F.least(F.lit(max_tokens), n - F.col("piece") * max_tokens).cast("long").alias("n_tokens"),
         )
@@ -115,13 +111,13 @@ def pack(
     slot`` and ``padding``. ``(bucket, shard, batch)`` names a batch; its padded sequences take at
     most ``batch_tokens``, or it is one sequence longer than that. A null text or one without words
     is a sequence of length 0 in the smallest bucket; a null id is kept; repeated rows take a slot
-    each; an empty table gives no rows.
+    each; an empty table gives no rows. A sequence's shard follows from the place of its row in the
+    files, so rows that share an id, or have none, are spread like others.
     """
-    rows = sequences(docs, max_tokens).withColumn(
-        "grid", F.when(F.col("n_tokens") > 0, _on_grid(F.col("n_tokens"), max_tokens)).otherwise(1)
-    )
-    # a few thousand rows at most, whatever the corpus
-    counts = {r["grid"]: r["count"] for r in rows.groupBy("grid").count().collect()}
+    rows = stored(sequences(docs, max_tokens), "sequences")
+    rows = rows.withColumn("length", F.greatest(F.lit(1).cast("long"), "n_tokens"))
+    # at most max_tokens rows, whatever the corpus
+    counts = {r["length"]: r["count"] for r in rows.groupBy("length").count().collect()}
     lengths = np.array(sorted(counts), np.int64)
     per_length = np.array([counts[x] for x in lengths], np.int64)
     bounds, _ = boundaries(lengths, per_length, buckets)
@@ -133,9 +129,9 @@ def pack(
         here = F.col("bucket") == bound
         shards = F.when(here, F.lit(max(1, -(-int(count) // shard_rows)))).otherwise(shards)
         caps = F.when(here, F.lit(max(1, batch_tokens // bound))).otherwise(caps)
-    rows = rows.withColumn("bucket", _at_least(bounds, F.col("grid")))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", "piece"), shards).cast("int"))
-    order = Window.partitionBy("bucket", "shard").orderBy("doc_id", "piece")
+    rows = rows.withColumn("bucket", _at_least(bounds, F.col("length")))
+    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row", "piece"), shards).cast("int"))
+    order = Window.partitionBy("bucket", "shard").orderBy("doc_id", "row", "piece")
     at = F.row_number().over(order) - 1
     return (
         rows.withColumn("at", at)

@@ -222,11 +222,27 @@ def test_boundaries_are_optimal():
         assert padded == best
 
 
-def test_grid_rule(spark):
-    grid = packing.grid(8192)
-    n = spark.range(1, 8193).select("id", packing._on_grid(F.col("id"), 8192).alias("g"))
-    for r in n.collect():
-        assert r.g == grid[np.searchsorted(grid, r.id)]
+def test_boundaries_of_many_lengths():
+    rng = np.random.default_rng(5)
+    lengths = np.sort(rng.choice(np.arange(1, 8193), 400, replace=False))
+    counts = rng.integers(1, 10**6, 400)
+    below = np.concatenate(([0], np.cumsum(counts)))
+    cost = [int(c) for c in lengths * below[1:]]
+    for _ in range(15):  # every end of the bucket before is tried
+        cost = [
+            min([cost[j]] + [cost[i] + int(lengths[j] * (below[j + 1] - below[i + 1])) for i in range(j)])
+            for j in range(400)
+        ]
+    bounds, best = packing.boundaries(lengths, counts, 16)
+    assert best == cost[-1] and len(bounds) <= 16
+    assert best == sum(int(c) * min(b for b in bounds if b >= x) for x, c in zip(lengths, counts, strict=True))
+
+
+def test_rows_without_an_id_fill_many_shards(spark):
+    text = F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.lit("one of many rows"))
+    docs = spark.range(0, 6000, 1, 4).select(F.lit(None).cast("long").alias("doc_id"), text.alias("text"))
+    got = packing.pack(docs, shard_rows=500).groupBy("bucket", "shard").count().collect()
+    assert sum(r["count"] for r in got) == 6000 and max(r["count"] for r in got) < 700
 
 
 def test_batches_hold_every_word_once(docs):
