@@ -4,7 +4,7 @@ A line's shingles are the twelve characters from each of its characters on. Each
 shingles has its minimum as a signature value; three values are a band. Lines that share a band are
 clustered as near-duplicate documents are: compared on their whole shingle sets with a few centres,
 then wherever a prefix filter can't rule a pair out. One line of each component stays. Shingles of
-every place are too many for lambdas over arrays, so they are hashed in numpy.
+every place are too many for rows or lambdas over arrays, so they are hashed in numpy.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.llm.common import runs, stored, tasks_for, text_bytes
 from starmart.llm.components import cluster, crowded, with_ends
@@ -30,7 +31,6 @@ WIDTH = 12
 BANDS, ROWS = 12, 3
 # Bytes of lines hashed at once; small enough for a core's cache.
 CHUNK = 1 << 17
-_SHINGLE = r"(?s)(?=(.{12}|(?<!.).{1,11}(?!.)))."
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 _U = np.uint64
 # Every hash has its own constants, random 64-bit numbers; the factors are odd.
@@ -107,37 +107,51 @@ def bands(hashes: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
 
 
 def _signed(lines: DataFrame) -> DataFrame:
-    """``did, uid, at, k1, k2`` and the bands of lines, by column ``line``."""
-    names = ["did", "uid", "at", "k1", "k2", *[f"band{b}" for b in range(BANDS)]]
+    """``lines``, whose column ``line`` comes last, and the bands of each line."""
+    names = [f"band{b}" for b in range(BANDS)]
+    width = len(lines.columns)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = [np.zeros(0, np.uint64)] * 2
         for batch in batches:
-            data, offsets = text_bytes(batch.column(5))
+            data, offsets = text_bytes(batch.column(width - 1))
             for i, j in runs(offsets, CHUNK):
                 part = data[offsets[i] : offsets[j]]
                 found = bands(*shingles(part, offsets[i : j + 1] - offsets[i], powers))
-                columns = [batch.column(c).slice(i, j - i) for c in range(5)]
+                columns = [batch.column(c).slice(i, j - i) for c in range(width)]
                 columns += [pa.array(x.view(np.int64)) for x in found]
-                yield pa.RecordBatch.from_arrays(columns, names)
+                yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *names])
+
+    schema = T.StructType([*lines.schema, *[T.StructField(n, T.LongType()) for n in names]])
+    return lines.mapInArrow(sign, schema)
+
 
-    schema = "did long, uid long, at int, k1 long, k2 long, "
-    schema += ", ".join(f"{name} long" for name in names[5:])
-    return lines.select("did", "uid", "at", "k1", "k2", "line").mapInArrow(sign, schema)
+def _sets_of(column: pa.Array) -> list[np.ndarray]:
+    """The sets of a column of lines; those of a line that comes again are made once."""
+    coded = column.dictionary_encode()
+    sets = list(line_sets(coded.dictionary))
+    return [sets[k] for k in coded.indices.to_numpy()]
 
 
 def _confirm(percent: int):
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for x, y in zip(line_sets(batch.column(2)), line_sets(batch.column(3)), strict=True):
-                at = np.searchsorted(x, y)
-                at[at == len(x)] = 0
-                same = int((x[at] == y).sum())
-                good.append(100 * same >= percent * (len(x) + len(y) - same))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(good, pa.bool_())], ["a", "b", "linked"]
-            )
+            # rows whose lines are a megabyte together, as their sets are held at once
+            ends = text_bytes(batch.column(2))[1] + text_bytes(batch.column(3))[1]
+            for i, j in runs(ends, CHUNK * 8):
+                part = batch.slice(i, j - i)
+                good = []
+                for x, y in zip(_sets_of(part.column(2)), _sets_of(part.column(3)), strict=True):
+                    low, high = sorted((len(x), len(y)))
+                    same = 0
+                    if 100 * low >= percent * high:
+                        at = np.searchsorted(x, y)
+                        at[at == len(x)] = 0
+                        same = int((x[at] == y).sum())
+                    good.append(100 * same >= percent * (low + high - same))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(good, pa.bool_())], ["a", "b", "linked"]
+                )
 
     return confirm
 
@@ -148,21 +162,21 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     A null id counts as -1. Rows are told apart by id and text, ``uid`` is the hash of both; copies
     of one row are one document.
     """
-    names = [f"band{b}" for b in range(BANDS)]
-    signed = _signed(_with_keys(_lines(docs)))
-    distinct = signed.groupBy("k1", "k2").agg(
+    # the text of a line moves once: equal lines meet before they are signed
+    distinct = _with_keys(_lines(docs)).groupBy("k1", "k2").agg(
         F.min(F.struct("did", "at", "uid")).alias("first"),
         F.count("*").alias("n"),
-        *[F.min(b).alias(b) for b in names],
+        F.min("line").alias("line"),
     )
-    nodes = stored(distinct.withColumn("node", F.monotonically_increasing_id()), "lines")
+    distinct = distinct.withColumn("node", F.monotonically_increasing_id())
+    nodes = stored(_signed(distinct.select("node", "k1", "k2", "first", "n", "line")), "lines")
+    names = [f"band{b}" for b in range(BANDS)]
     buckets = nodes.select("node", F.explode(F.array(*names)).alias("bucket"))
     some = tasks_for(nodes.count(), TASK_LINES)
     shared = crowded(buckets, some)
 
-    ends = nodes.join(shared.select("node").distinct(), "node").select("node", "first.*")
-    texts = _lines(docs).join(ends, ["did", "uid", "at"]).select("node", "line")
-    texts = stored(texts.dropDuplicates(["node"]), "line-texts", some)
+    texts = nodes.select("node", "line").join(shared.select("node").distinct(), "node", "left_semi")
+    texts = stored(texts, "line-texts", some)
 
     def confirm(pairs: DataFrame) -> DataFrame:
         both = with_ends(pairs, texts.select("node", "line"))
