@@ -23,7 +23,11 @@ def _keyed(docs: DataFrame, digest: Column) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter, or in none of the languages that the labels teach."""
+    """Drop documents without a letter, or in none of the languages that the labels teach.
+
+    That drops null and empty texts. A null id or lang and repeated rows are kept as they are; texts
+    of any length are read whole; an empty table, or one without labels, gives no rows.
+    """
     model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
     judged = langid.predict(docs, model, docs.columns)
     good = (F.col("lang_pred") != langid.UND) & (F.col("score") >= MIN_SCORE)
@@ -31,22 +35,26 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts, keep the row with the largest id; of rows that repeat it, any one."""
+    """Of equal texts, keep the row with the largest id; of rows that repeat it, any one.
+
+    A null text equals an empty one, a null id is below all others; an empty table gives no rows.
+    """
     judged = exact.deduplicate(docs.select("doc_id", "text")).where("kept")
     keep = judged.select(
         F.coalesce("doc_id", F.lit(-1)).alias("did"), F.col("text_sha256").alias("digest")
     )
     rows = _keyed(docs, F.sha2(F.coalesce("text", F.lit("")), 256))
-    rows = rows.join(keep, ["did", "digest"], "left_semi")
-    # as the join has sorted the rows already, this moves and sorts nothing
-    nth = F.row_number().over(Window.partitionBy("did", "digest").orderBy("did"))
-    return rows.withColumn("nth", nth).where("nth = 1").select("row.*")
+    # rows that repeat an id and a text meet map-side, so that a third of the table may be one row
+    rows = rows.dropDuplicates(["did", "digest"])
+    return rows.join(keep, ["did", "digest"], "left_semi").select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near copies, the one with the smallest id.
 
-    Rows without an id stay unless they have the very words of a row with one.
+    A row without an id goes if it is linked to one that has one; groups of which no row has an id
+    stay whole. Null texts, and those without words, are linked with nothing and stay. An empty
+    table gives no rows.
     """
     judged = minhash.near_duplicates(docs.select("doc_id", "text"))
     keep = judged.where("kept or component_id is null").select(
@@ -57,13 +65,21 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Raise small sources: each row once, those of smaller sources up to twice."""
+    """Raise small sources: each row once, those of smaller sources up to twice.
+
+    A null source is a source of its own; a null text has no tokens; rows without an id are told
+    apart by their texts; rows that repeat id and text are drawn alike; an empty table gives no rows.
+    """
     mixed, _ = mixing.mix(docs, docs.columns)
     return mixed.select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every sequence in a batch of its length bucket."""
+    """Every sequence in a batch of its length bucket.
+
+    Nothing is dropped: a null or empty text is a sequence without tokens, a long one is cut into
+    several, repeated rows take a place each. An empty table gives no rows.
+    """
     return packing.pack(docs)
 
 
