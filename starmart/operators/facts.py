@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from starmart.functions.literals import wall_clock
 from starmart.operators.asof import valid_at
 from starmart.operators.dimensions import current
-from starmart.operators.joins import BROADCAST_ROWS, hot_keys, lookup_join
+from starmart.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, hot_keys, lookup_join, measured
 from starmart.session import at_once
 
 
@@ -55,12 +55,18 @@ class Balance:
 
 
 def balance(staged: DataFrame, lookups: Sequence[Lookup]) -> Balance:
-    """Count the dimensions and find the hot keys of those too large to broadcast.
+    """Measure the dimensions and find the hot keys of those too large to broadcast.
 
     Takes a pass over the key columns of ``staged``, which should be a stored table.
     """
-    sizes = at_once(lambda lk=lk: _versions(lk).count() for lk in lookups)
-    small = {lk.sk for lk, n in zip(lookups, sizes) if n <= BROADCAST_ROWS}
+    sizes = at_once(
+        lambda lk=lk: measured(_versions(lk).select(*[d for _, d in lk.on], lk.sk)) for lk in lookups
+    )
+    small = {
+        lk.sk
+        for lk, (n, size) in zip(lookups, sizes)
+        if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    }
     # Hot keys are found byte by byte; lookups by collation rely on AQE.
     large = [lk.staged_cols for lk in lookups if lk.sk not in small and not lk.collation]
     return Balance(frozenset(small), hot_keys(staged, large) if large else {})

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.literals import pick
-from starmart.operators.joins import BROADCAST_ROWS, lookup_join
+from starmart.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join, measured
 from starmart.operators.keys import assign_keys
 
 
@@ -36,8 +36,9 @@ def enrich_country(logs: DataFrame, geo: DataFrame, hot: Sequence[int] = ()) ->
 def indexed(values: DataFrame, order_cols: list[str]) -> tuple[DataFrame, int]:
     """``values`` numbered from 0 as ``_idx``, hinted for broadcast if short; and its length."""
     rows = assign_keys(values, "_idx", order_cols, start=0)
-    n = rows.count()
-    return (F.broadcast(rows) if n <= BROADCAST_ROWS else rows), n
+    n, size = measured(rows)
+    few = n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    return (F.broadcast(rows) if few else rows), n
 
 
 def assign_country(

@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 
 # Limit of the sketch function.
 _MOST_TRACKED = 1_000_000
-# A lookup of at most this many rows of key and surrogate key is broadcast: some 10 MB.
+# A lookup of at most this many rows of key and surrogate key is broadcast, if its values are
+# measured to have no more than so many bytes.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
 def partitions(frame: DataFrame) -> int:
@@ -21,6 +23,14 @@ def partitions(frame: DataFrame) -> int:
     return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def measured(frame: DataFrame) -> tuple[int, int]:
+    """Rows of ``frame``, and the bytes of their values written as text, eight more for each."""
+    each = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in frame.columns]
+    total = F.sum(reduce(lambda a, b: a + b, each).cast("long"))
+    rows, size = frame.agg(F.count(F.lit(1)), F.coalesce(total, F.lit(0))).first()
+    return rows, size
+
+
 def _family(kind: T.DataType) -> str:
     """Types of one family compare with each other as they are."""
     return "number" if isinstance(kind, T.NumericType) else kind.typeName().split("(")[0]

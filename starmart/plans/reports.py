@@ -106,11 +106,12 @@ def top_products_of_top_country(
         .select(buyer, "sk_country")
         .distinct()
     )
+    # counted per buyer and product first, so that what meets the customers is less than the fact
+    bought = orders.groupBy(buyer, "sk_product").agg(F.count("sk_product").alias("_n"))
     return (
-        orders.select(buyer, "sk_product")
-        .join(customers, buyer)
+        bought.join(customers, buyer)
         .groupBy("sk_product", "sk_country")
-        .agg(F.count("sk_product").alias("amount_sold"))
+        .agg(F.sum("_n").alias("amount_sold"))
         .join(current(dim_product).select("sk_product", "product_name"), "sk_product")
         .join(current(dim_country).select("sk_country", "country_name"), "sk_country")
         .orderBy(F.desc("amount_sold"), "product_name", "country_name", "sk_product")

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators.facts import Lookup, balance, fact_rejects, load_fact, replace_period, same
 from starmart.operators.geo import assign_country, enrich_country, unique_geo
-from starmart.operators.joins import hot_keys, lookup_join
+from starmart.operators.joins import hot_keys, lookup_join, measured
 
 DIM = "sk_c bigint, name string, start_date timestamp_ntz, end_date timestamp_ntz"
 
@@ -127,6 +127,17 @@ def test_balance_broadcasts_small_dimensions_and_spreads_the_rest(spark, skewed,
     assert plain.count() + rejects[0].count() == skewed.count()
 
 
+def test_few_wide_rows_are_not_broadcast(spark, skewed, monkeypatch):
+    short = dim_of(spark, (1, "hot", None, None), (2, "k1", None, None))
+    wide = dim_of(spark, (1, "hot", None, None), (2, "w" * 5000, None, None), (None, None, None, None))
+    wide = wide.withColumnRenamed("sk_c", "sk_o")
+    lookups = [Lookup(short, "sk_c", (("k", "name"),)), Lookup(wide, "sk_o", (("k", "name"),))]
+    monkeypatch.setattr("starmart.operators.facts.BROADCAST_BYTES", 4000)
+    assert balance(skewed, lookups).small == {"sk_c"}
+    assert measured(wide.select("name", "sk_o")) == (3, 3 * 16 + 3 + 5000 + 2)
+    assert measured(wide.filter(F.lit(False))) == (0, 0)
+
+
 def test_as_of_takes_the_version_of_the_day(spark):
     dim = dim_of(
         spark, (1, "a", "2020-01-01", "2021-01-01"), (2, "a", "2021-01-01", None)
