@@ -498,7 +498,10 @@ _oracle(
        agent, '"') as value
        from drawn join user_numbers u on u.no = user_no join agent_numbers a on a.no = agent_no""",
 )
-_oracle("spreadsheet_ingest", "select * from staged_leads")
+_oracle(
+    "spreadsheet_ingest",
+    "select *, strftime(contact_date, '%Y/%m') as folder from staged_leads",
+)
 
 # --- reports ----------------------------------------------------------------------------------
 

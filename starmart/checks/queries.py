@@ -36,9 +36,10 @@ from starmart.operators.synth import synth_weblogs
 from starmart.plans import pipelines as P
 from starmart.plans import reports as R
 from starmart.session import at_once, configure, scratch_path
-from starmart.sources.spreadsheet import parse_workbooks
+from starmart.sources.spreadsheet import read_spreadsheets
 from starmart.sources.store import Warehouse
 from starmart.sources.text import read_lookup_list, read_weblogs, write_text
+from starmart.sources.workbooks import write_spreadsheets
 from starmart.streaming.inbox import ingest_weblogs
 
 LOAD_1 = "2024-01-01 00:00:00"
@@ -640,9 +641,14 @@ def synth_weblog_lines(spark, sf_dir):
 
 @query
 def spreadsheet_ingest(spark, sf_dir):
-    """The leads, packed into workbooks and read back."""
-    rows = parse_workbooks(A.lead_workbooks(spark, sf_dir), S.STAGED_LEADS)
-    return rows.drop("source_file")
+    """The leads, written as workbooks into a folder a month and read back by a scan of the tree."""
+    tree = scratch_path(spark, "workbooks")
+    rows = A.leads(spark, sf_dir).select(*S.STAGED_LEADS.names)
+    month = F.date_format("contact_date", "yyyy/MM")
+    write_spreadsheets(rows.withColumn("month", month), tree, "month", book_rows=20_000)
+    read = read_spreadsheets(spark, tree, S.STAGED_LEADS)
+    folder = F.regexp_extract("source_file", r"/(\d{4}/\d{2})/[^/]+\.xlsx$", 1)
+    return read.select(*S.STAGED_LEADS.names, folder.alias("folder"))
 
 
 # --- reports ----------------------------------------------------------------------------------

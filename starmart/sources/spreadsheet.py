@@ -25,8 +25,13 @@ def _tag(element: ElementTree.Element) -> str:
     return element.tag.rsplit("}", 1)[-1]
 
 
+# How the file format writes characters that XML cannot hold.
+_CODE = re.compile("_x([0-9A-Fa-f]{4})_")
+
+
 def _text_of(element: ElementTree.Element) -> str:
-    return "".join(t.text or "" for t in element.iter() if _tag(t) == "t")
+    text = "".join(t.text or "" for t in element.iter() if _tag(t) == "t")
+    return _CODE.sub(lambda m: chr(int(m.group(1), 16)), text)
 
 
 def _column_number(ref: str) -> int:
