@@ -930,10 +930,15 @@ def _drop_as(spark, written: str, inbox: str, name: str) -> None:
 
 @query
 def report_views(spark, sf_dir):
-    """The report views, registered on a warehouse and read by name."""
-    wh = _loaded_orders(spark, sf_dir)
-    P.run_logs(wh, A.weblog_lines(spark, sf_dir), A.geo(spark, sf_dir), LOAD_2)
+    """The report views, registered before most loads and read by name after all, and `expire`."""
+    wh = _warehouse(spark)
+    src = A.order_system(spark, sf_dir)
+    P.run_orders(wh, _before_cutover(src), LOAD_1)
     R.register_reports(spark, wh, REPORT_YEAR)
+    P.run_orders(wh, src.replaced(products=A.renamed_products(spark, sf_dir)), LOAD_2)
+    P.run_logs(wh, A.weblog_lines(spark, sf_dir), A.geo(spark, sf_dir), LOAD_2)
+    for table in S.TABLES:
+        wh.expire(table)
     return spark.sql(
         f"""
         select 'sales' as report, cast(month as string) as item,

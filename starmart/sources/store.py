@@ -8,8 +8,10 @@ overwrites what it reads. Adding rows writes only the new rows.
 from __future__ import annotations
 
 import json
+import threading
 import uuid
-from collections.abc import Collection, Iterable
+import warnings
+from collections.abc import Callable, Collection, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,9 @@ _SLICES = {
     ),
     "is_readable": (lambda name, slots: F.col("time").isNotNull().cast("int"), False),
 }
+# What follows the tables of a root, by name: the tables it depends on and how it is made again.
+_FOLLOWERS: dict[str, dict[str, tuple[frozenset[str], Callable[[Warehouse], None]]]] = {}
+_FOLLOWING = threading.RLock()
 _WHOLE = ""
 _OPEN, _CLOSED = "open-", "closed-"
 KEY_SLOTS = 16
@@ -70,6 +75,29 @@ class Warehouse:
             return empty_frame(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{name}/{p}" for p in paths])
 
+    def follow(
+        self, name: str, tables: Iterable[str], remake: Callable[[Warehouse], None]
+    ) -> None:
+        """Call ``remake`` now, and again whenever this process publishes a state of ``tables``.
+
+        That holds for every ``Warehouse`` of this root; the same ``name`` replaces what followed
+        before. States published by other processes are taken over by ``catch_up``.
+        """
+        with _FOLLOWING:
+            remake(self)
+            _FOLLOWERS.setdefault(self.root, {})[name] = (frozenset(tables), remake)
+
+    def unfollow(self, name: str) -> None:
+        with _FOLLOWING:
+            _FOLLOWERS.get(self.root, {}).pop(name, None)
+
+    def catch_up(self, table: str | None = None) -> None:
+        """Make again what follows ``table``, or any table of this root."""
+        with _FOLLOWING:
+            for tables, remake in list(_FOLLOWERS.get(self.root, {}).values()):
+                if table is None or table in tables:
+                    remake(self)
+
     def version(self, name: str) -> int:
         """The number of the current state; 0 for a table never written."""
         return self._state(name)["version"]
@@ -155,8 +183,10 @@ class Warehouse:
     def expire(self, name: str, keep: int = 1) -> None:
         """Remove the files that none of the newest ``keep`` states uses.
 
-        Readers of older states lose them; not to be called while the table is being loaded.
+        Readers of older states lose them; not to be called while the table is being loaded. What
+        follows the table is brought to the newest state first.
         """
+        self.catch_up(name)
         lists = self._lists(name)
         if not lists:
             return
@@ -237,4 +267,9 @@ class Warehouse:
         out.close()
         if self._fs.exists(final) or not self._fs.rename(draft, final):
             raise RuntimeError(f"{name}: another writer published version {state['version']}")
+        try:
+            self.catch_up(name)
+        except Exception as trouble:
+            # The rows are loaded; a caller that took this for a failed load would add them twice.
+            warnings.warn(f"{name}: what follows it keeps its old state ({trouble})", stacklevel=2)
 
