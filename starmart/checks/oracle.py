@@ -6,7 +6,7 @@ import re
 
 from starmart import schemas as S
 from starmart.adapters import AGENTS, HOSTS, ITEM_BASE
-from starmart.checks.queries import CUTOVER, LOAD_1, LOAD_2, LOAD_3, MID_JANUARY, PERIOD
+from starmart.checks.queries import CUTOVER, DRIFT_MONTHS, LOAD_1, LOAD_2, LOAD_3, MID_JANUARY, PERIOD
 from starmart.checks.queries import REPORT_YEAR as YEAR
 
 # The line format without possessive quantifiers, which RE2 lacks.
@@ -575,6 +575,19 @@ _oracle(
     """select strftime(order_date, '%Y-%m') as month, count(*) as n,
        cast(sum(order_price) as decimal(28,2)) as amount from staged_all group by 1""",
 )
+_COMES, _MOVED, _GOES = (f"month = '{m}'" for m in DRIFT_MONTHS)
+_oracle(
+    "pipeline_reconcile",
+    f"""select month, n, n_moved, amount, case when drifted then n end as n_source,
+        case when drifted then
+         case when {_COMES} then n - hits when {_GOES} then n + hits else n end end as n_loaded,
+        false as differs
+        from (select *, hits > 0 and ({_COMES} or {_MOVED} or {_GOES}) as drifted from
+         (select strftime(order_date, '%Y-%m') as month, count(*) as n,
+          count(*) filter (hour(order_date) <> 0) as n_moved,
+          cast(sum(order_price) as decimal(28,2)) as amount,
+          count(*) filter (order_id % 3 = 0) as hits from staged_all group by 1))""",
+)
 _oracle("pipeline_orders_dim", "select * from dim_product_two")
 _SQL["fact_orders_as_of_spread"] = _SQL["fact_orders_as_of"]
 _oracle(

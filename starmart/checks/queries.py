@@ -49,6 +49,7 @@ LOAD_3 = "2024-03-01 00:00:00"
 CUTOVER = "1999-01-01 00:00:00"
 PERIOD = ("2000-01-15 00:00:00", "2000-03-10 00:00:00")
 REPORT_YEAR = 2000
+DRIFT_MONTHS = ("1997-03", "1998-07", "2000-11")
 MID_JANUARY = "2024-01-15 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -739,6 +740,42 @@ def pipeline_orders_lookback(spark, sf_dir):
     ).agg(F.count("*").alias("n"), F.sum("price").cast("decimal(28,2)").alias("amount"))
 
 
+def _drifted(src):
+    """The orders as they once were: some still to come, some dated otherwise, some since gone."""
+    orders, month = src["orders"], F.date_format("order_date", "yyyy-MM")
+    some = F.col("order_id") % 3 == 0
+    late, moved, gone = (some & (month == m) for m in DRIFT_MONTHS)
+    moment = F.when(moved, F.expr("order_date + interval 1 hour")).otherwise(F.col("order_date"))
+    once = orders.filter(~late).withColumn("order_date", moment)
+    extra = orders.filter(gone).withColumn("order_id", -F.col("order_id"))
+    return src.replaced(orders=once.unionByName(extra))
+
+
+@query
+def pipeline_reconcile(spark, sf_dir):
+    """Months whose orders came late, changed or went: found by their sums and loaded again."""
+    wh = _warehouse(spark)
+    src = A.order_system(spark, sf_dir)
+    P.run_orders(wh, _drifted(src), LOAD_1)
+    found = _stored(P.months_to_reload(wh, src), "months")
+    P.reconcile_orders(wh, src, LOAD_2)
+    loaded = wh.table("fact_orders").groupBy(
+        F.date_format("order_date", "yyyy-MM").alias("month")
+    )
+    totals = loaded.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.hour("order_date") != 0).alias("n_moved"),
+        F.sum("price").cast("decimal(28,2)").alias("amount"),
+    )
+    still = P.months_to_reload(wh, src).select("month", F.lit(True).alias("_still"))
+    return (
+        totals.join(found, "month", "left")
+        .join(still, "month", "left")
+        .select("*", F.coalesce("_still", F.lit(False)).alias("differs"))
+        .drop("_still")
+    )
+
+
 @query
 def pipeline_orders_rejects(spark, sf_dir):
     wh = _warehouse(spark)

@@ -34,6 +34,7 @@ from starmart.operators.facts import (
 )
 from starmart.operators.geo import assign_country, enrich_country, unique_geo
 from starmart.operators.joins import BROADCAST_ROWS
+from starmart.operators.sums import added, differing, month_sums
 from starmart.session import at_once
 from starmart.sources.store import Warehouse
 
@@ -212,6 +213,25 @@ def loaded_up_to(wh: Warehouse, lookback: timedelta | None = None) -> datetime |
     return high_water(wh.table("fact_orders", {months[-1]}), lookback=lookback)
 
 
+def _note_sums(
+    wh: Warehouse, staged: DataFrame, exchanged: Sequence[str] = (), unknown: Sequence[str] = ()
+) -> None:
+    """Note the sums of what was loaded, after the fact: a load that fails between leaves months
+    that differ from the source and are loaded again, never months wrongly taken for the same.
+
+    ``exchanged`` names months whose orders were all loaded anew, ``unknown`` those of which a
+    part was: their sum is not known, so they have none. A table of one row a month.
+    """
+    gone = [*exchanged, *unknown]
+    fresh = month_sums(staged)
+    if unknown:
+        fresh = fresh.filter(~F.col("month").isin(*unknown))
+    known = wh.table("sums_orders")
+    if gone:
+        known = known.filter(~F.col("month").isin(*gone))
+    wh.overwrite("sums_orders", added(known, fresh).coalesce(1))
+
+
 def run_orders(
     wh: Warehouse,
     src: Mapping[str, DataFrame],
@@ -239,11 +259,14 @@ def run_orders(
     rows = _order_fact_rows(wh, staged, company_on, as_of, collation)
     if lookback is None or mark is None:
         wh.append("fact_orders", rows)
+        _note_sums(wh, staged)
         return
     month = str(mark)[:7]
     touched = [s for s in _months(wh) if s[len(_MONTH):] >= month]
     kept = wh.table("fact_orders", touched).filter(F.col("order_date") <= wall_clock(mark))
     wh.replace_slices("fact_orders", kept.unionByName(rows), touched)
+    later = [r["month"] for r in wh.table("sums_orders").select("month").collect()]
+    _note_sums(wh, staged, [m for m in later if m > month], [month])
 
 
 def order_rejects(
@@ -291,6 +314,69 @@ def reprocess_orders(
     kept = outside_period(wh.table("fact_orders", touched), "order_date", start, end)
     reloaded = _order_fact_rows(wh, staged, company_on, as_of, collation)
     wh.replace_slices("fact_orders", kept.unionByName(reloaded), touched)
+    begins, ends = _moment(start), _moment(end)
+    cut = {first} if begins > _first(first) else set()
+    if ends < _last(last):
+        cut.add(last)
+    # of one row a month
+    noted = [r["month"] for r in wh.table("sums_orders").select("month").collect()]
+    _note_sums(wh, staged, [m for m in noted if first <= m <= last], sorted(cut))
+
+
+def _moment(value: datetime | str) -> datetime:
+    return value if isinstance(value, datetime) else datetime.fromisoformat(value)
+
+
+def _first(month: str) -> datetime:
+    return datetime.fromisoformat(f"{month}-01")
+
+
+def _next(month: str) -> str:
+    return str(_first(month) + timedelta(days=31))[:7]
+
+
+def _last(month: str) -> datetime:
+    """The last moment of a month that a timestamp can tell."""
+    return _first(_next(month)) - timedelta(microseconds=1)
+
+
+def months_to_reload(
+    wh: Warehouse, src: Mapping[str, DataFrame], match_company: bool = False
+) -> DataFrame:
+    """Months in which the source no longer has the orders that were loaded.
+
+    ``month, n_source, n_loaded``: orders came late, changed (also by their item's price or
+    supplier) or went. The source is extracted and summed up by month; of what was loaded only the
+    noted sums are read, no fact and no staged row. Newer orders, not loaded yet, count as
+    differences too; so do months of which a look-back or a period exchanged a part, whose sum isn't
+    known. Names aren't compared: that they change is the dimensions' matter.
+    """
+    rows = extract_orders(src, match_company=match_company)
+    return differing(month_sums(rows), wh.table("sums_orders"))
+
+
+def reconcile_orders(
+    wh: Warehouse,
+    src: Mapping[str, DataFrame],
+    load_ts: datetime | str,
+    match_company: bool = False,
+    **options,
+) -> list[str]:
+    """Load again the months that differ from the source, and name them.
+
+    Neighbouring months are one period of ``reprocess_orders``, which takes the other ``options``.
+    The driver holds names of months only.
+    """
+    found = months_to_reload(wh, src, match_company).select("month").collect()
+    months = sorted(r["month"] for r in found)
+    start = None
+    for month, following in zip(months, [*months[1:], None]):
+        start = start or month
+        if following != _next(month):
+            first, last = str(_first(start)), str(_last(month))
+            reprocess_orders(wh, src, first, last, load_ts, match_company=match_company, **options)
+            start = None
+    return months
 
 
 def _stage(wh: Warehouse, name: str, rows: DataFrame, batch) -> bool:

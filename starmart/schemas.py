@@ -18,6 +18,7 @@ _TYPES = {
     "date": T.DateType(),
     "timestamp_ntz": T.TimestampNTZType(),
     "money": MONEY,
+    "checksum": T.DecimalType(38, 0),
 }
 
 
@@ -161,6 +162,8 @@ FACT_LEADS = _struct(
     "contact_date timestamp_ntz, sk_company bigint, sk_contact bigint, sk_leadsource bigint,"
     " sk_status bigint"
 )
+# What is loaded, by month: compared with the source to find months to load again.
+ORDER_SUMS = _struct("month string, orders bigint, checksum checksum")
 
 # Every table of the warehouse: schema and, where it is stored in slices, the slice column.
 TABLES = {
@@ -169,6 +172,7 @@ TABLES = {
     "stg_logs": (STORED_LOGS, "is_readable"),
     "stg_leads": (STAGED_LEADS, None),
     "fact_orders": (FACT_ORDERS, "order_month"),
+    "sums_orders": (ORDER_SUMS, None),
     "fact_logs": (FACT_LOGS, None),
     "fact_leads": (FACT_LEADS, None),
     **{
