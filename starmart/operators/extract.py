@@ -117,8 +117,9 @@ def extract_orders(
     than ``high_water`` (all, when there is none). The price is the company list price if there
     is one, else the supplier's. The list is matched by item only unless ``match_company``.
 
-    The fact side is shuffled twice: by customer and by catalog item. The item's supplier and
-    product are joined on the smaller catalog side first, and both price lists share the item's
+    The fact side is shuffled twice: by catalog item, and then by customer, so that a customer's
+    rows are stored together and their attributes are told apart where they are. The item's product
+    and supplier are joined on the catalog side first, and both price lists share the item's
     partitioning. With a bound on the date both lists are first reduced to the items ordered, so
     that an increment doesn't move the catalog through the joins with suppliers and products. Hot
     keys are left to AQE, or spread if ``hot`` names them (``hot_order_keys``).
@@ -149,8 +150,8 @@ def extract_orders(
         .select(
             F.col("suppliers_catalog_id").alias("_item"), "supplier_id", "product_id", "price"
         )
-        .join(suppliers, "supplier_id")
         .join(products, "product_id")
+        .join(suppliers, "supplier_id")
     )
     list_prices = listed("companies_catalog").select(
         F.col("suppliers_catalog_id").alias("_list_item"),
@@ -161,12 +162,8 @@ def extract_orders(
     if match_company:
         by_list.append(("CUIT", "_list_cuit"))
 
-    rows = lookup_join(orders, companies, [("CUIT", "_cuit")], hot=hot.get(("CUIT",), ()))
-    rows = lookup_join(
-        rows, customers, [("customer_id", "_customer")], hot=hot.get(("customer_id",), ())
-    )
     rows = lookup_join(
-        rows,
+        orders,
         items,
         [("suppliers_catalog_id", "_item")],
         hot=hot.get(("suppliers_catalog_id",), ()),
@@ -174,6 +171,10 @@ def extract_orders(
     rows = lookup_join(
         rows, list_prices, by_list, "left", hot.get(tuple(f for f, _ in by_list), ())
     )
+    rows = lookup_join(rows, companies, [("CUIT", "_cuit")], hot=hot.get(("CUIT",), ()))
+    rows = lookup_join(
+        rows, customers, [("customer_id", "_customer")], hot=hot.get(("customer_id",), ())
+    )
     return rows.select(
         "order_id",
         "order_date",
