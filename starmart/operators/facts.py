@@ -5,14 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.literals import wall_clock
 from starmart.operators.asof import valid_at
-from starmart.operators.dimensions import current
-from starmart.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, hot_keys, lookup_join, measured
+from starmart.operators.dimensions import current, staged_values
+from starmart.operators.joins import (
+    BROADCAST_BYTES,
+    BROADCAST_KEYS,
+    BROADCAST_ROWS,
+    hot_keys,
+    lookup_join,
+    measured,
+)
 from starmart.session import at_once
 
 
@@ -100,6 +108,19 @@ def _looked_up(
         pairs.append((left, f"_d{n}_{i}"))
     side, valid = _versions(lookup).select(*keys, lookup.sk), None
     hot = () if lookup.collation else how.hot.get(lookup.staged_cols, ())
+    if lookup.as_of and found_only and lookup.sk in how.small and not lookup.collation:
+        # one row a key, so that overlapping versions find a row once
+        span = F.struct("start_date", "end_date")
+        spans = _versions(lookup).select(*keys, span.alias("_span")).groupBy(*[k for _, k in pairs])
+        side = F.broadcast(spans.agg(F.collect_list("_span").alias(f"_spans{n}")))
+        joined = lookup_join(rows, side, pairs, "left", hot)
+        at = F.col(lookup.as_of)
+        hit = F.exists(
+            f"_spans{n}",
+            lambda v: (v["start_date"] <= at) & (v["end_date"].isNull() | (at < v["end_date"])),
+        )
+        joined = joined.withColumn(f"_hit{n}", F.when(hit, F.lit(True)))
+        return joined.drop(*[k for _, k in pairs], f"_spans{n}")
     if lookup.as_of and (found_only or lookup.sk not in how.small):
         side = _versions(lookup).select(*keys, lookup.sk, "start_date", "end_date")
         merged = valid_at(rows, side, pairs, lookup.as_of, lookup.sk, hot)
@@ -150,14 +171,46 @@ def load_fact(
     return rows.selectExpr(*columns)
 
 
+def _by_key(lookup: Lookup) -> bool:
+    """Whether the key alone, compared byte by byte, decides if a row is found."""
+    return not lookup.as_of and not lookup.collation
+
+
+def _absent(staged: DataFrame, lookup: Lookup) -> DataFrame | None:
+    """The distinct staged keys that no open version has; None if they are too many to broadcast."""
+    keys = staged.select(*lookup.staged_cols).dropna().distinct()
+    known = _versions(lookup).select(*[F.col(d).alias(f"_d{i}") for i, (_, d) in enumerate(lookup.on)])
+    pairs = [(s, f"_d{i}") for i, s in enumerate(lookup.staged_cols)]
+    absent = staged_values(lookup_join(keys, known, pairs, "left_anti"), lookup.staged_cols)
+    n, size = measured(absent)
+    return absent if n <= BROADCAST_KEYS and size <= BROADCAST_BYTES else None
+
+
+def _flagged(rows: DataFrame, lookup: Lookup, n: int, absent: DataFrame) -> DataFrame:
+    """``rows`` with ``_hit{n}``, true where the key is neither NULL nor among the ``absent``."""
+    names = [f"_d{n}_{i}" for i in range(len(lookup.on))]
+    side = F.broadcast(absent.toDF(*names).withColumn(f"_absent{n}", F.lit(True)))
+    joined = lookup_join(rows, side, list(zip(lookup.staged_cols, names)), "left")
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in lookup.staged_cols])
+    hit = F.when(whole & F.col(f"_absent{n}").isNull(), F.lit(True))
+    return joined.withColumn(f"_hit{n}", hit).drop(*names, f"_absent{n}")
+
+
 def fact_rejects(
     staged: DataFrame, lookups: Sequence[Lookup], how: Balance | None = None
 ) -> DataFrame:
-    """The staged rows ``load_fact`` leaves out, with ``missing`` = first dimension not found."""
-    how = how or Balance()
+    """The staged rows ``load_fact`` leaves out, with ``missing`` = first dimension not found.
+
+    With ``how`` the staged keys that a large dimension lacks are found first, on the key columns
+    alone; where they are few enough to broadcast, the staged rows meet them and aren't shuffled.
+    """
     rows = staged
-    for n, lk in _in_join_order(lookups, how):
-        rows = _looked_up(rows, lk, n, "left", how, found_only=True)
+    for n, lk in _in_join_order(lookups, how or Balance()):
+        absent = _absent(staged, lk) if how and _by_key(lk) and lk.sk not in how.small else None
+        if absent is None:
+            rows = _looked_up(rows, lk, n, "left", how or Balance(), found_only=True)
+        else:
+            rows = _flagged(rows, lk, n, absent)
     missing = F.coalesce(
         *[F.when(F.col(f"_hit{n}").isNull(), lk.label) for n, lk in enumerate(lookups)]
     )

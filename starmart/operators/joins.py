@@ -16,6 +16,8 @@ _MOST_TRACKED = 1_000_000
 # measured to have no more than so many bytes.
 BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 << 20
+# Keys alone are broadcast up to this many, by the same bytes.
+BROADCAST_KEYS = 1_000_000
 
 
 def partitions(frame: DataFrame) -> int:

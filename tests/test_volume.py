@@ -3,11 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart import adapters as A
 from starmart.operators.extract import extract_orders
+from starmart.operators.facts import Balance, Lookup, fact_rejects, same
 
-from test_plans import no_broadcast, plan
+from test_plans import exchanges, no_broadcast, plan
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,3 +38,28 @@ def test_customers_and_companies_join_after_the_item(extract_plan):
     assert "full_name" not in by_item and "company_name" not in by_item
     (by_customer,) = [cols for cols, key in blocks if key == "customer_id"]
     assert "product_name" in by_customer and "full_name" not in by_customer
+
+
+def staged_rows(spark):
+    rows = [(i, i % 10 if i % 7 else None, f"text {i}") for i in range(100)]
+    return spark.createDataFrame(rows, "id int, k bigint, more string")
+
+
+def versions(spark):
+    ends = F.when(F.col("k") == 4, F.lit("2024-01-01")).cast("timestamp_ntz")
+    known = spark.range(8).select(F.col("id").alias("k"), (F.col("id") + 50).alias("sk_d"))
+    return known.withColumn("end_date", ends)
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_rejects_of_a_large_dimension_are_found_by_their_keys(spark, monkeypatch, few):
+    """NULL keys, closed versions and unknown keys are rejected; the rows themselves stay put."""
+    if not few:
+        monkeypatch.setattr("starmart.operators.facts.BROADCAST_KEYS", 1)
+    staged, lookup = staged_rows(spark), Lookup(versions(spark), "sk_d", same("k"))
+    found = fact_rejects(staged, [lookup], Balance())
+    want = [r["id"] for r in staged.collect() if r["k"] is None or r["k"] in (4, 8, 9)]
+    assert sorted(r["id"] for r in found.collect()) == want
+    assert found.columns == [*staged.columns, "missing"]
+    with no_broadcast(spark):
+        assert (exchanges(plan(fact_rejects(staged, [lookup], Balance()))) == 0) == few
