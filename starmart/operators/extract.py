@@ -28,12 +28,13 @@ def high_water(
     return newest - lookback if newest is not None and lookback else newest
 
 
-def _in_scope(
+def orders_in_scope(
     orders: DataFrame,
-    high_water: datetime | str | None,
-    start: datetime | str | None,
-    end: datetime | str | None,
+    high_water: datetime | str | None = None,
+    start: datetime | str | None = None,
+    end: datetime | str | None = None,
 ) -> DataFrame:
+    """The orders an extract takes, with the columns it reads."""
     date = F.col("order_date")
     if start is not None and end is not None:
         wanted = date.between(wall_clock(start), wall_clock(end))
@@ -55,7 +56,7 @@ def hot_order_keys(
     """The hot keys of the orders an extract takes, for its ``hot``; reads the orders once more."""
     keys = [("CUIT",), ("customer_id",), ("suppliers_catalog_id",)]
     keys.append(("suppliers_catalog_id", "CUIT"))
-    return hot_keys(_in_scope(src["orders"], high_water, start, end), keys)
+    return hot_keys(orders_in_scope(src["orders"], high_water, start, end), keys)
 
 
 def extract_rejects(
@@ -89,7 +90,7 @@ def extract_rejects(
         # of the entries whose supplier is known, as the extract needs both
         F.max(F.col("_supplier") & F.col("_product")).alias("_product"),
     )
-    rows = _in_scope(src["orders"], high_water, start, end)
+    rows = orders_in_scope(src["orders"], high_water, start, end)
     columns = rows.columns
     sides = [
         (known("companies", "CUIT", "_c", "_company"), "CUIT", "_c"),
@@ -125,7 +126,7 @@ def extract_orders(
     keys are left to AQE, or spread if ``hot`` names them (``hot_order_keys``).
     """
     hot = hot or {}
-    orders = _in_scope(src["orders"], high_water, start, end)
+    orders = orders_in_scope(src["orders"], high_water, start, end)
     bounded = high_water is not None or start is not None
     ordered = orders.select("suppliers_catalog_id").distinct() if bounded else None
 

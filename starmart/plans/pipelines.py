@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -23,7 +24,12 @@ from starmart.operators.dimensions import (
     staged_values,
 )
 from starmart.functions.literals import wall_clock
-from starmart.operators.extract import extract_orders, high_water, hot_order_keys
+from starmart.operators.extract import (
+    extract_orders,
+    high_water,
+    hot_order_keys,
+    orders_in_scope,
+)
 from starmart.operators.facts import (
     Lookup,
     balance,
@@ -232,6 +238,24 @@ def _note_sums(
     wh.overwrite("sums_orders", added(known, fresh).coalesce(1))
 
 
+def _taken_once(
+    wh: Warehouse, src: Mapping[str, DataFrame], mark=None, periods: Sequence[tuple] = ()
+) -> Mapping[str, DataFrame]:
+    """The source with the orders of a bounded extract stored, those after ``mark`` or of ``periods``.
+
+    Such an extract reads its orders for themselves, for the items ordered and for hot keys. A
+    source that joins or ships them does so once.
+    """
+    if periods:
+        taken = orders_in_scope(src["orders"], None, periods[0][0], periods[-1][1])
+        date = F.col("order_date")
+        within = [date.between(wall_clock(start), wall_clock(end)) for start, end in periods]
+        taken = taken.filter(reduce(lambda a, b: a | b, within))
+    else:
+        taken = orders_in_scope(src["orders"], mark)
+    return {**src, "orders": wh.overwrite("stg_source_orders", taken)}
+
+
 def run_orders(
     wh: Warehouse,
     src: Mapping[str, DataFrame],
@@ -252,6 +276,8 @@ def run_orders(
     to AQE. ``as_of`` and ``collation`` are those of ``order_lookups``.
     """
     mark = loaded_up_to(wh, lookback)
+    if mark is not None:
+        src = _taken_once(wh, src, mark)
     hot = hot_order_keys(src, mark) if find_hot else None
     rows = extract_orders(src, mark, match_company=match_company, hot=hot)
     staged = wh.overwrite("stg_orders", rows)
@@ -304,23 +330,42 @@ def reprocess_orders(
     Only the months the range touches are rewritten, and in one step: readers see the old or the
     new period, never a gap.
     """
+    _reprocess(
+        wh, src, [(start, end)], load_ts, company_on, match_company, dim_rows, scd2, find_hot, as_of,
+        collation,
+    )
+
+
+def _reprocess(
+    wh, src, periods, load_ts, company_on="company_name", match_company=False, dim_rows=None,
+    scd2=None, find_hot=False, as_of=None, collation=None,
+) -> None:
+    """``reprocess_orders`` of closed ranges that share no moment, in rising order, in one load."""
+    start, end = periods[0][0], periods[-1][1]
+    src = _taken_once(wh, src, periods=periods)
     hot = hot_order_keys(src, start=start, end=end) if find_hot else None
     rows = extract_orders(src, start=start, end=end, match_company=match_company, hot=hot)
     staged = wh.overwrite("stg_orders_reprocess", rows)
     members = staged if dim_rows is None else dim_rows
     _merge_order_dims(wh, members, load_ts, scd2 or {})
-    first, last = str(start)[:7], str(end)[:7]
-    touched = [s for s in wh.slices("fact_orders") if first <= s[len(_MONTH):] <= last]
-    kept = outside_period(wh.table("fact_orders", touched), "order_date", start, end)
+    within, cut = [(str(a)[:7], str(b)[:7]) for a, b in periods], set()
+    touched = [
+        s for s in wh.slices("fact_orders")
+        if any(first <= s[len(_MONTH):] <= last for first, last in within)
+    ]
+    kept = wh.table("fact_orders", touched)
+    for (start, end), (first, last) in zip(periods, within):
+        kept = outside_period(kept, "order_date", start, end)
+        if _moment(start) > _first(first):
+            cut.add(first)
+        if _moment(end) < _last(last):
+            cut.add(last)
     reloaded = _order_fact_rows(wh, staged, company_on, as_of, collation)
     wh.replace_slices("fact_orders", kept.unionByName(reloaded), touched)
-    begins, ends = _moment(start), _moment(end)
-    cut = {first} if begins > _first(first) else set()
-    if ends < _last(last):
-        cut.add(last)
     # of one row a month
     noted = [r["month"] for r in wh.table("sums_orders").select("month").collect()]
-    _note_sums(wh, staged, [m for m in noted if first <= m <= last], sorted(cut))
+    exchanged = [m for m in noted if any(first <= m <= last for first, last in within)]
+    _note_sums(wh, staged, exchanged, sorted(cut))
 
 
 def _moment(value: datetime | str) -> datetime:
@@ -364,18 +409,19 @@ def reconcile_orders(
 ) -> list[str]:
     """Load again the months that differ from the source, and name them.
 
-    Neighbouring months are one period of ``reprocess_orders``, which takes the other ``options``.
-    The driver holds names of months only.
+    They are loaded in one go, neighbouring months as one period, as ``reprocess_orders`` does with
+    the other ``options``. The driver holds names of months only.
     """
     found = months_to_reload(wh, src, match_company).select("month").collect()
     months = sorted(r["month"] for r in found)
-    start = None
+    periods, start = [], None
     for month, following in zip(months, [*months[1:], None]):
         start = start or month
         if following != _next(month):
-            first, last = str(_first(start)), str(_last(month))
-            reprocess_orders(wh, src, first, last, load_ts, match_company=match_company, **options)
+            periods.append((str(_first(start)), str(_last(month))))
             start = None
+    if periods:
+        _reprocess(wh, src, periods, load_ts, match_company=match_company, **options)
     return months
 
 

@@ -167,6 +167,7 @@ ORDER_SUMS = _struct("month string, orders bigint, checksum checksum")
 
 # Every table of the warehouse: schema and, where it is stored in slices, the slice column.
 TABLES = {
+    "stg_source_orders": (SOURCE_SCHEMAS["orders"], None),
     "stg_orders": (STAGED_ORDERS, None),
     "stg_orders_reprocess": (STAGED_ORDERS, None),
     "stg_logs": (STORED_LOGS, "is_readable"),

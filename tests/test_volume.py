@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from starmart import adapters as A
 from starmart.operators.extract import extract_orders
 from starmart.operators.facts import Balance, Lookup, fact_rejects, same
+from starmart.plans import pipelines as P
+from starmart.session import scratch_path
+from starmart.sources.store import Warehouse
 
 from test_plans import exchanges, no_broadcast, plan
 
@@ -63,3 +66,34 @@ def test_rejects_of_a_large_dimension_are_found_by_their_keys(spark, monkeypatch
     assert found.columns == [*staged.columns, "missing"]
     with no_broadcast(spark):
         assert (exchanges(plan(fact_rejects(staged, [lookup], Balance()))) == 0) == few
+
+
+def test_orders_of_a_bounded_load_are_read_once(spark):
+    """The source's own joins run once, not again for the items ordered and the hot keys."""
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    src = A.order_system(spark, SF)
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(rows):
+        for batch in rows:
+            read.add(batch.num_rows)
+            yield batch
+
+    early = src["orders"].filter("order_date < '1999-01-01'")
+    P.run_orders(wh, src.replaced(orders=early), "2024-01-01 00:00:00")
+    orders = src["orders"].mapInArrow(counted, src["orders"].schema)
+    P.run_orders(wh, src.replaced(orders=orders), "2024-02-01 00:00:00", find_hot=True)
+    assert read.value == src["orders"].count() == wh.table("fact_orders").count()
+
+
+def test_months_apart_are_loaded_again_in_one_go(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    src = A.order_system(spark, SF)
+    month = F.date_format("order_date", "yyyy-MM")
+    gone = ["1999-02", "1999-03", "2000-05"]
+    P.run_orders(wh, src.replaced(orders=src["orders"].filter(~month.isin(gone))), "2024-01-01 00:00:00")
+    loads = wh.version("fact_orders")
+    assert P.reconcile_orders(wh, src, "2024-02-01 00:00:00") == gone
+    assert wh.version("fact_orders") == loads + 1
+    assert wh.table("fact_orders").count() == src["orders"].count()
+    assert P.months_to_reload(wh, src).count() == 0
