@@ -55,8 +55,8 @@ def order_system(spark: SparkSession, sf_dir: str) -> SourceTables:
     An item is a (part, supplier) pair that was ordered; small parts (size up to 16) also have a
     company list price, one below the supplier's.
 
-    Orders get their customer's company before their lines. Pairs are gathered by part: they are made
-    distinct and priced in one exchange, which both catalogs share.
+    Pairs are gathered by part: they are made distinct and priced in one exchange, which both
+    catalogs share.
     """
     item = (F.col("l_partkey") * ITEM_BASE + F.col("l_suppkey")).alias("suppliers_catalog_id")
     cuit = (F.lit(CUIT_BASE).cast("bigint") + F.col("c_nationkey")).alias("CUIT")
@@ -69,13 +69,16 @@ def order_system(spark: SparkSession, sf_dir: str) -> SourceTables:
     pairs = pairs.filter("l_partkey is not null and l_suppkey is not null")
     pairs = pairs.repartition("l_partkey").distinct()
     priced = pairs.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    placed = read(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    orders = lineitem.join(placed, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
-        F.col("o_orderdate").alias("order_date"),
-        cuit,
-        F.col("o_custkey").alias("customer_id"),
-        item,
+    orders = (
+        lineitem.join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
+            F.col("o_orderdate").alias("order_date"),
+            cuit,
+            F.col("o_custkey").alias("customer_id"),
+            item,
+        )
     )
     return SourceTables(
         {
