@@ -49,14 +49,15 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def order_system(spark: SparkSession, sf_dir: str) -> SourceTables:
+def order_system(spark: SparkSession, sf_dir: str, lines_last: bool = False) -> SourceTables:
     """The seven order tables.
 
     An item is a (part, supplier) pair that was ordered; small parts (size up to 16) also have a
     company list price, one below the supplier's.
 
     Pairs are gathered by part: they are made distinct and priced in one exchange, which both
-    catalogs share.
+    catalogs share. With ``lines_last`` an order meets its customer before its lines do, once
+    instead of once a line; the rows are the same in another order.
     """
     item = (F.col("l_partkey") * ITEM_BASE + F.col("l_suppkey")).alias("suppliers_catalog_id")
     cuit = (F.lit(CUIT_BASE).cast("bigint") + F.col("c_nationkey")).alias("CUIT")
@@ -69,16 +70,18 @@ def order_system(spark: SparkSession, sf_dir: str) -> SourceTables:
     pairs = pairs.filter("l_partkey is not null and l_suppkey is not null")
     pairs = pairs.repartition("l_partkey").distinct()
     priced = pairs.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    orders = (
-        lineitem.join(read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
-            F.col("o_orderdate").alias("order_date"),
-            cuit,
-            F.col("o_custkey").alias("customer_id"),
-            item,
-        )
+    placed, of_customer = read(spark, sf_dir, "orders"), F.col("o_custkey") == F.col("c_custkey")
+    of_order = F.col("l_orderkey") == F.col("o_orderkey")
+    if lines_last:
+        lines = lineitem.join(placed.join(customer, of_customer), of_order)
+    else:
+        lines = lineitem.join(placed, of_order).join(customer, of_customer)
+    orders = lines.select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("order_id"),
+        F.col("o_orderdate").alias("order_date"),
+        cuit,
+        F.col("o_custkey").alias("customer_id"),
+        item,
     )
     return SourceTables(
         {

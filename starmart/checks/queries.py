@@ -19,6 +19,7 @@ from starmart.operators.extract import (
     extract_rejects,
     high_water,
     hot_order_keys,
+    small_tables,
 )
 from starmart.operators.facts import (
     Balance,
@@ -80,6 +81,15 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _order_system(spark, sf_dir):
+    return A.order_system(spark, sf_dir, lines_last=True)
+
+
+def _extracted(src, *args, **options) -> DataFrame:
+    """Orders of the source with the names of its small tables broadcast."""
+    return extract_orders(src, *args, small=small_tables(src), **options)
+
+
 def _before_cutover(src):
     early = src["orders"].filter(F.col("order_date") < wall_clock(CUTOVER))
     return src.replaced(orders=early)
@@ -107,7 +117,7 @@ def _first_members(spark: SparkSession, staged: DataFrame, d: S.Dimension) -> Da
 
 
 def _all_staged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stored(extract_orders(A.order_system(spark, sf_dir)), "stg_orders")
+    return _stored(_extracted(_order_system(spark, sf_dir)), "stg_orders")
 
 
 def _order_dims(spark: SparkSession, staged: DataFrame) -> dict[str, DataFrame]:
@@ -166,7 +176,7 @@ def _log_facts(spark: SparkSession, staged: DataFrame, dims: dict[str, DataFrame
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price and date of every order line: all a sales report needs of the fact."""
-    return extract_orders(A.order_system(spark, sf_dir)).select(
+    return _extracted(_order_system(spark, sf_dir)).select(
         F.col("order_price").alias("price"), "order_date"
     )
 
@@ -176,45 +186,45 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def extract_orders_full(spark, sf_dir):
-    return extract_orders(A.order_system(spark, sf_dir))
+    return _extracted(_order_system(spark, sf_dir))
 
 
 @query
 def extract_orders_incremental(spark, sf_dir):
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     loaded = _before_cutover(src)["orders"].select("order_date")
-    return extract_orders(src, high_water(loaded))
+    return _extracted(src, high_water(loaded))
 
 
 @query
 def extract_orders_lookback(spark, sf_dir):
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     loaded = _before_cutover(src)["orders"].select("order_date")
-    return extract_orders(src, high_water(loaded, lookback=timedelta(days=30)))
+    return _extracted(src, high_water(loaded, lookback=timedelta(days=30)))
 
 
 @query
 def extract_orders_range(spark, sf_dir):
-    return extract_orders(A.order_system(spark, sf_dir), start=PERIOD[0], end=PERIOD[1])
+    return _extracted(_order_system(spark, sf_dir), start=PERIOD[0], end=PERIOD[1])
 
 
 @query
 def extract_orders_match_company(spark, sf_dir):
-    return extract_orders(A.order_system(spark, sf_dir), match_company=True)
+    return _extracted(_order_system(spark, sf_dir), match_company=True)
 
 
 @query
 def extract_orders_spread(spark, sf_dir):
     """The full extract with the hot keys of the orders spread over slices."""
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     src = src.replaced(orders=_stored(src["orders"], "orders"))
-    return extract_orders(src, hot=hot_order_keys(src))
+    return _extracted(src, hot=hot_order_keys(src))
 
 
 @query
 def extract_orders_rejects(spark, sf_dir):
     """Orders whose rows some table of the order system lacks."""
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     lacking = {
         "companies": F.col("CUIT") % 5 != 0,
         "customers": F.col("customer_id") % 7 != 0,
@@ -236,33 +246,33 @@ def assign_customer_keys(spark, sf_dir):
 
 @query
 def scd2_company_initial(spark, sf_dir):
-    staged = extract_orders(A.order_system(spark, sf_dir))
+    staged = _extracted(_order_system(spark, sf_dir))
     return _first_load(spark, staged, S.COMPANY)
 
 
 @query
 def scd2_customer_initial(spark, sf_dir):
-    staged = extract_orders(A.order_system(spark, sf_dir))
+    staged = _extracted(_order_system(spark, sf_dir))
     return _first_load(spark, staged, S.CUSTOMER)
 
 
 @query
 def scd2_supplier_initial(spark, sf_dir):
-    staged = extract_orders(A.order_system(spark, sf_dir))
+    staged = _extracted(_order_system(spark, sf_dir))
     return _first_load(spark, staged, S.SUPPLIER)
 
 
 @query
 def scd2_product_initial(spark, sf_dir):
-    staged = extract_orders(A.order_system(spark, sf_dir))
+    staged = _extracted(_order_system(spark, sf_dir))
     return _first_load(spark, staged, S.PRODUCT)
 
 
 def _product_changed(spark, sf_dir):
-    src = A.order_system(spark, sf_dir)
-    dim = _first_load(spark, extract_orders(_before_cutover(src)), S.PRODUCT)
+    src = _order_system(spark, sf_dir)
+    dim = _first_load(spark, _extracted(_before_cutover(src)), S.PRODUCT)
     renamed = src.replaced(products=A.renamed_products(spark, sf_dir))
-    return _merged(dim, extract_orders(_since_cutover(renamed)), S.PRODUCT, LOAD_2)
+    return _merged(dim, _extracted(_since_cutover(renamed)), S.PRODUCT, LOAD_2)
 
 
 @query
@@ -272,7 +282,7 @@ def scd2_product_changed(spark, sf_dir):
 
 def _product_reverted(spark, sf_dir, compare):
     dim = _product_changed(spark, sf_dir)
-    staged = extract_orders(_since_cutover(A.order_system(spark, sf_dir)))
+    staged = _extracted(_since_cutover(_order_system(spark, sf_dir)))
     return _merged(dim, staged, S.PRODUCT, LOAD_3, compare=compare)
 
 
@@ -304,7 +314,7 @@ def scd2_null_key(spark, sf_dir):
 
 def _two_names(spark, sf_dir):
     """Every line of an order with its product, whose name changed at the cutover."""
-    staged = extract_orders(A.order_system(spark, sf_dir))
+    staged = _extracted(_order_system(spark, sf_dir))
     late = F.col("order_date") >= wall_clock(CUTOVER)
     name = F.when(late, F.concat("product_name", F.lit(" v2"))).otherwise(F.col("product_name"))
     return staged.select("product_id", name.alias("product_name"), "order_date")
@@ -549,11 +559,11 @@ def fact_leads_rejects(spark, sf_dir):
 @query
 def reprocess_orders_period(spark, sf_dir):
     """The fact of all orders, the period loaded again with company-matched prices."""
-    src = A.order_system(spark, sf_dir)
-    staged = _stored(extract_orders(src), "stg_orders")
+    src = _order_system(spark, sf_dir)
+    staged = _stored(_extracted(src), "stg_orders")
     lookups = P.order_lookups(_order_dims(spark, staged))
     fact = load_fact(staged, lookups, P.ORDER_FACT_COLUMNS)
-    again = extract_orders(src, start=PERIOD[0], end=PERIOD[1], match_company=True)
+    again = _extracted(src, start=PERIOD[0], end=PERIOD[1], match_company=True)
     reloaded = load_fact(again, lookups, P.ORDER_FACT_COLUMNS)
     return replace_period(fact, reloaded, "order_date", *PERIOD)
 
@@ -713,7 +723,7 @@ def _warehouse(spark: SparkSession) -> Warehouse:
 def _loaded_orders(spark, sf_dir) -> Warehouse:
     """Initial load, then the rest with renamed products."""
     wh = _warehouse(spark)
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     P.run_orders(wh, _before_cutover(src), LOAD_1)
     renamed = src.replaced(products=A.renamed_products(spark, sf_dir))
     P.run_orders(wh, renamed, LOAD_2, find_hot=True)
@@ -729,7 +739,7 @@ def pipeline_orders(spark, sf_dir):
 def pipeline_orders_lookback(spark, sf_dir):
     """Loaded without the late rows of the last days, then again with a look-back."""
     wh = _warehouse(spark)
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     early = _before_cutover(src)
     late = (F.col("order_date") > wall_clock("1998-12-12 00:00:00")) & (F.col("order_id") % 20 == 1)
     P.run_orders(wh, early.replaced(orders=early["orders"].filter(~late)), LOAD_1)
@@ -755,7 +765,7 @@ def _drifted(src):
 def pipeline_reconcile(spark, sf_dir):
     """Months whose orders came late, changed or went: found by their sums and loaded again."""
     wh = _warehouse(spark)
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     P.run_orders(wh, _drifted(src), LOAD_1)
     found = _stored(P.months_to_reload(wh, src), "months")
     P.reconcile_orders(wh, src, LOAD_2)
@@ -779,7 +789,7 @@ def pipeline_reconcile(spark, sf_dir):
 @query
 def pipeline_orders_rejects(spark, sf_dir):
     wh = _warehouse(spark)
-    P.run_orders(wh, A.order_system(spark, sf_dir), LOAD_1)
+    P.run_orders(wh, _order_system(spark, sf_dir), LOAD_1)
     names = ("dim_supplier", "dim_product")
     for name, dim in _lacking({n: wh.table(n) for n in names}).items():
         wh.overwrite(name, dim)
@@ -795,7 +805,7 @@ def pipeline_orders_dim(spark, sf_dir):
 def pipeline_orders_as_of(spark, sf_dir):
     """Two loads; orders find the versions of their own date, the newer ones those of the cutover."""
     wh = _warehouse(spark)
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     P.run_orders(wh, _before_cutover(src), "1950-01-01 00:00:00", as_of="order_date")
     renamed = src.replaced(products=A.renamed_products(spark, sf_dir))
     P.run_orders(wh, renamed, CUTOVER, as_of="order_date")
@@ -855,7 +865,7 @@ def members_by_slice_null_dim(spark, sf_dir):
 @query
 def pipeline_reprocess(spark, sf_dir):
     wh = _warehouse(spark)
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     P.run_orders(wh, src, LOAD_1)
     P.reprocess_orders(wh, src, *PERIOD, LOAD_2, match_company=True, find_hot=True)
     return wh.table("fact_orders")
@@ -863,7 +873,7 @@ def pipeline_reprocess(spark, sf_dir):
 
 def _with_customers_and_companies(spark, sf_dir) -> Warehouse:
     wh = _warehouse(spark)
-    staged = _stored(extract_orders(A.order_system(spark, sf_dir)), "stg_orders")
+    staged = _stored(_extracted(_order_system(spark, sf_dir)), "stg_orders")
     for d in (S.CUSTOMER, S.COMPANY):
         wh.overwrite(d.name, _first_load(spark, staged, d))
     return wh
@@ -969,7 +979,7 @@ def _drop_as(spark, written: str, inbox: str, name: str) -> None:
 def report_views(spark, sf_dir):
     """The report views, registered before most loads and read by name after all, and `expire`."""
     wh = _warehouse(spark)
-    src = A.order_system(spark, sf_dir)
+    src = _order_system(spark, sf_dir)
     P.run_orders(wh, _before_cutover(src), LOAD_1)
     R.register_reports(spark, wh, REPORT_YEAR)
     P.run_orders(wh, src.replaced(products=A.renamed_products(spark, sf_dir)), LOAD_2)

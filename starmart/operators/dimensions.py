@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.literals import wall_clock
-from starmart.operators.joins import BROADCAST_ROWS
+from starmart.operators.joins import FEW_VALUES
 from starmart.operators.keys import assign_keys, next_key
 from starmart.session import shared_dir
 
@@ -37,7 +37,7 @@ def among(known: DataFrame, values: DataFrame, cols: Sequence[str], n: int) -> D
 
     Few values are broadcast, so that what they leave out is not moved; many change nothing.
     """
-    if n > BROADCAST_ROWS:
+    if n > FEW_VALUES:
         return known
     named = values.select(*[F.col(c).alias(f"_v{i}") for i, c in enumerate(cols)]).distinct()
     match = [known[c].eqNullSafe(named[f"_v{i}"]) for i, c in enumerate(cols)]

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.functions.literals import wall_clock
-from starmart.operators.joins import hot_keys, lookup_join
+from starmart.operators.joins import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
+    hot_keys,
+    lookup_join,
+    measured,
+)
 from starmart.schemas import MONEY
+from starmart.session import at_once
 
 # Lower bound used while the fact is empty.
 BEGINNING = "1950-01-01 00:00:00"
@@ -59,6 +66,15 @@ def hot_order_keys(
     return hot_keys(orders_in_scope(src["orders"], high_water, start, end), keys)
 
 
+def small_tables(src: Mapping[str, DataFrame]) -> frozenset[str]:
+    """Which of the companies and suppliers have few enough names to broadcast, for ``small``."""
+    keys = {"companies": "CUIT", "suppliers": "supplier_id"}
+    sizes = at_once(lambda t=t, k=k: measured(src[t].select(k, "name")) for t, k in keys.items())
+    return frozenset(
+        t for t, (n, size) in zip(keys, sizes) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+    )
+
+
 def extract_rejects(
     src: Mapping[str, DataFrame],
     high_water: datetime | str | None = None,
@@ -111,6 +127,7 @@ def extract_orders(
     end: datetime | str | None = None,
     match_company: bool = False,
     hot: Mapping[tuple[str, ...], Sequence[int]] | None = None,
+    small: Collection[str] = (),
 ) -> DataFrame:
     """Flatten the seven order tables into one staged row per order line.
 
@@ -121,19 +138,15 @@ def extract_orders(
     The fact side is shuffled twice: by catalog item, and then by customer, so that a customer's
     rows are stored together and their attributes are told apart where they are. The item's product
     and supplier are joined on the catalog side first, and both price lists share the item's
-    partitioning. With a bound on the date both lists are first reduced to the items ordered, so
-    that an increment doesn't move the catalog through the joins with suppliers and products. Hot
-    keys are left to AQE, or spread if ``hot`` names them (``hot_order_keys``).
+    partitioning. With a bound on the date the catalog meets the orders without names, so that an
+    increment doesn't move it through the joins with suppliers and products; the order lines go
+    there instead. Of the tables named in ``small`` (``small_tables``) the names are broadcast to
+    the rows at the end, so that no shuffle carries them. Hot keys are left to AQE, or spread if
+    ``hot`` names them (``hot_order_keys``).
     """
     hot = hot or {}
     orders = orders_in_scope(src["orders"], high_water, start, end)
     bounded = high_water is not None or start is not None
-    ordered = orders.select("suppliers_catalog_id").distinct() if bounded else None
-
-    def listed(table: str) -> DataFrame:
-        rows = src[table]
-        return rows.join(ordered, "suppliers_catalog_id", "left_semi") if bounded else rows
-
     companies = src["companies"].select(
         F.col("CUIT").alias("_cuit"), F.col("name").alias("company_name")
     )
@@ -144,17 +157,24 @@ def extract_orders(
         "date_of_birth",
         "username",
     )
-    suppliers = src["suppliers"].select("supplier_id", F.col("name").alias("supplier_name"))
-    products = src["products"].select("product_id", F.col("name").alias("product_name"))
-    items = (
-        listed("suppliers_catalog")
-        .select(
-            F.col("suppliers_catalog_id").alias("_item"), "supplier_id", "product_id", "price"
-        )
-        .join(products, "product_id")
-        .join(suppliers, "supplier_id")
+    suppliers = src["suppliers"].select(
+        F.col("supplier_id").alias("_supplier"), F.col("name").alias("supplier_name")
+    )
+    products = src["products"].select(
+        F.col("product_id").alias("_product"), F.col("name").alias("product_name")
+    )
+
+    def with_names(rows: DataFrame) -> DataFrame:
+        rows = lookup_join(rows, products, [("product_id", "_product")])
+        return rows if "suppliers" in small else lookup_join(rows, suppliers, by_supplier)
+
+    by_supplier, by_company = [("supplier_id", "_supplier")], [("CUIT", "_cuit")]
+    items = src["suppliers_catalog"].select(
+        F.col("suppliers_catalog_id").alias("_item"), "supplier_id", "product_id", "price"
     )
-    list_prices = listed("companies_catalog").select(
+    if not bounded:
+        items = with_names(items)
+    list_prices = src["companies_catalog"].select(
         F.col("suppliers_catalog_id").alias("_list_item"),
         F.col("CUIT").alias("_list_cuit"),
         "catalog_price",
@@ -172,10 +192,19 @@ def extract_orders(
     rows = lookup_join(
         rows, list_prices, by_list, "left", hot.get(tuple(f for f, _ in by_list), ())
     )
-    rows = lookup_join(rows, companies, [("CUIT", "_cuit")], hot=hot.get(("CUIT",), ()))
+    price = F.coalesce("catalog_price", "price").cast(MONEY).alias("order_price")
+    rows = rows.select(*[c for c in rows.columns if c not in ("catalog_price", "price")], price)
+    if bounded:
+        rows = with_names(rows)
+    if "companies" not in small:
+        rows = lookup_join(rows, companies, by_company, hot=hot.get(("CUIT",), ()))
     rows = lookup_join(
         rows, customers, [("customer_id", "_customer")], hot=hot.get(("customer_id",), ())
     )
+    if "companies" in small:
+        rows = lookup_join(rows, F.broadcast(companies), by_company)
+    if "suppliers" in small:
+        rows = lookup_join(rows, F.broadcast(suppliers), by_supplier)
     return rows.select(
         "order_id",
         "order_date",
@@ -190,5 +219,5 @@ def extract_orders(
         "supplier_name",
         "product_id",
         "product_name",
-        F.coalesce("catalog_price", "price").cast(MONEY).alias("order_price"),
+        "order_price",
     )

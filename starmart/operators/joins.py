@@ -12,12 +12,14 @@ from pyspark.sql import types as T
 
 # Limit of the sketch function.
 _MOST_TRACKED = 1_000_000
-# A lookup of at most this many rows of key and surrogate key is broadcast, if its values are
-# measured to have no more than so many bytes.
-BROADCAST_ROWS = 100_000
+# A lookup of at most this many rows is broadcast, if its values are measured to have no more than
+# so many bytes.
+BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 32 << 20
 # Keys alone are broadcast up to this many, by the same bytes.
 BROADCAST_KEYS = 1_000_000
+# Values that are counted and not measured are broadcast up to this many.
+FEW_VALUES = 100_000
 
 
 def partitions(frame: DataFrame) -> int:

@@ -29,6 +29,7 @@ from starmart.operators.extract import (
     high_water,
     hot_order_keys,
     orders_in_scope,
+    small_tables,
 )
 from starmart.operators.facts import (
     Lookup,
@@ -39,7 +40,7 @@ from starmart.operators.facts import (
     same,
 )
 from starmart.operators.geo import assign_country, enrich_country, unique_geo
-from starmart.operators.joins import BROADCAST_ROWS
+from starmart.operators.joins import FEW_VALUES
 from starmart.operators.sums import added, differing, month_sums
 from starmart.session import at_once
 from starmart.sources.store import Warehouse
@@ -160,7 +161,7 @@ def merge_versions(
     if not total:
         return
     touched = set(wh.slot_slices(d.name, counts)) & set(wh.open_slices(d.name))
-    few = total <= BROADCAST_ROWS
+    few = total <= FEW_VALUES
     changes = close_versions(wh.table(d.name, touched), added, d.key, d.sk, load_ts, few)
     wh.replace_slices(d.name, changes, touched, top_key=start + total - 1)
 
@@ -239,11 +240,15 @@ def _note_sums(
 
 
 def _taken_once(
-    wh: Warehouse, src: Mapping[str, DataFrame], mark=None, periods: Sequence[tuple] = ()
+    wh: Warehouse,
+    src: Mapping[str, DataFrame],
+    mark=None,
+    periods: Sequence[tuple] = (),
+    stored: bool = True,
 ) -> Mapping[str, DataFrame]:
-    """The source with the orders of a bounded extract stored, those after ``mark`` or of ``periods``.
+    """The source with the orders of a bounded extract, those after ``mark`` or of ``periods``.
 
-    Such an extract reads its orders for themselves, for the items ordered and for hot keys. A
+    An extract that looks for hot keys reads its orders twice, so they are ``stored`` then: a
     source that joins or ships them does so once.
     """
     if periods:
@@ -253,7 +258,7 @@ def _taken_once(
         taken = taken.filter(reduce(lambda a, b: a | b, within))
     else:
         taken = orders_in_scope(src["orders"], mark)
-    return {**src, "orders": wh.overwrite("stg_source_orders", taken)}
+    return {**src, "orders": wh.overwrite("stg_source_orders", taken) if stored else taken}
 
 
 def run_orders(
@@ -277,9 +282,10 @@ def run_orders(
     """
     mark = loaded_up_to(wh, lookback)
     if mark is not None:
-        src = _taken_once(wh, src, mark)
+        src = _taken_once(wh, src, mark, stored=find_hot)
     hot = hot_order_keys(src, mark) if find_hot else None
-    rows = extract_orders(src, mark, match_company=match_company, hot=hot)
+    small = small_tables(src)
+    rows = extract_orders(src, mark, match_company=match_company, hot=hot, small=small)
     staged = wh.overwrite("stg_orders", rows)
     _merge_order_dims(wh, staged, load_ts, scd2 or {})
     rows = _order_fact_rows(wh, staged, company_on, as_of, collation)
@@ -342,9 +348,12 @@ def _reprocess(
 ) -> None:
     """``reprocess_orders`` of closed ranges that share no moment, in rising order, in one load."""
     start, end = periods[0][0], periods[-1][1]
-    src = _taken_once(wh, src, periods=periods)
+    src = _taken_once(wh, src, periods=periods, stored=find_hot)
     hot = hot_order_keys(src, start=start, end=end) if find_hot else None
-    rows = extract_orders(src, start=start, end=end, match_company=match_company, hot=hot)
+    small = small_tables(src)
+    rows = extract_orders(
+        src, start=start, end=end, match_company=match_company, hot=hot, small=small
+    )
     staged = wh.overwrite("stg_orders_reprocess", rows)
     members = staged if dim_rows is None else dim_rows
     _merge_order_dims(wh, members, load_ts, scd2 or {})
@@ -396,7 +405,7 @@ def months_to_reload(
     differences too; so do months of which a look-back or a period exchanged a part, whose sum isn't
     known. Names aren't compared: that they change is the dimensions' matter.
     """
-    rows = extract_orders(src, match_company=match_company)
+    rows = extract_orders(src, match_company=match_company, small=small_tables(src))
     return differing(month_sums(rows), wh.table("sums_orders"))
 
 

@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart import adapters as A
-from starmart.operators.extract import extract_orders
-from starmart.operators.facts import Balance, Lookup, fact_rejects, same
+from starmart.operators.extract import extract_orders, small_tables
+from starmart.operators.facts import Balance, Lookup, _in_join_order, fact_rejects, same
 from starmart.plans import pipelines as P
 from starmart.session import scratch_path
 from starmart.sources.store import Warehouse
@@ -97,3 +97,69 @@ def test_months_apart_are_loaded_again_in_one_go(spark):
     assert wh.version("fact_orders") == loads + 1
     assert wh.table("fact_orders").count() == src["orders"].count()
     assert P.months_to_reload(wh, src).count() == 0
+
+
+def shuffled_by(text: str, key: str) -> list[str]:
+    """The columns of each exchange by ``key``."""
+    blocks = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: hash\w+\((\w+)#", text)
+    return [cols for cols, by in blocks if by == key]
+
+
+def rows_of(frame):
+    return sorted(map(tuple, frame.collect()), key=repr)
+
+
+@pytest.mark.parametrize("bounds", [{}, {"high_water": "1999-01-01 00:00:00"}])
+def test_no_shuffle_carries_the_names_of_small_tables(spark, bounds):
+    src = A.order_system(spark, SF)
+    small = small_tables(src)
+    assert small == {"companies", "suppliers"}
+    with no_broadcast(spark):
+        text = plan(extract_orders(src, **bounds, small=small))
+    blocks = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*)\]", text)
+    assert blocks and not [b for b in blocks if "supplier_name" in b or "company_name" in b]
+    assert rows_of(extract_orders(src, **bounds, small=small)) == rows_of(extract_orders(src, **bounds))
+
+
+def test_many_names_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr("starmart.operators.extract.BROADCAST_ROWS", 24)
+    assert "companies" not in small_tables(A.order_system(spark, SF))
+
+
+def test_an_increment_moves_the_catalog_once_and_without_names(spark):
+    src, mark = A.order_system(spark, SF), "1999-01-01 00:00:00"
+    with no_broadcast(spark):
+        text = plan(extract_orders(src, mark))
+    assert "LeftSemi" not in text
+    assert len(shuffled_by(text, "_item")) == 1 and "name" not in shuffled_by(text, "_item")[0]
+    (by_product,) = [c for c in shuffled_by(text, "product_id")]
+    assert "order_price" in by_product and "catalog_price" not in by_product
+    whole = extract_orders(src).filter(F.col("order_date") > F.lit(mark).cast("timestamp_ntz"))
+    assert rows_of(extract_orders(src, mark)) == rows_of(whole)
+
+
+def test_customers_meet_orders_before_their_lines(spark):
+    with no_broadcast(spark):
+        text = plan(A.order_system(spark, SF, lines_last=True)["orders"])
+    (by_customer,) = shuffled_by(text, "o_custkey")
+    assert "l_" not in by_customer
+    usual = A.order_system(spark, SF)["orders"]
+    assert rows_of(A.order_system(spark, SF, lines_last=True)["orders"]) == rows_of(usual)
+
+
+def test_customers_are_the_first_large_dimension_looked_up(spark):
+    dims = {f"dim_{n}": spark.range(1) for n in ("company", "supplier", "product", "customer")}
+    how = Balance(frozenset({"sk_company"}))
+    found = [lk.label for _, lk in _in_join_order(P.order_lookups(dims), how)]
+    assert found == ["company", "customer", "product", "supplier"]
+
+
+def test_orders_are_stored_only_where_they_are_read_twice(spark):
+    wh = Warehouse(spark, scratch_path(spark, "wh"))
+    src = A.order_system(spark, SF)
+    early = src["orders"].filter("order_date < '1999-01-01'")
+    P.run_orders(wh, src.replaced(orders=early), "2024-01-01 00:00:00")
+    P.run_orders(wh, src, "2024-02-01 00:00:00")
+    P.reprocess_orders(wh, src, "2000-01-01 00:00:00", "2000-01-31 00:00:00", "2024-03-01 00:00:00")
+    assert wh.version("stg_source_orders") == 0
+    assert wh.table("fact_orders").count() == src["orders"].count()
