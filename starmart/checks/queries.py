@@ -85,6 +85,11 @@ def _order_system(spark, sf_dir):
     return A.order_system(spark, sf_dir, lines_last=True)
 
 
+def _orders_once(src):
+    """The source with its orders stored, as several extracts read them."""
+    return src.replaced(orders=_stored(src["orders"], "orders"))
+
+
 def _extracted(src, *args, **options) -> DataFrame:
     """Orders of the source with the names of its small tables broadcast."""
     return extract_orders(src, *args, small=small_tables(src), **options)
@@ -268,8 +273,7 @@ def scd2_product_initial(spark, sf_dir):
     return _first_load(spark, staged, S.PRODUCT)
 
 
-def _product_changed(spark, sf_dir):
-    src = _order_system(spark, sf_dir)
+def _product_changed(spark, sf_dir, src):
     dim = _first_load(spark, _extracted(_before_cutover(src)), S.PRODUCT)
     renamed = src.replaced(products=A.renamed_products(spark, sf_dir))
     return _merged(dim, _extracted(_since_cutover(renamed)), S.PRODUCT, LOAD_2)
@@ -277,12 +281,13 @@ def _product_changed(spark, sf_dir):
 
 @query
 def scd2_product_changed(spark, sf_dir):
-    return _product_changed(spark, sf_dir)
+    return _product_changed(spark, sf_dir, _orders_once(_order_system(spark, sf_dir)))
 
 
 def _product_reverted(spark, sf_dir, compare):
-    dim = _product_changed(spark, sf_dir)
-    staged = _extracted(_since_cutover(_order_system(spark, sf_dir)))
+    src = _orders_once(_order_system(spark, sf_dir))
+    dim = _product_changed(spark, sf_dir, src)
+    staged = _extracted(_since_cutover(src))
     return _merged(dim, staged, S.PRODUCT, LOAD_3, compare=compare)
 
 
@@ -559,12 +564,13 @@ def fact_leads_rejects(spark, sf_dir):
 @query
 def reprocess_orders_period(spark, sf_dir):
     """The fact of all orders, the period loaded again with company-matched prices."""
-    src = _order_system(spark, sf_dir)
+    src = _orders_once(_order_system(spark, sf_dir))
     staged = _stored(_extracted(src), "stg_orders")
     lookups = P.order_lookups(_order_dims(spark, staged))
-    fact = load_fact(staged, lookups, P.ORDER_FACT_COLUMNS)
+    how = balance(staged, lookups)
+    fact = load_fact(staged, lookups, P.ORDER_FACT_COLUMNS, how)
     again = _extracted(src, start=PERIOD[0], end=PERIOD[1], match_company=True)
-    reloaded = load_fact(again, lookups, P.ORDER_FACT_COLUMNS)
+    reloaded = load_fact(again, lookups, P.ORDER_FACT_COLUMNS, how)
     return replace_period(fact, reloaded, "order_date", *PERIOD)
 
 
@@ -723,7 +729,7 @@ def _warehouse(spark: SparkSession) -> Warehouse:
 def _loaded_orders(spark, sf_dir) -> Warehouse:
     """Initial load, then the rest with renamed products."""
     wh = _warehouse(spark)
-    src = _order_system(spark, sf_dir)
+    src = _orders_once(_order_system(spark, sf_dir))
     P.run_orders(wh, _before_cutover(src), LOAD_1)
     renamed = src.replaced(products=A.renamed_products(spark, sf_dir))
     P.run_orders(wh, renamed, LOAD_2, find_hot=True)
@@ -739,7 +745,7 @@ def pipeline_orders(spark, sf_dir):
 def pipeline_orders_lookback(spark, sf_dir):
     """Loaded without the late rows of the last days, then again with a look-back."""
     wh = _warehouse(spark)
-    src = _order_system(spark, sf_dir)
+    src = _orders_once(_order_system(spark, sf_dir))
     early = _before_cutover(src)
     late = (F.col("order_date") > wall_clock("1998-12-12 00:00:00")) & (F.col("order_id") % 20 == 1)
     P.run_orders(wh, early.replaced(orders=early["orders"].filter(~late)), LOAD_1)
@@ -765,7 +771,7 @@ def _drifted(src):
 def pipeline_reconcile(spark, sf_dir):
     """Months whose orders came late, changed or went: found by their sums and loaded again."""
     wh = _warehouse(spark)
-    src = _order_system(spark, sf_dir)
+    src = _orders_once(_order_system(spark, sf_dir))
     P.run_orders(wh, _drifted(src), LOAD_1)
     found = _stored(P.months_to_reload(wh, src), "months")
     P.reconcile_orders(wh, src, LOAD_2)
@@ -805,7 +811,7 @@ def pipeline_orders_dim(spark, sf_dir):
 def pipeline_orders_as_of(spark, sf_dir):
     """Two loads; orders find the versions of their own date, the newer ones those of the cutover."""
     wh = _warehouse(spark)
-    src = _order_system(spark, sf_dir)
+    src = _orders_once(_order_system(spark, sf_dir))
     P.run_orders(wh, _before_cutover(src), "1950-01-01 00:00:00", as_of="order_date")
     renamed = src.replaced(products=A.renamed_products(spark, sf_dir))
     P.run_orders(wh, renamed, CUTOVER, as_of="order_date")
@@ -865,7 +871,7 @@ def members_by_slice_null_dim(spark, sf_dir):
 @query
 def pipeline_reprocess(spark, sf_dir):
     wh = _warehouse(spark)
-    src = _order_system(spark, sf_dir)
+    src = _orders_once(_order_system(spark, sf_dir))
     P.run_orders(wh, src, LOAD_1)
     P.reprocess_orders(wh, src, *PERIOD, LOAD_2, match_company=True, find_hot=True)
     return wh.table("fact_orders")
@@ -979,7 +985,7 @@ def _drop_as(spark, written: str, inbox: str, name: str) -> None:
 def report_views(spark, sf_dir):
     """The report views, registered before most loads and read by name after all, and `expire`."""
     wh = _warehouse(spark)
-    src = _order_system(spark, sf_dir)
+    src = _orders_once(_order_system(spark, sf_dir))
     P.run_orders(wh, _before_cutover(src), LOAD_1)
     R.register_reports(spark, wh, REPORT_YEAR)
     P.run_orders(wh, src.replaced(products=A.renamed_products(spark, sf_dir)), LOAD_2)
