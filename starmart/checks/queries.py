@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -880,8 +881,9 @@ def pipeline_reprocess(spark, sf_dir):
 def _with_customers_and_companies(spark, sf_dir) -> Warehouse:
     wh = _warehouse(spark)
     staged = _stored(_extracted(_order_system(spark, sf_dir)), "stg_orders")
-    for d in (S.CUSTOMER, S.COMPANY):
-        wh.overwrite(d.name, _first_load(spark, staged, d))
+    at_once(
+        lambda d=d: wh.overwrite(d.name, _first_load(spark, staged, d)) for d in (S.CUSTOMER, S.COMPANY)
+    )
     return wh
 
 
@@ -937,7 +939,7 @@ def inbox_ingest_batches(spark, sf_dir):
     inbox = scratch_path(spark, "inbox")
     write_text(A.weblog_lines(spark, sf_dir).repartition(3), inbox)
     state, archive = scratch_path(spark, "stream"), scratch_path(spark, "archive")
-    geo = A.geo(spark, sf_dir)
+    geo = _stored(A.geo(spark, sf_dir), "geo")
     ingest_weblogs(wh, inbox, state, geo, LOAD_1, files_per_batch=1, archive=archive)
     day = F.col("time").cast("date").cast("string").alias("day")
     rejects = P.log_rejects(wh)
@@ -953,16 +955,19 @@ def inbox_ingest_batches(spark, sf_dir):
 @query
 def inbox_same_name(spark, sf_dir):
     """Log files dropped again under the names of archived ones: both loads count."""
-    wh = _with_customers_and_companies(spark, sf_dir)
-    inbox, drop = scratch_path(spark, "inbox"), scratch_path(spark, "drop")
+    inbox, drops = scratch_path(spark, "inbox"), scratch_path(spark, "drops")
     state, archive = scratch_path(spark, "state"), scratch_path(spark, "archive")
-    geo, lines = A.geo(spark, sf_dir), A.weblog_lines(spark, sf_dir)
-    write_text(lines.filter(F.col("value").contains("Windows")), drop)
-    _drop_as(spark, drop, inbox, "access.log")
+    # Lines and countries are made once, beside the orders; both loads read the countries.
+    wh, geo, _ = at_once(
+        [
+            lambda: _with_customers_and_companies(spark, sf_dir),
+            lambda: _stored(A.geo(spark, sf_dir), "geo"),
+            lambda: _write_apart(A.weblog_lines(spark, sf_dir), "Windows", drops),
+        ]
+    )
+    _drop_as(spark, f"{drops}/found=true", inbox, "access.log")
     ingest_weblogs(wh, inbox, state, geo, LOAD_1, archive=archive)
-    drop = scratch_path(spark, "drop")
-    write_text(lines.filter(~F.col("value").contains("Windows")), drop)
-    _drop_as(spark, drop, inbox, "access.log")
+    _drop_as(spark, f"{drops}/found=false", inbox, "access.log")
     ingest_weblogs(wh, inbox, state, geo, LOAD_2, archive=archive)
     ingest_weblogs(wh, inbox, state, geo, LOAD_2, archive=archive)
     found = wh.table("fact_logs").join(wh.table("dim_ipaddr"), "sk_ipaddr")
@@ -970,15 +975,27 @@ def inbox_same_name(spark, sf_dir):
     return found.groupBy("ipaddr", "country_name").agg(F.count("*").alias("n"))
 
 
+def _write_apart(lines: DataFrame, mark: str, path: str) -> None:
+    """Text files of the lines with ``mark`` (``found=true``) and of those without, in one pass."""
+    found = F.col("value").contains(mark).alias("found")
+    lines.select("value", found).write.partitionBy("found").text(path)
+
+
 def _drop_as(spark, written: str, inbox: str, name: str) -> None:
-    """Move the files of a text folder into the inbox, numbered behind a name."""
+    """Move the files of a text folder into the inbox, numbered behind a name.
+
+    They get the time of the drop: files written at once would else differ by their lengths alone.
+    """
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(written).getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(path(inbox))
-    files = [f.getPath() for f in fs.listStatus(path(written))]
+    files = [f.getPath() for f in fs.listStatus(path(written))] if fs.exists(path(written)) else []
     parts = sorted(f.toString() for f in files if f.getName().startswith("part-"))
+    now = int(time.time() * 1000)
     for i, part in enumerate(parts):
-        fs.rename(path(part), path(f"{inbox}/{name}.{i}"))
+        there = path(f"{inbox}/{name}.{i}")
+        fs.rename(path(part), there)
+        fs.setTimes(there, now, -1)
 
 
 @query

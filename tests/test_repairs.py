@@ -2,6 +2,7 @@
 
 import io
 import os
+import time
 import zipfile
 from datetime import date, datetime, timedelta
 from decimal import Decimal
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart import adapters as A
+from starmart.checks import queries as Q
 from starmart.operators.facts import Lookup, balance, fact_rejects, load_fact, same
 from starmart.operators.joins import hot_keys, lookup_join
 from starmart.plans import pipelines as P
@@ -176,3 +178,44 @@ def test_workbook_cells_of_every_type(spark):
     assert read(spark, workbook(cells), schema) == want
     with pytest.raises(TypeError, match="a array<int>"):
         read(spark, workbook(cells), "a array<int>")
+
+
+def test_inbox_lines_and_countries_are_made_once(spark, monkeypatch):
+    made = {}
+
+    def counted(name, column):
+        rows = spark.sparkContext.accumulator(0)
+        real, made[name] = getattr(A, name), rows
+
+        @F.udf("string")
+        def note(value):
+            rows.add(1)
+            return value
+
+        note = note.asNondeterministic()
+        monkeypatch.setattr(A, name, lambda *a: real(*a).withColumn(column, note(column)))
+
+    expected = A.geo(spark, SF).count(), A.weblog_lines(spark, SF).count()
+    counted("geo", "country_name")
+    counted("weblog_lines", "value")
+    Q.queries()["inbox_same_name"](spark, SF).count()
+    assert (made["geo"].value, made["weblog_lines"].value) == expected
+
+
+def test_inbox_takes_a_file_of_the_same_name_and_length(spark, tmp_path):
+    for text in ("a Windows line", "a Solaris line"):
+        lines = spark.createDataFrame([(text,)], "value string").coalesce(1)
+        Q._write_apart(lines.unionByName(lines.filter("false")), "Windows", f"{tmp_path}/{text}")
+    inbox = f"{tmp_path}/inbox"
+    times = []
+    for text, found in (("a Windows line", "true"), ("a Solaris line", "false")):
+        folder = f"{tmp_path}/{text}/found={found}"
+        for name in os.listdir(folder):
+            os.utime(f"{folder}/{name}", (1, 1))
+        Q._drop_as(spark, folder, inbox, "access.log")
+        times.append(os.stat(f"{inbox}/access.log.0").st_mtime_ns // 10**6)
+        os.rename(f"{inbox}/access.log.0", f"{tmp_path}/{found}")
+        time.sleep(0.01)
+    assert times[0] != times[1]
+    Q._drop_as(spark, f"{tmp_path}/none", inbox, "access.log")
+    assert os.listdir(inbox) in ([], [".access.log.0.crc"])
