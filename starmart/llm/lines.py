@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.llm.common import runs, stored, tasks_for, text_bytes
+from starmart.llm.common import runs, shuffles_freed, stored, tasks_for, text_bytes
 from starmart.llm.components import cluster, crowded, with_ends
 from starmart.llm.minhash import _BASE, _CODE, _INVERSE, _mix, _powers
 from starmart.llm.prefix import pairs_apart
@@ -162,6 +162,15 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     A null id counts as -1. Rows are told apart by id and text, ``uid`` is the hash of both; copies
     of one row are one document.
     """
+    with shuffles_freed(docs.sparkSession):
+        stays = _staying(docs, percent)
+    rows = _with_keys(_lines(docs)).select("did", "uid", "at", "k1", "k2").join(stays, ["k1", "k2"])
+    rows = rows.where(F.struct("did", "at", "uid") != F.col("stays"))
+    return rows.select("did", "uid", "at").distinct()
+
+
+def _staying(docs: DataFrame, percent: int) -> DataFrame:
+    """``k1, k2, stays``: the lines of components of several, and which line of it stays."""
     # the text of a line moves once: equal lines meet before they are signed
     distinct = _with_keys(_lines(docs)).groupBy("k1", "k2").agg(
         F.min(F.struct("did", "at", "uid")).alias("first"),
@@ -169,7 +178,9 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.min("line").alias("line"),
     )
     distinct = distinct.withColumn("node", F.monotonically_increasing_id())
-    nodes = stored(_signed(distinct.select("node", "k1", "k2", "first", "n", "line")), "lines")
+    signed = _signed(distinct.select("node", "k1", "k2", "first", "n", "line"))
+    # its text is on disk twice while it is written, in the shuffle too
+    nodes = stored(signed, "lines", codec="zstd")
     names = [f"band{b}" for b in range(BANDS)]
     buckets = nodes.select("node", F.explode(F.array(*names)).alias("bucket"))
     some = tasks_for(nodes.count(), TASK_LINES)
@@ -183,14 +194,12 @@ def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked")
 
     found = cluster(shared, confirm, lambda rest: pairs_apart(rest, texts, line_sets, percent))
-    grouped = nodes.join(found, "node", "left").select(
+    # a line that was found once and links to none is left out before it moves again
+    grouped = nodes.join(found, "node", "left").where("component is not null or n > 1").select(
         "k1", "k2", "first", "n", F.coalesce("component", "node").alias("component")
     )
     stays = grouped.groupBy("component").agg(F.min("first").alias("stays"), F.sum("n").alias("all"))
-    stays = grouped.join(stays.where(F.col("all") > 1), "component").select("k1", "k2", "stays")
-    rows = _with_keys(_lines(docs)).select("did", "uid", "at", "k1", "k2").join(stays, ["k1", "k2"])
-    rows = rows.where(F.struct("did", "at", "uid") != F.col("stays"))
-    return rows.select("did", "uid", "at").distinct()
+    return grouped.join(stays.where(F.col("all") > 1), "component").select("k1", "k2", "stays")
 
 
 def deduplicate_lines(docs: DataFrame, percent: int = PERCENT, with_text: bool = False) -> DataFrame:

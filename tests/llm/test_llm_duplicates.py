@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -297,3 +298,21 @@ def test_empty_tables(spark):
         phrases.repeated_bytes(docs),
     ):
         assert made.count() == 0
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in found.mkString(",").split(",") if "/shuffle_" in name}
+
+
+def test_lines_leave_no_shuffle_files_behind(spark):
+    line = "a line of some length that two documents share with a small change at its end"
+    rows = [(k, f"{line} {k % 10}\nalone {k} " + "xyz" * k, None, None) for k in range(40)]
+    docs, before = documents(spark, rows), shuffle_files(spark)
+    gone = lines.duplicate_lines(docs)
+    deadline = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < deadline:
+        time.sleep(0.2)
+    assert not left
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+    assert gone.count() == 39
