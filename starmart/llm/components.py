@@ -133,6 +133,7 @@ def cluster(
     shared: DataFrame,
     confirm: Callable[[DataFrame], DataFrame],
     apart: Callable[[DataFrame], DataFrame],
+    crowd: int = 0,
 ) -> DataFrame:
     """``node, component`` of the nodes that ``confirm`` links to another one of their bucket.
 
@@ -141,6 +142,7 @@ def cluster(
     each time. Turns end with the one that links under a tenth of its pairs. They only save work:
     ``apart(nodes)`` then gives every pair of different components, of the nodes that have one in
     a bucket (``node, component``), that can be similar at all, and those not yet compared are.
+    Turns also end when no bucket of several components has more than ``crowd`` nodes.
     """
     tasks = tasks_for(shared.count(), TASK_ROWS)
     state, found, turn = shared.withColumn("component", F.col("node")), None, 0
@@ -159,8 +161,9 @@ def cluster(
         turn += 1
         if links * 10 < n or not links:
             break
-    mixed = state.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    mixed = stored(mixed.where("lo <> hi").select("bucket"), "open-buckets", tasks)
+        if crowd and not _mixed(state).where(F.col("size") > crowd).head(1):
+            break
+    mixed = stored(_mixed(state).select("bucket"), "open-buckets", tasks)
     nodes = state.join(mixed, "bucket").select("node", "component").distinct()
     nodes = stored(nodes, "open-nodes", tasks)
     if not nodes.head(1):
@@ -169,6 +172,13 @@ def cluster(
     return stored(_joined(found, new), "components", tasks) if links else found
 
 
+def _mixed(state: DataFrame) -> DataFrame:
+    """``bucket, size`` of the buckets that hold several components."""
+    both = F.min("component").alias("lo"), F.max("component").alias("hi")
+    mixed = state.groupBy("bucket").agg(*both, F.count("*").alias("size"))
+    return mixed.where("lo <> hi").select("bucket", "size")
+
+
 def _untested(pairs: DataFrame, tested: DataFrame | None, tasks: int) -> DataFrame:
     if tested is None:
         return pairs

@@ -31,6 +31,8 @@ WIDTH = 12
 BANDS, ROWS = 12, 3
 # Bytes of lines hashed at once; small enough for a core's cache.
 CHUNK = 1 << 17
+# Buckets of more lines than this are compared by a prefix filter.
+CROWD = 32
 _HAS_WORD = r"[^\x20\x09-\x0D]"
 _U = np.uint64
 # Every hash has its own constants, random 64-bit numbers; the factors are odd.
@@ -156,6 +158,27 @@ def _confirm(percent: int):
     return confirm
 
 
+def _apart(nodes: DataFrame, shared: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of a bucket's nodes in different components; ``nodes`` has ``node, component``.
+
+    Nodes of buckets of more than ``CROWD`` are left to a prefix filter, and only they are read for
+    it; a smaller bucket makes fewer than ``CROWD`` pairs a row.
+    """
+    rows = shared.join(nodes, "node").select("bucket", "node", "component")
+    size = F.count("*").alias("size")
+    sizes = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), size)
+    sizes = stored(sizes.where("lo <> hi").select("bucket", "size"), "open-sizes")
+    rows = stored(rows.join(sizes, "bucket"), "open-rows")
+    few = rows.where(F.col("size") <= CROWD)
+    left = few.select("bucket", F.col("node").alias("a"), F.col("component").alias("of_a"))
+    right = few.select("bucket", F.col("node").alias("b"), F.col("component").alias("of_b"))
+    pairs = left.join(right, "bucket").where("a > b and of_a <> of_b").select("a", "b").distinct()
+    many = stored(rows.where(F.col("size") > CROWD).select("node", "component").distinct(), "many")
+    if not many.head(1):
+        return pairs
+    return pairs.unionByName(pairs_apart(many, texts, line_sets, percent)).distinct()
+
+
 def duplicate_lines(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``did, uid, at``: the lines to remove; of each component the first stays, by id and number.
 
@@ -193,11 +216,12 @@ def _staying(docs: DataFrame, percent: int) -> DataFrame:
         both = with_ends(pairs, texts.select("node", "line"))
         return both.mapInArrow(_confirm(percent), "a long, b long, linked boolean").where("linked")
 
-    found = cluster(shared, confirm, lambda rest: pairs_apart(rest, texts, line_sets, percent))
+    found = cluster(shared, confirm, lambda rest: _apart(rest, shared, texts, percent), CROWD)
     # a line that was found once and links to none is left out before it moves again
     grouped = nodes.join(found, "node", "left").where("component is not null or n > 1").select(
         "k1", "k2", "first", "n", F.coalesce("component", "node").alias("component")
     )
+    grouped = stored(grouped, "linked-lines")
     stays = grouped.groupBy("component").agg(F.min("first").alias("stays"), F.sum("n").alias("all"))
     return grouped.join(stays.where(F.col("all") > 1), "component").select("k1", "k2", "stays")
 

@@ -68,6 +68,25 @@ def test_lines_take_shingles_of_every_place(spark):
     assert {r.doc_id for r in got if r.removed} == want
 
 
+def test_lines_of_small_buckets_need_no_prefix_filter(spark, monkeypatch):
+    """Pairs below the bound keep buckets open; those of few lines are compared as they are."""
+    rng = random.Random(12)
+    rows = []
+    for k in range(30):
+        line = "".join(rng.choice(LETTERS) for _ in range(300))
+        own = "".join(rng.choice(LETTERS) for _ in range(50 if k % 3 else 20))
+        rows += [(2 * k, line, None, None), (2 * k + 1, line[: -len(own)] + own, None, None)]
+    sets = [plain_shingles(r[1]) for r in rows]
+    want = {i for i in range(1, 60, 2) if jaccard(sets[i - 1], sets[i]) >= 0.8}
+    assert len(want) == 10 and all(jaccard(sets[i - 1], sets[i]) > 0.65 for i in range(1, 60, 2))
+    filtered = []
+    plain = lines.pairs_apart
+    monkeypatch.setattr(lines, "pairs_apart", lambda *a: filtered.append(1) or plain(*a))
+    got = lines.deduplicate_lines(documents(spark, rows)).collect()
+    assert {r.doc_id for r in got if r.removed} == want
+    assert not filtered
+
+
 @pytest.mark.parametrize("union", [5, 10, 15, 30, 100])
 def test_bands_find_sets_of_any_size(union):
     rng = np.random.default_rng(union)
