@@ -3,7 +3,8 @@
 A line's shingles are the twelve characters from each of its characters on. Each of 36 hashes of the
 shingles has its minimum as a signature value; three values are a band. Lines that share a band are
 clustered as near-duplicate documents are: compared on their whole shingle sets with a few centres,
-then wherever a prefix filter can't rule a pair out. One line of each component stays. Shingles of
+then with all lines of a bucket in other components or, where it holds many lines, wherever a prefix
+filter can't rule a pair out. One line of each component stays. Shingles of
 every place are too many for rows or lambdas over arrays, so they are hashed in numpy.
 """
 
